@@ -1,0 +1 @@
+"""Nothing here: every source, operator and sink of this library is bounded batch."""
