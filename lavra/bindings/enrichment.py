@@ -128,6 +128,7 @@ def canonical_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("p_size").desc_nulls_last(),
             F.col("p_brand").asc(),
         ],
+        tie_break=["p_partkey"],
     )
 
 

@@ -83,7 +83,7 @@ def charset_probe_like(spark: SparkSession, sf_dir: str) -> DataFrame:
               'id,trimestre,CNPJ,instituição,índice,_c5' AS names, 0 AS n_hits FROM orders
        UNION ALL
        SELECT 'latin, wrong separator', count(*), 1,
-              'id;trimestre;CNPJ;instituição;índice;_c5', 0 FROM orders""",
+              'id;trimestre;CNPJ;instituição;índice;_c5', CAST(0 AS BIGINT) FROM orders""",
 )
 def structure_probe_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     base, _, name = latin_orders(spark, sf_dir).rpartition("/")

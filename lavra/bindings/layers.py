@@ -42,20 +42,21 @@ def export_periods(spark: SparkSession, sf_dir: str) -> tuple[list[SourceSpec],
         **{f"Quantidade {i}": F.concat(number, F.lit(str(i))) for i in range(1, 8)},
         "_c14": F.lit(None).cast("string"),
     }
-    rows = t.complaints(spark, sf_dir)
-    for year in PERIODS:
-        of_year = rows.filter(F.col("ano") == year)
-        columns = [value.alias(name) for name, value in layout.items()]
-        write_delimited(of_year.select(*columns), f"{base}/{year}.csv", ";", "ISO-8859-1")
+    rows = t.complaints(spark, sf_dir).select(
+        *[value.alias(name) for name, value in layout.items()],
+        F.concat(F.col("ano").cast("string"), F.lit(".csv")).alias("file"),
+    )
+    write_delimited(rows, base, ";", "ISO-8859-1", ["file"])
     specs = [
-        SourceSpec(f"{year}.csv", "reclamacoes", str(year), ";", "ISO-8859-1") for year in PERIODS
+        SourceSpec(f"file={year}.csv", "reclamacoes", str(year), ";", "ISO-8859-1")
+        for year in PERIODS
     ]
     return specs, base
 
 
 @query(
     "raw_ingest",
-    """SELECT coalesce(CAST(year(o_orderdate) AS VARCHAR) || '.csv: rows stored', 'total')
+    """SELECT coalesce('file=' || CAST(year(o_orderdate) AS VARCHAR) || '.csv: rows stored', 'total')
                   AS "check", count(*) AS actual, count(*) AS expected, TRUE AS ok
        FROM orders GROUP BY ROLLUP (year(o_orderdate))""",
 )
@@ -92,7 +93,7 @@ TRUSTED = f"""
            o_orderkey * 10 + 5 AS qtd_total_clientes_ccs_scr,
            o_orderkey * 10 + 6 AS qtd_clientes_ccs,
            o_orderkey * 10 + 7 AS qtd_clientes_scr,
-           CAST(ano AS VARCHAR) || '.csv' AS arquivo_origem
+           'file=' || CAST(ano AS VARCHAR) || '.csv' AS arquivo_origem
     FROM ({t.COMPLAINTS})
 """
 

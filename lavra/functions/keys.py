@@ -20,8 +20,8 @@ def fixed_width_key(column: Column, width: int = KEY_WIDTH) -> Column:
     NULL when there are no digits or more than ``width``: cutting a longer
     identifier would make it equal to another one.
     """
-    digits = digits_only(column)
-    return F.when(F.length(digits) <= width, F.lpad(digits, width, "0"))
+    digits = F.regexp_replace(column, "[^0-9]+", "")
+    return F.when(F.length(digits).between(1, width), F.lpad(digits, width, "0"))
 
 
 def is_usable_key(key: Column, reserved: str = RESERVED_KEY) -> Column:

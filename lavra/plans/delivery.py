@@ -39,11 +39,13 @@ def canonical_segments(segments: DataFrame) -> DataFrame:
         keyed.filter(is_usable_key(F.col(TAX_KEY))),
         [TAX_KEY],
         [priority_rank(F.col("nome")).asc(), F.col("nome").asc_nulls_first()],
+        tie_break=[name for name in segments.columns if name != "nome"],
     )
 
 
 def canonical_reviews(reviews: DataFrame) -> DataFrame:
     """One review row per name: best match, then most reviews, then employer name."""
+    ranked = ("match_percent", "reviews_count", "employer_name")
     return canonical(
         reviews.withColumn(NAME_KEY, strong_name_key(F.col("nome"))),
         [NAME_KEY],
@@ -52,6 +54,7 @@ def canonical_reviews(reviews: DataFrame) -> DataFrame:
             F.col("reviews_count").desc_nulls_last(),
             F.col("employer_name").asc_nulls_first(),
         ],
+        tie_break=[name for name in reviews.columns if name not in ranked],
     )
 
 

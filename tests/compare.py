@@ -23,6 +23,17 @@ TABLES = (
 ).split()
 
 
+KINDS = {
+    "string": "VARCHAR",
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "timestamp": "TIMESTAMP",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     connection.execute("SET TimeZone = 'UTC'")
@@ -56,6 +67,10 @@ def differences(spark, connection, query, sql: str, sf_dir: str) -> str | None:
     mine = bag(frame.columns, frame.collect())
     result = connection.execute(sql)
     theirs = bag([d[0] for d in result.description], result.fetchall())
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in frame.dtypes:
+        if KINDS.get(kind, kind) != kinds.get(name, "absent"):
+            return f"column {name} is {kind} and {kinds.get(name)}"
     if mine[0] != theirs[0]:
         return f"columns {mine[0]} and {theirs[0]}"
     if mine[1] != theirs[1]:
