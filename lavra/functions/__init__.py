@@ -1,5 +1,6 @@
 """Column functions. All are built from Spark's own expressions; there are no UDFs."""
 
+from lavra.functions.files import file_name, folder_name
 from lavra.functions.keys import (
     fixed_width_key,
     is_usable_key,
@@ -37,9 +38,11 @@ __all__ = [
     "count_occurrences",
     "digits_only",
     "drop_suffix",
+    "file_name",
     "first_integer",
     "fixed_width_key",
     "fold_accents",
+    "folder_name",
     "is_blank",
     "is_plain_number",
     "is_usable_key",

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lavra.functions.files import file_name
+
 
 def rename_by_position(
     df: DataFrame, names: Sequence[str], drop: Iterable[str] = ()
@@ -40,7 +42,7 @@ def map_columns(
 def with_source(df: DataFrame, column: str, value: str | Column | None = None) -> DataFrame:
     """Add where a row came from: a fixed label, or by default its file's name."""
     if value is None:
-        value = F.col("_metadata.file_name")
+        value = file_name()
     elif isinstance(value, str):
         value = F.lit(value)
     return df.withColumn(column, value)

@@ -11,6 +11,7 @@ from lavra.functions import (
     clean_text,
     digits_only,
     first_integer,
+    folder_name,
     parse_decimal,
 )
 from lavra.functions.text import CONTROL_REPAIRS
@@ -42,9 +43,8 @@ def read_complaint_slices(
     schemas = [spark.read.parquet(path).schema for path in paths]
     if all(schema == schemas[0] for schema in schemas):
         labels = F.create_map(*[F.lit(p) for s in specs for p in (s.target, s.file)])
-        folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
         table = read_parquet(spark, paths, schemas[0])
-        located = with_source(table, contract.SOURCE_COLUMN, labels[folder])
+        located = with_source(table, contract.SOURCE_COLUMN, labels[folder_name()])
         return rename_by_position(
             located, [*contract.COMPLAINT_COLUMNS, contract.SOURCE_COLUMN]
         )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.functions.files import file_name
 from lavra.functions.text import REPLACEMENT_CHARACTER, count_occurrences
 from lavra.operators.profile import source_profile
 from lavra.operators.shape import union_strict
@@ -83,7 +84,7 @@ def read_group(
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     df = reader.csv(list(paths))
     if source_column:
-        df = df.withColumn(source_column, F.col("_metadata.file_name"))
+        df = df.withColumn(source_column, file_name())
     return df
 
 
@@ -122,7 +123,7 @@ def read_lines(
         # The text reader keeps the bytes of a line as they are in the file.
         value = F.decode(value.cast("binary"), encoding)
     return spark.read.text(paths).select(
-        F.col("_metadata.file_name").alias("file"), value.alias("value")
+        file_name().alias("file"), value.alias("value")
     )
 
 

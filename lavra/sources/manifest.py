@@ -4,39 +4,41 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote, unquote, urlsplit
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.functions.files import file_name
+
 # A file up to this size is hashed from a binary column, a larger one as a stream.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
 
-_SCHEMA = "file string, size_bytes long, sha256 string"
+_SCHEMA = "uri string, size_bytes long, sha256 string"
 
 
 def _hash_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("uri", pa.string()), ("size_bytes", pa.int64()), ("sha256", pa.string())])
     for batch in batches:
         for row in batch.to_pylist():
-            filesystem, name = pafs.FileSystem.from_uri(row["path"])
+            parts = urlsplit(row["uri"])
+            scheme = {"s3a": "s3"}.get(parts.scheme, parts.scheme)
+            located = f"{scheme}://{parts.netloc}{quote(unquote(parts.path))}"
+            filesystem, name = pafs.FileSystem.from_uri(located)
             digest = hashlib.sha256()
             with filesystem.open_input_stream(name) as stream:
                 while chunk := stream.read(CHUNK_BYTES):
                     digest.update(chunk)
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "file": row["file"],
-                        "size_bytes": row["size_bytes"],
-                        "sha256": digest.hexdigest().upper(),
-                    }
-                ],
-                schema=pa.schema(
-                    [("file", pa.string()), ("size_bytes", pa.int64()), ("sha256", pa.string())]
-                ),
-            )
+            hashed = {**row, "sha256": digest.hexdigest().upper()}
+            yield pa.RecordBatch.from_pylist([hashed], schema=schema)
+
+
+def _one_slash(uri: Column) -> Column:
+    # Local files are listed as file:///x and scanned as file:/x.
+    return F.regexp_replace(uri, "^file:/+", "file:/")
 
 
 def file_manifest(
@@ -54,19 +56,27 @@ def file_manifest(
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(paths)
-    name = F.col("_metadata.file_name").alias("file")
+    uri, size = F.col("_metadata.file_path").alias("uri"), F.col("length").alias("size_bytes")
     small = files.filter(F.col("length") <= whole_file_bytes).select(
-        name,
-        F.col("length").alias("size_bytes"),
-        F.upper(F.sha2("content", 256)).alias("sha256"),
+        uri, size, F.upper(F.sha2("content", 256)).alias("sha256")
     )
     large = (
         files.filter(F.col("length") > whole_file_bytes)
-        .select("path", name, F.col("length").alias("size_bytes"))
-        .repartition("path")
+        .select(uri, size)
+        .repartition("uri")
         .mapInArrow(_hash_streams, _SCHEMA)
     )
-    return small.unionByName(large)
+    hashed = small.unionByName(large).select(
+        _one_slash(F.col("uri")).alias("uri"), "size_bytes", "sha256"
+    )
+    # Spark's scan passes over files of no bytes; its listing has them.
+    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "uri string")
+    listed = listed.select(_one_slash(F.col("uri")).alias("uri"))
+    return listed.join(hashed, "uri", "left").select(
+        file_name(F.element_at(F.split("uri", "/"), -1)).alias("file"),
+        F.coalesce("size_bytes", F.lit(0)).cast("long").alias("size_bytes"),
+        F.coalesce("sha256", F.upper(F.sha2(F.lit(b""), 256))).alias("sha256"),
+    )
 
 
 def compare_manifests(source: DataFrame, target: DataFrame) -> DataFrame:
