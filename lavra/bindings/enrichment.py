@@ -21,6 +21,7 @@ from lavra.operators import (
     flag_matches,
     matched_keys,
     measure_reference,
+    measure_references,
     split_by_null,
     union_filled,
     union_strict,
@@ -67,7 +68,7 @@ def delivery(spark: SparkSession, sf_dir: str, measured: bool) -> DataFrame:
     segments = canonical_segments(t.segments(spark, sf_dir))
     reviews = canonical_reviews(t.reviews(spark, sf_dir))
     if measured:
-        segments, reviews = measure_reference(segments), measure_reference(reviews)
+        segments, reviews = measure_references(segments, reviews)
     return deliver(t.complaints(spark, sf_dir), segments, reviews, t.REVIEW_OUTPUT)
 
 

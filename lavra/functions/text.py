@@ -43,13 +43,19 @@ def first_integer(column: Column) -> Column:
 
 
 def fold_accents(column: Column) -> Column:
-    """Accented capitals without their accent."""
-    return F.translate(column, ACCENTED, UNACCENTED)
+    """Accented capitals without their accent.
+
+    Text of ASCII only (as many bytes as characters) has none and is passed by.
+    """
+    return F.when(
+        F.octet_length(column) > F.length(column), F.translate(column, ACCENTED, UNACCENTED)
+    ).otherwise(column)
 
 
 def drop_suffix(column: Column, suffix: str) -> Column:
     """Without a literal suffix and the white space around it."""
-    return F.regexp_replace(column, rf"\s*{re.escape(suffix)}\s*$", "")
+    without = F.regexp_replace(column, rf"\s*{re.escape(suffix)}\s*$", "")
+    return F.when(column.contains(suffix), without).otherwise(column)
 
 
 def squeeze_spaces(column: Column) -> Column:

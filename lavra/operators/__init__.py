@@ -19,6 +19,7 @@ from lavra.operators.join import (
     flag_matches,
     matched_keys,
     measure_reference,
+    measure_references,
     split_by_null,
     unmatched_keys,
     unmatched_rows,

@@ -12,6 +12,7 @@ hold a large part of the table.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -80,6 +81,12 @@ def measure_reference(df: DataFrame, path: str | None = None) -> Reference:
     return Reference(table, size["rows"], size["bytes"], path)
 
 
+def measure_references(*tables: DataFrame) -> list[Reference]:
+    """Store and measure several references at the same time."""
+    with ThreadPoolExecutor(len(tables)) as pool:
+        return list(pool.map(measure_reference, tables))
+
+
 def split_by_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """Rows with a value and rows without."""
     return df.filter(F.col(column).isNotNull()), df.filter(F.col(column).isNull())

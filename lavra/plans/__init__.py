@@ -8,7 +8,16 @@ from lavra.plans.delivery import (
     delivery_metrics,
 )
 from lavra.plans.ingest import ingest, validate_raw
-from lavra.plans.publish import materialize_final, publish_table
+from lavra.plans.profiles import (
+    index_profile,
+    inspect_lines,
+    join_keys_profile,
+    join_trial,
+    replacement_profile,
+    replacement_rows,
+    strategy_profile,
+)
+from lavra.plans.publish import jdbc_round_trip, materialize_final, publish_table
 from lavra.plans.trusted import (
     complaint_gates,
     read_complaint_slices,

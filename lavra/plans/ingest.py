@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +14,24 @@ from lavra.sources.sink import write_verified
 
 
 def ingest(
-    spark: SparkSession, specs: Sequence[SourceSpec], input_base: str, raw_base: str
+    spark: SparkSession,
+    specs: Sequence[SourceSpec],
+    input_base: str,
+    raw_base: str,
+    at_once: int = 8,
 ) -> DataFrame:
-    """Ingest every source; a report of rows written and rows stored, with the total."""
-    reports = []
-    for spec in specs:
+    """Ingest every source; a report of rows written and rows stored, with the total.
+
+    Up to ``at_once`` sources are submitted together, so that small ones do not
+    leave a cluster waiting.
+    """
+
+    def ingest_one(spec: SourceSpec) -> DataFrame:
         table = read_delimited(spark, spec.input_path(input_base), spec.sep, spec.encoding)
-        _, report = write_verified(table, spec.raw_path(raw_base), spec.file)
-        reports.append(report)
+        return write_verified(table, spec.raw_path(raw_base), spec.file)[1]
+
+    with ThreadPoolExecutor(at_once) as pool:
+        reports = list(pool.map(ingest_one, specs))
     return with_total(stack_reports(reports))
 
 

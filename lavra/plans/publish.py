@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.operators.quality import Gate, expect, stack_reports
@@ -23,6 +23,20 @@ def name_gates(left: DataFrame, right: DataFrame, label: str) -> DataFrame:
     )
 
 
+def jdbc_round_trip(spark: SparkSession, target: JdbcTarget) -> DataFrame:
+    """Report: one literal row, written to a table and read back with its content."""
+    probe = spark.createDataFrame([(1, "JDBC_OK")], "id long, status string")
+    write_jdbc(probe, target, connections=1)
+    stored = read_jdbc(spark, target)
+    return expect(
+        stored,
+        {
+            f"{target.table}: rows": Gate(F.count(F.lit(1)), 1),
+            f"{target.table}: rows as written": Gate(F.count_if(F.col("status") == "JDBC_OK"), 1),
+        },
+    )
+
+
 def publish_table(df: DataFrame, rows: int, target: JdbcTarget, **write_options) -> DataFrame:
     """Replace a relational table and compare rows and column names with the source.
 

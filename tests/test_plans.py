@@ -37,8 +37,10 @@ def layers(spark, tmp_path_factory):
     }
     delivery = plans.deliver(
         trusted["reclamacoes"],
-        op.measure_reference(plans.canonical_segments(trusted["enquadramento"])),
-        op.measure_reference(plans.canonical_reviews(trusted["glassdoor_match"])),
+        *op.measure_references(
+            plans.canonical_segments(trusted["enquadramento"]),
+            plans.canonical_reviews(trusted["glassdoor_match"]),
+        ),
     )
     return {
         "base": base,
@@ -277,6 +279,113 @@ def test_final_table_and_validation_of_all_layers(spark, layers):
         op.enforce(plans.validate_layers(layers["trusted"], delivery))
 
 
+def test_line_inspection(spark, layers):
+    report = plans.inspect_lines(spark, contract.SOURCES, str(layers["base"] / "input"))
+    assert rows(report["lines per file"]) == Counter(
+        (file, n + 1) for file, n in layers["counts"].items()
+    )
+    assert report["first lines of 2021_tri_01.csv"].count() == 3
+
+
+def test_index_profile(spark, layers):
+    first = plans.read_complaint_slices(spark, layers["raw"], contract.COMPLAINT_SOURCES[:1])
+    report = plans.index_profile(first)
+    assert rows(report["notations"]) == Counter(
+        [
+            ("NULO", 2, 0),
+            ("MILHAR_PONTO_DECIMAL_VIRGULA", 1, 0),
+            ("DECIMAL_VIRGULA", 2, 0),
+            ("DECIMAL_PONTO", 1, 0),
+            ("INTEIRO", 4, 0),
+        ]
+    )
+    assert rows(report["grouped and other values"]) == Counter(
+        [
+            (
+                "16.699,13", "MILHAR_PONTO_DECIMAL_VIRGULA", "16699.13", "BANCO UM",
+                "2021_tri_01.csv",
+            )
+        ]
+    )
+    assert report["normalised values"].count() == 8
+
+
+def test_join_keys_profile(layers):
+    first = layers["reclamacoes"].filter(F.col("arquivo_origem") == "2021_tri_01.csv")
+    report = plans.join_keys_profile(
+        first, layers["enquadramento"], layers["glassdoor_match"], layers["glassdoor_match_less"]
+    )
+    lengths = rows(report["identifier lengths"])
+    assert lengths[("complaints", None, 4)] and lengths[("complaints", 9, 1)]
+    assert rows(report["identifier exceptions"]) == Counter(
+        [("complaints", 1, 1), ("segments", 1, 1), ("less", 0, 0)]
+    )
+    assert report["repeated keys"].first() == (2, 4)
+    assert report["rows of repeated keys"].count() == 4
+    assert tuple(report["complaint keys in segments"].first()) == (4, 3, 1, 75.0)
+    assert rows(report["complaints without segment"]) == Counter(
+        [("00000999", "999", "BANCO AUSENTE")]
+    )
+    assert tuple(report["review pairs in segments"].first())[:3] == (4, 0, 4)
+    assert report["review pairs without segment"].count() == 4
+    assert tuple(report["less keys in segments"].first())[:3] == (1, 0, 1)
+    assert rows(report["less keys without segment"]) == Counter([("00123450",)])
+
+
+def test_strategy_profile(layers):
+    first = layers["reclamacoes"].filter(F.col("arquivo_origem") == "2021_tri_01.csv")
+    report = plans.strategy_profile(
+        first, layers["enquadramento"], layers["glassdoor_match"], ["00012345", "00000777"]
+    )
+    assert rows(report["tax id availability"]) == Counter(
+        [("with tax id", 6), ("without tax id", 4)]
+    )
+    assert rows(report["types without tax id"]) == Counter([("Banco", 4)])
+    assert report["canonical segments"].first() == (4, 4, 0)
+    assert rows(report["tax id join"]) == Counter([("matched", 2), ("unmatched", 4)])
+    assert rows(report["tax id join, rows kept"]) == Counter([("rows", 6, 6, True)])
+    assert report["name keys"].count() == 4
+    assert report["repeated review names"].first() == (2, 4)
+    repeated = [r["employer_name"] for r in report["rows of repeated review names"].collect()]
+    assert repeated[2:] == ["Norte Novo", "Norte Velho"]
+    assert tuple(report["names in reviews"].first()) == (4, 2, 2, 50.0)
+    assert tuple(report["rows in reviews"].first()) == (4, 2, 2, 50.0)
+    assert rows(report["names found"]) == Counter([("ACUCAR S A",), ("GRUPO NORTE",)])
+    assert rows(report["names not found"]) == Counter([("",), ("SEM AVALIACAO",)])
+    assert rows(report["segments chosen"]) == Counter(
+        [("00012345", "S1", "UM S.A."), ("00000777", "S5", "SOBRA CR�DITO")]
+    )
+
+
+def test_join_trial_shows_a_reference_that_is_not_unique(spark):
+    fact = spark.createDataFrame([("a",), ("b",)], "k string")
+    twice = spark.createDataFrame([("a", "x"), ("a", "y")], "k string, v string")
+    trial = plans.join_trial(fact, twice, "k", "v")
+    assert rows(trial["rows kept"]) == Counter([("rows", 3, 2, False)])
+
+
+def test_replacement_profile(layers):
+    report = plans.replacement_profile({**layers["trusted"], "delivery": layers["delivery"]})
+    assert rows(report["cells per column"]) == Counter([("enquadramento", "nome", 1)])
+    assert report["cells in all"].first() == (1,)
+    listed = plans.replacement_rows(layers["enquadramento"], "nome")
+    assert rows(listed) == Counter([("777", "SOBRA CR�DITO")])
+
+
+def test_jdbc_round_trip_checks_count_and_content(spark, monkeypatch):
+    """The relational store is stood in for by a table; no database is started."""
+    kept = {}
+    monkeypatch.setattr(publish, "write_jdbc", lambda df, target, **o: kept.update(df=df))
+    monkeypatch.setattr(publish, "read_jdbc", lambda session, target: kept["df"])
+    target = JdbcTarget("jdbc:x", "probe")
+    op.enforce(plans.jdbc_round_trip(spark, target))
+    monkeypatch.setattr(
+        publish, "read_jdbc", lambda s, t: kept["df"].withColumn("status", F.lit("no"))
+    )
+    with pytest.raises(op.QualityError, match="rows as written: found 0, expected 1"):
+        op.enforce(plans.jdbc_round_trip(spark, target))
+
+
 def test_publishing_compares_rows_and_column_names(spark, monkeypatch):
     """The relational store is stood in for by a table; no database is started."""
     source = spark.createDataFrame([(1, "a"), (2, "b")], "n int, s string")
