@@ -136,14 +136,12 @@ def canonical_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "canonical_sample",
     f"""SELECT cnpj_chave, segmento, nome FROM ({t.CANONICAL_SEGMENTS})
-        WHERE cnpj_chave IN ('00000001', '00000007', '00000042', '00000099')
-        ORDER BY cnpj_chave""",
+        WHERE segmento IN ('SUPPLIER', 'HOUSEHOLD') ORDER BY cnpj_chave""",
 )
 def canonical_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = ["00000001", "00000007", "00000042", "00000099"]
     return (
         canonical_segments(t.segments(spark, sf_dir))
-        .filter(F.col(TAX_KEY).isin(chosen))
+        .filter(F.col("segmento").isin("SUPPLIER", "HOUSEHOLD"))
         .select(TAX_KEY, "segmento", "nome")
         .orderBy(TAX_KEY)
     )

@@ -9,19 +9,25 @@ from lavra.bindings import tables as t
 from lavra.bindings.enrichment import PERIODS, delivery
 from lavra.bindings.registry import query
 from lavra.bindings.text import COMMA_DECIMAL, comma_decimal
+from lavra.functions import fixed_width_key
 from lavra.operators import expect
 from lavra.plans import (
     complaint_gates,
     ingest,
+    join_keys_profile,
+    join_trial,
     materialize_final,
     read_complaint_slices,
+    replacement_profile,
     segment_profile,
+    strategy_profile,
     trusted_complaints,
     trusted_reviews,
     trusted_segments,
     validate_raw,
 )
 from lavra.plans import contract
+from lavra.plans.delivery import TAX_KEY, canonical_segments
 from lavra.session import scratch_path
 from lavra.sources import SourceSpec, read_delimited, write_delimited
 
@@ -242,3 +248,86 @@ def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "final")
     _, report = materialize_final(delivery(spark, sf_dir, measured=True), path)
     return report
+
+
+def _profile_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return t.complaints(spark, sf_dir), t.segments(spark, sf_dir), t.reviews(spark, sf_dir)
+
+
+@query(
+    "join_trial",
+    f"""WITH fact AS (
+            SELECT {t.tax_key_sql("cnpj_if")} AS k FROM ({t.COMPLAINTS})
+            WHERE cnpj_if IS NOT NULL),
+        joined AS (
+            SELECT e.nome FROM fact LEFT JOIN ({t.CANONICAL_SEGMENTS}) e ON k = e.cnpj_chave)
+        SELECT 'rows' AS "check", (SELECT count(*) FROM joined) AS actual,
+               (SELECT count(*) FROM fact) AS expected,
+               (SELECT count(*) FROM joined) = (SELECT count(*) FROM fact) AS ok
+        UNION ALL SELECT 'matched', count(nome), NULL, NULL FROM joined
+        UNION ALL SELECT 'unmatched', count(*) - count(nome), NULL, NULL FROM joined""",
+)
+def join_trial_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with_id = t.complaints(spark, sf_dir).filter(F.col("cnpj_if").isNotNull())
+    fact = with_id.select(fixed_width_key(F.col("cnpj_if")).alias(TAX_KEY))
+    trial = join_trial(fact, canonical_segments(t.segments(spark, sf_dir)), TAX_KEY, "nome")
+    return trial["rows kept"].unionByName(trial["outcome"], allowMissingColumns=True)
+
+
+@query(
+    "repeated_review_names",
+    f"""WITH named AS (
+            SELECT {t.name_key_sql("nome")} AS nome_chave, employer_name, segmento, nome,
+                   match_percent FROM ({t.REVIEWS}))
+        SELECT * FROM named WHERE nome_chave IN (
+            SELECT nome_chave FROM named GROUP BY nome_chave HAVING count(*) > 1)
+        ORDER BY nome_chave NULLS FIRST, match_percent DESC NULLS LAST, employer_name""",
+)
+def repeated_review_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strategy_profile(*_profile_tables(spark, sf_dir))["rows of repeated review names"]
+
+
+@query(
+    "names_by_coverage",
+    f"""WITH l AS (SELECT DISTINCT {t.name_key_sql("instituicao_financeira")} AS nome_chave
+                  FROM ({t.COMPLAINTS}) WHERE cnpj_if IS NULL),
+        r AS (SELECT DISTINCT {t.name_key_sql("nome")} AS nome_chave FROM ({t.REVIEWS}))
+        SELECT nome_chave, nome_chave IN (SELECT nome_chave FROM r) AS found FROM l""",
+)
+def names_by_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = strategy_profile(*_profile_tables(spark, sf_dir))
+    found = report["names found"].withColumn("found", F.lit(True))
+    return found.unionByName(report["names not found"].withColumn("found", F.lit(False)))
+
+
+@query(
+    "complaints_without_segment",
+    f"""WITH fact AS (
+            SELECT DISTINCT {t.tax_key_sql("cnpj_if")} AS cnpj_chave, cnpj_if,
+                   instituicao_financeira FROM ({t.COMPLAINTS})),
+        known AS (SELECT {t.tax_key_sql("cnpj")} AS k FROM ({t.SEGMENTS}))
+        SELECT * FROM fact WHERE cnpj_chave IS NOT NULL AND cnpj_chave <> '00000000'
+          AND cnpj_chave NOT IN (SELECT k FROM known WHERE k IS NOT NULL)
+        ORDER BY cnpj_chave, cnpj_if, instituicao_financeira""",
+)
+def complaints_without_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    complaints, segments, reviews = _profile_tables(spark, sf_dir)
+    report = join_keys_profile(complaints, segments, reviews, segments)
+    return report["complaints without segment"]
+
+
+@query(
+    "replacement_scan",
+    f"""SELECT 'broken segments' AS dataset, 'nome' AS "column",
+               count(*) FILTER (contains(nome, 'r')) AS n_rows FROM ({t.SEGMENTS})
+        UNION ALL
+        SELECT 'broken documents', 'text', count(*) FILTER (contains(text, 'é'))
+        FROM documents""",
+)
+def replacement_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = t.table(spark, sf_dir, "documents").select(
+        "lang", F.translate("text", "é", "�").alias("text")
+    )
+    segments = t.segments(spark, sf_dir).withColumn("nome", F.translate("nome", "r", "�"))
+    datasets = {"broken documents": documents, "broken segments": segments}
+    return replacement_profile(datasets)["cells per column"]

@@ -30,11 +30,9 @@ from lavra.plans import contract
 from lavra.session import build_session
 from lavra.sources import (
     JdbcTarget,
-    charset_probe,
     file_manifest,
     jdbc_shape,
     read_jdbc,
-    structure_probe,
     write_verified,
 )
 
@@ -107,13 +105,14 @@ def manifest(c: Context) -> None:
 
 
 def structure(c: Context) -> None:
-    c.show("sources as read", structure_probe(c.spark, contract.SOURCES, c.input))
+    c.show_all(plans.inspect_structure(c.spark, contract.SOURCES, c.input))
 
 
 def charsets(c: Context) -> None:
-    for spec in (contract.COMPLAINT_SOURCES[0], contract.SEGMENT_SOURCE):
-        probe = charset_probe(c.spark, spec.input_path(c.input), spec.sep, ["UTF-8", "ISO-8859-1"])
-        c.show(spec.file, probe)
+    charsets = ["UTF-8", "ISO-8859-1"]
+    first, segments = contract.COMPLAINT_SOURCES[0], contract.SEGMENT_SOURCE
+    c.show_all(plans.inspect_charsets(c.spark, first, c.input, charsets))
+    c.show_all(plans.inspect_charsets(c.spark, segments, c.input, charsets, "CNPJ", c.keys))
 
 
 def ingest(c: Context) -> None:

@@ -10,7 +10,9 @@ from lavra.plans.delivery import (
 from lavra.plans.ingest import ingest, validate_raw
 from lavra.plans.profiles import (
     index_profile,
+    inspect_charsets,
     inspect_lines,
+    inspect_structure,
     join_keys_profile,
     join_trial,
     replacement_profile,

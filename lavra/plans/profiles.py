@@ -40,10 +40,18 @@ from lavra.operators.profile import (
     key_length_profile,
 )
 from lavra.operators.quality import compare_metrics, metrics
-from lavra.operators.shape import union_strict
+from lavra.operators.shape import preview, union_strict
 from lavra.plans import contract
 from lavra.plans.delivery import NAME_KEY, TAX_KEY, canonical_segments
-from lavra.sources.files import SourceSpec, first_lines, line_counts, read_lines
+from lavra.sources.files import (
+    SourceSpec,
+    charset_probe,
+    first_lines,
+    line_counts,
+    read_delimited,
+    read_lines,
+    structure_probe,
+)
 
 Report = dict[str, DataFrame]
 
@@ -74,6 +82,42 @@ def inspect_lines(
     }
 
 
+def inspect_structure(
+    spark: SparkSession, specs: Sequence[SourceSpec], input_base: str
+) -> Report:
+    """Rows, columns and names of each source as it is ingested, and its first row."""
+    return {
+        "sources as read": structure_probe(spark, specs, input_base),
+        **{
+            f"first row of {spec.file}": preview(
+                read_delimited(spark, spec.input_path(input_base), spec.sep, spec.encoding), 1
+            )
+            for spec in specs
+        },
+    }
+
+
+def inspect_charsets(
+    spark: SparkSession,
+    spec: SourceSpec,
+    input_base: str,
+    charsets: Sequence[str],
+    column: str | None = None,
+    values: Sequence[str] = (),
+) -> Report:
+    """A source under several charsets: its shape, and its first row or chosen rows."""
+    path = spec.input_path(input_base)
+    report = {"charsets compared": charset_probe(spark, path, spec.sep, charsets)}
+    for charset in charsets:
+        table = read_delimited(spark, path, spec.sep, charset)
+        if column and values:
+            shown = table.filter(F.col(column).isin(list(values))).orderBy(*table.columns)
+        else:
+            shown = preview(table, 1)
+        report[f"rows under {charset}"] = shown
+    return report
+
+
 def index_profile(slices: DataFrame, column: str = "indice") -> Report:
     """How decimals are written, and whether normalising leaves invalid ones."""
     context = [c for c in ("instituicao_financeira", contract.SOURCE_COLUMN) if c in slices.columns]

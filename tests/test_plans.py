@@ -287,6 +287,22 @@ def test_line_inspection(spark, layers):
     assert report["first lines of 2021_tri_01.csv"].count() == 3
 
 
+def test_structure_and_charsets(spark, layers):
+    folder = str(layers["base"] / "input")
+    structure = plans.inspect_structure(spark, contract.SOURCES, folder)
+    shapes = rows(structure["sources as read"].select("source", "n_columns", "n_hits"))
+    assert shapes[("2021_tri_01.csv", 15, 0)] and shapes[(contract.SEGMENT_SOURCE.file, 3, 1)]
+    assert structure[f"first row of {contract.REVIEW_SOURCE.file}"].first()[0] == "Açúcar Ltda"
+    charsets = plans.inspect_charsets(
+        spark, contract.SEGMENT_SOURCE, folder, ["UTF-8", "ISO-8859-1"], "CNPJ", ["777"]
+    )
+    assert rows(charsets["charsets compared"].select("source", "n_hits")) == Counter(
+        [("UTF-8", 1), ("ISO-8859-1", 0)]
+    )
+    assert charsets["rows under UTF-8"].first()["Nome"] == "SOBRA CR�DITO"
+    assert charsets["rows under ISO-8859-1"].first()["Nome"] == "SOBRA CRï¿½DITO"
+
+
 def test_index_profile(spark, layers):
     first = plans.read_complaint_slices(spark, layers["raw"], contract.COMPLAINT_SOURCES[:1])
     report = plans.index_profile(first)
