@@ -27,6 +27,7 @@ from lavra.functions.text import (
     first_integer,
     fold_accents,
     is_blank,
+    named,
     outside_domain,
     squeeze_spaces,
 )
@@ -46,6 +47,7 @@ __all__ = [
     "is_blank",
     "is_plain_number",
     "is_usable_key",
+    "named",
     "normalized_decimal",
     "number_format",
     "outside_domain",

@@ -20,6 +20,11 @@ CONTROL_REPAIRS = {"\u0096": "–"}
 REPLACEMENT_CHARACTER = "�"
 
 
+def named(name: str) -> Column:
+    """A column by its exact name, whatever characters a file header put in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def blank_to_null(column: Column) -> Column:
     """NULL for the empty string, other values as they are."""
     return F.nullif(column, F.lit(""))

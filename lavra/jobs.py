@@ -226,7 +226,7 @@ def characters(c: Context) -> None:
 def validate(c: Context) -> None:
     tables = {name: c.trusted(name) for name in TRUSTED_FOLDERS}
     delivery = c.spark.read.parquet(c.delivery)
-    published = read_jdbc(c.spark, c.table(contract.DELIVERY_TABLE)) if c.jdbc else None
+    published = c.table(contract.DELIVERY_TABLE) if c.jdbc else None
     if c.check_totals:
         report = plans.validate_layers(tables, delivery, published)
         c.pass_gates("all layers", report)

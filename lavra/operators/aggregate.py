@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.functions.numeric import percent
+from lavra.functions.text import named
 
 
 def group_counts(
@@ -31,7 +32,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value"))
+                    F.struct(F.lit(name).alias("column"), named(name).cast("string").alias("value"))
                     for name in columns
                 ]
             )

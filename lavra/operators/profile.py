@@ -15,7 +15,7 @@ from lavra.functions.numeric import (
     normalized_decimal,
     number_format,
 )
-from lavra.functions.text import REPLACEMENT_CHARACTER, blank_to_null, contains_char
+from lavra.functions.text import REPLACEMENT_CHARACTER, blank_to_null, contains_char, named
 from lavra.operators.shape import available_columns, columns_of_type
 
 
@@ -28,7 +28,7 @@ def per_column(
     All are computed in a single aggregation and then laid out as rows.
     """
     aggregates = [
-        measure(F.col(name)).alias(f"m{i}_{label}")
+        measure(named(name)).alias(f"m{i}_{label}")
         for i, name in enumerate(columns)
         for label, measure in measures.items()
     ]
@@ -132,7 +132,7 @@ def source_profile(df: DataFrame, label: str, text: str | None = None) -> DataFr
     """One row on a source as read: rows, columns, names, rows that hold a text."""
     hits: Column = F.lit(0).cast("long")
     if text is not None and df.columns:
-        holds = [contains_char(F.col(f"`{name}`"), text) for name in df.columns]
+        holds = [contains_char(named(name), text) for name in df.columns]
         hits = F.count_if(F.greatest(*holds) if len(holds) > 1 else holds[0])
     return df.agg(F.count("*").alias("n_rows"), hits.alias("n_hits")).select(
         F.lit(label).alias("source"),

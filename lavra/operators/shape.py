@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.functions.files import file_name
+from lavra.functions.text import named
 
 
 def rename_by_position(
@@ -33,7 +34,7 @@ def map_columns(
     chosen = set(df.columns if columns is None else columns)
     return df.select(
         *[
-            transform(F.col(name)).alias(name) if name in chosen else F.col(name)
+            transform(named(name)).alias(name) if name in chosen else named(name)
             for name in df.columns
         ]
     )
@@ -75,9 +76,9 @@ def cast_columns(
         raise ValueError(f"no such columns: {absent}")
 
     def converted(name: str) -> Column:
+        column = named(name)
         if name not in target:
-            return F.col(name)
-        column = F.col(name)
+            return column
         cast = column.cast(target[name]) if strict else column.try_cast(target[name])
         return cast.alias(name)
 
@@ -88,11 +89,11 @@ def cast_rejects(df: DataFrame, types: dict[str, Iterable[str]]) -> DataFrame:
     """Per column to be cast: values present, and values that would not fit."""
     pairs = [(n, t) for t, names in types.items() for n in names if n in df.columns]
     counts = []
-    for name, type_name in pairs:
-        present = F.col(name).isNotNull()
-        counts.append(F.count_if(present).alias(f"{name}.present"))
+    for i, (name, type_name) in enumerate(pairs):
+        present = named(name).isNotNull()
+        counts.append(F.count_if(present).alias(f"present{i}"))
         counts.append(
-            F.count_if(present & F.col(name).try_cast(type_name).isNull()).alias(f"{name}.rejected")
+            F.count_if(present & named(name).try_cast(type_name).isNull()).alias(f"rejected{i}")
         )
     return df.agg(*counts).select(
         F.inline(
@@ -101,10 +102,10 @@ def cast_rejects(df: DataFrame, types: dict[str, Iterable[str]]) -> DataFrame:
                     F.struct(
                         F.lit(name).alias("column"),
                         F.lit(type_name).alias("target_type"),
-                        F.col(f"`{name}.present`").alias("present"),
-                        F.col(f"`{name}.rejected`").alias("rejected"),
+                        F.col(f"present{i}").alias("present"),
+                        F.col(f"rejected{i}").alias("rejected"),
                     )
-                    for name, type_name in pairs
+                    for i, (name, type_name) in enumerate(pairs)
                 ]
             )
         )

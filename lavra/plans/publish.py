@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lavra.operators.quality import Gate, expect, stack_reports
 from lavra.operators.shape import schema_diff
-from lavra.sources.jdbc import JdbcTarget, read_jdbc, write_jdbc
+from lavra.sources.jdbc import JdbcTarget, count_jdbc, read_jdbc, write_jdbc
 from lavra.sources.sink import WriteResult, write_verified
 
 
@@ -43,9 +43,16 @@ def publish_table(df: DataFrame, rows: int, target: JdbcTarget, **write_options)
     ``rows`` is the count taken when the source was written.
     """
     write_jdbc(df, target, **write_options)
-    stored = read_jdbc(df.sparkSession, target)
-    counted = expect(stored, {f"{target.table}: rows": Gate(F.count(F.lit(1)), rows)})
-    return stack_reports([counted, name_gates(df, stored, target.table)])
+    return published_gates(df, rows, target)
+
+
+def published_gates(df: DataFrame, rows: int, target: JdbcTarget) -> DataFrame:
+    """Report: rows and column names of a relational table against its source."""
+    spark = df.sparkSession
+    counted = expect(
+        count_jdbc(spark, target), {f"{target.table}: rows": Gate(F.max("n_rows"), rows)}
+    )
+    return stack_reports([counted, name_gates(df, read_jdbc(spark, target), target.table)])
 
 
 def materialize_final(

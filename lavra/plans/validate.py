@@ -12,7 +12,8 @@ from lavra.functions.text import REPLACEMENT_CHARACTER, contains_char
 from lavra.operators.quality import Gate, expect, stack_reports
 from lavra.plans import contract
 from lavra.plans.ingest import with_total
-from lavra.plans.publish import name_gates
+from lavra.plans.publish import published_gates
+from lavra.sources.jdbc import JdbcTarget
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,7 @@ def _replacement_gates(table: str, totals: Totals) -> dict[str, Gate]:
 def validate_layers(
     trusted: Mapping[str, DataFrame],
     delivery: DataFrame,
-    published: DataFrame | None = None,
+    published: JdbcTarget | None = None,
     totals: Totals | None = None,
 ) -> DataFrame:
     """All gates on the trusted tables, the delivery and its published copy.
@@ -97,6 +98,5 @@ def validate_layers(
         expect(delivery, delivery_gates),
     ]
     if published is not None:
-        rows = {"published rows": Gate(F.count(F.lit(1)), totals.delivery_rows)}
-        reports += [expect(published, rows), name_gates(delivery, published, "published")]
+        reports.append(published_gates(delivery, totals.delivery_rows, published))
     return stack_reports(reports)

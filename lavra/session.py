@@ -21,7 +21,8 @@ def build_session(
 ) -> SparkSession:
     """Session with adaptive execution on and UTC times.
 
-    ``master``, ``shuffle_partitions`` and ``driver_memory`` are for local runs;
+    ``master`` (which turns the UI off), ``shuffle_partitions`` and
+    ``driver_memory`` are for local runs;
     on a cluster leave them out, so that spark-submit decides and adaptive
     execution sizes the shuffles from ``initialPartitionNum``.
     """
@@ -31,10 +32,9 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.ui.enabled", "false")
     )
     if master:
-        builder = builder.master(master)
+        builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if driver_memory:

@@ -13,7 +13,7 @@ from lavra.sources.files import (
     structure_probe,
     write_delimited,
 )
-from lavra.sources.jdbc import JdbcTarget, jdbc_shape, read_jdbc, write_jdbc
+from lavra.sources.jdbc import JdbcTarget, count_jdbc, jdbc_shape, read_jdbc, write_jdbc
 from lavra.sources.manifest import compare_manifests, file_manifest
 from lavra.sources.sink import WriteResult, counted_write, write_parquet, write_verified
 

@@ -85,9 +85,18 @@ def write_jdbc(
     writer.save()
 
 
+def count_jdbc(spark: SparkSession, target: JdbcTarget) -> DataFrame:
+    """Rows of a table (``n_rows``), counted by the database, not by fetching them."""
+    return (
+        spark.read.format("jdbc")
+        .options(url=target.url, **target.properties)
+        .option("query", f"SELECT COUNT(*) AS n_rows FROM {target.table}")
+        .load()
+        .toDF("n_rows")
+    )
+
+
 def jdbc_shape(spark: SparkSession, target: JdbcTarget) -> DataFrame:
     """Rows and columns of a table as the database itself sees it."""
-    stored = read_jdbc(spark, target)
-    return stored.agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "n_columns", F.lit(len(stored.columns))
-    )
+    columns = len(read_jdbc(spark, target).columns)
+    return count_jdbc(spark, target).withColumn("n_columns", F.lit(columns))

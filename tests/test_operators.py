@@ -251,6 +251,17 @@ def test_distinct_counts_with_and_without_null(spark):
     assert rows(op.distinct_counts(frame, ["n", "s"])) == Counter([("n", 2, 2), ("s", 1, 2)])
 
 
+def test_reports_take_any_header_text(spark):
+    names = ["Qtd. total – CCS", "a`b", "x y"]
+    frame = spark.createDataFrame([(" 1 ", None, "�")], "a string, b string, c string").toDF(*names)
+    assert rows(op.null_profile(frame)) == Counter(zip(names, [1, 1, 1], [0, 1, 0]))
+    assert rows(op.char_scan(frame)) == Counter(zip(names, [0, 0, 1]))
+    assert rows(op.map_columns(frame, F.trim)) == Counter([("1", None, "�")])
+    assert op.cast_columns(frame, {"long": names[:2]}).collect() == [(1, None, "�")]
+    assert rows(op.distinct_counts(frame, names[:1])) == Counter([(names[0], 1, 1)])
+    assert rows(op.cast_rejects(frame, {"int": names[2:]})) == Counter([("x y", "int", 1, 1)])
+
+
 def test_profiles(spark):
     frame = spark.createDataFrame(
         [("a�", "123456789"), (None, "0"), ("b", "x")], "name string, id string"

@@ -250,7 +250,12 @@ def test_metrics_and_gates_of_the_delivery(layers):
     op.enforce(op.expect(delivery, gates))
 
 
-def test_final_table_and_validation_of_all_layers(spark, layers):
+def counted_in(table):
+    """Stands in for the count a database makes."""
+    return lambda session, target: table.agg(F.count("*").alias("n_rows"))
+
+
+def test_final_table_and_validation_of_all_layers(spark, layers, monkeypatch):
     delivery = layers["delivery"]
     result, report = plans.materialize_final(delivery, str(layers["base"] / "final"))
     op.enforce(report)
@@ -271,10 +276,13 @@ def test_final_table_and_validation_of_all_layers(spark, layers):
             "delivery.nome_enquadramento": 0,
         },
     )
-    report = plans.validate_layers(layers["trusted"], delivery, final, totals)
+    monkeypatch.setattr(publish, "read_jdbc", lambda session, target: final)
+    monkeypatch.setattr(publish, "count_jdbc", counted_in(final))
+    table = JdbcTarget("jdbc:x", "published")
+    report = plans.validate_layers(layers["trusted"], delivery, table, totals)
     op.enforce(report)
     labels = {row["check"] for row in report.collect()}
-    assert {"trusted total", "U+FFFD in enquadramento.nome", "published rows"} <= labels
+    assert {"trusted total", "U+FFFD in enquadramento.nome", "published: rows"} <= labels
     with pytest.raises(op.QualityError, match="delivery rows: found .* expected 918"):
         op.enforce(plans.validate_layers(layers["trusted"], delivery))
 
@@ -409,6 +417,7 @@ def test_publishing_compares_rows_and_column_names(spark, monkeypatch):
     written = {}
     monkeypatch.setattr(publish, "write_jdbc", lambda df, target, **o: written.update(o))
     monkeypatch.setattr(publish, "read_jdbc", lambda session, target: stored)
+    monkeypatch.setattr(publish, "count_jdbc", counted_in(stored))
     report = plans.publish_table(source, 2, JdbcTarget("jdbc:x", "t"), truncate=True)
     assert written == {"truncate": True}
     assert rows(report) == Counter(

@@ -161,6 +161,14 @@ def test_jdbc_write_bounds_connections_and_can_keep_the_table():
     assert told["mode"] == ("overwrite",) and told["save"] is True
 
 
+def test_jdbc_counts_are_left_to_the_database():
+    session = Holder()
+    src.count_jdbc(session, TARGET)
+    told = session.read.told
+    assert told["query"] == "SELECT COUNT(*) AS n_rows FROM public.t"
+    assert told["url"] == "jdbc:x:y" and told["driver"] == "d" and "dbtable" not in told
+
+
 def test_jdbc_read_splits_by_range_or_predicates():
     session = Holder()
     src.read_jdbc(session, TARGET, "id", 0, 100, 8)
