@@ -17,6 +17,7 @@ from lavra.operators import (
     flag_matches,
     group_counts,
     key_coverage,
+    measure_keys,
     preview,
     row_coverage,
     split_by_null,
@@ -159,7 +160,8 @@ def coverage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, without_id = split_by_null(t.complaints(spark, sf_dir), "cnpj_if")
     fact = without_id.select(strong_name_key(F.col("instituicao_financeira")).alias("key"))
     names = t.reviews(spark, sf_dir).select(strong_name_key(F.col("nome")).alias("key"))
-    coverage = row_coverage(flag_matches(fact, names, "key", "hit"), ["hit"])
+    flagged = flag_matches(fact, measure_keys(names, ["key"]), "key", "hit")
+    coverage = row_coverage(flagged, ["hit"])
     return coverage.withColumn("coverage_percent", F.round("coverage_percent", 6))
 
 

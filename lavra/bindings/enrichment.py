@@ -20,6 +20,7 @@ from lavra.operators import (
     enrich_left,
     flag_matches,
     matched_keys,
+    measure_keys,
     measure_reference,
     measure_references,
     split_by_null,
@@ -237,7 +238,7 @@ def left_key_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", strong_name_key(F.col("instituicao_financeira")).alias("nome_chave")
     )
     names = t.reviews(spark, sf_dir).select(strong_name_key(F.col("nome")).alias("nome_chave"))
-    return flag_matches(fact, names, "nome_chave", "has_review")
+    return flag_matches(fact, measure_keys(names, ["nome_chave"]), "nome_chave", "has_review")
 
 
 def _customers_and_urgent(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -18,6 +18,7 @@ from lavra.operators.join import (
     enrich_left,
     flag_matches,
     matched_keys,
+    measure_keys,
     measure_reference,
     measure_references,
     split_by_null,

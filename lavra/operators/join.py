@@ -81,6 +81,11 @@ def measure_reference(df: DataFrame, path: str | None = None) -> Reference:
     return Reference(table, size["rows"], size["bytes"], path)
 
 
+def measure_keys(df: DataFrame, on: Sequence[str]) -> Reference:
+    """Store and measure the distinct keys of a table."""
+    return measure_reference(df.select(*on).distinct())
+
+
 def measure_references(*tables: DataFrame) -> list[Reference]:
     """Store and measure several references at the same time."""
     with ThreadPoolExecutor(len(tables)) as pool:
@@ -146,11 +151,16 @@ def enrich_left(
 
 
 def flag_matches(
-    fact: DataFrame, reference: DataFrame, on: str | Sequence[str], flag: str
+    fact: DataFrame, reference: DataFrame | Reference, on: str | Sequence[str], flag: str
 ) -> DataFrame:
-    """Every fact row with whether its key is among the keys of the reference."""
+    """Every fact row with whether its key is among the keys of the reference.
+
+    A measured reference (``measure_keys``) must hold each key once.
+    """
     keys = [on] if isinstance(on, str) else list(on)
-    return enrich_left(fact, reference.select(*keys).distinct(), keys, {}, flag=flag)
+    if isinstance(reference, DataFrame):
+        reference = reference.select(*keys).distinct()
+    return enrich_left(fact, reference, keys, {}, flag=flag)
 
 
 def matched_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:

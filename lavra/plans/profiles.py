@@ -27,6 +27,7 @@ from lavra.operators.join import (
     enrich_left,
     flag_matches,
     matched_keys,
+    measure_keys,
     split_by_null,
     unmatched_keys,
     unmatched_rows,
@@ -208,6 +209,7 @@ def strategy_profile(
     reviewed = reviews.withColumn(NAME_KEY, strong_name_key(F.col("nome")))
     shown = [NAME_KEY, "employer_name", "segmento", "nome", "match_percent"]
     repeated = duplicate_rows(reviewed.select(*shown), [NAME_KEY])
+    known = measure_keys(reviewed, [NAME_KEY])
     availability = {
         "with tax id": F.count("cnpj_if"),
         "without tax id": F.count_if(F.col("cnpj_if").isNull()),
@@ -227,12 +229,12 @@ def strategy_profile(
         "rows of repeated review names": repeated.orderBy(
             F.asc(NAME_KEY), F.desc("match_percent"), F.asc("employer_name")
         ),
-        "names in reviews": key_coverage(named, reviewed, [NAME_KEY]),
+        "names in reviews": key_coverage(named, known.table, [NAME_KEY]),
         "rows in reviews": row_coverage(
-            flag_matches(named.select(NAME_KEY), reviewed, NAME_KEY, "hit"), ["hit"]
+            flag_matches(named.select(NAME_KEY), known, NAME_KEY, "hit"), ["hit"]
         ),
-        "names found": matched_keys(named, reviewed, [NAME_KEY]).orderBy(NAME_KEY),
-        "names not found": unmatched_keys(named, reviewed, [NAME_KEY]).orderBy(NAME_KEY),
+        "names found": matched_keys(named, known.table, [NAME_KEY]).orderBy(NAME_KEY),
+        "names not found": unmatched_keys(named, known.table, [NAME_KEY]).orderBy(NAME_KEY),
     }
     if sample_keys:
         picked = chosen.filter(F.col(TAX_KEY).isin(list(sample_keys)))

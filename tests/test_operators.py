@@ -226,6 +226,8 @@ def test_key_sets_and_coverage(spark):
     assert tuple(nothing) == (0, 0, 0, 0.0)
     flagged = op.flag_matches(left, right, "k", "hit")
     assert rows(flagged) == Counter({("a", True): 2, ("b", False): 1, (None, False): 1})
+    measured = op.flag_matches(left, op.measure_keys(right, ["k"]), "k", "hit")
+    assert rows(measured) == rows(flagged)
     assert tuple(op.row_coverage(flagged, ["hit"]).first()) == (4, 2, 2, 50.0)
     assert tuple(op.row_coverage(flagged.limit(0), ["hit"]).first()) == (0, 0, 0, 0.0)
 
