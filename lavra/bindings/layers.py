@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from lavra.bindings import tables as t
 from lavra.bindings.enrichment import PERIODS, delivery
 from lavra.bindings.registry import query
-from lavra.bindings.text import COMMA_DECIMAL, comma_decimal
-from lavra.functions import fixed_width_key
+from lavra.bindings.text import comma_decimal
+from lavra.functions import fixed_width_key, folder_name
 from lavra.operators import expect
 from lavra.plans import (
     complaint_gates,
     ingest,
+    ingest_group,
     join_keys_profile,
     join_trial,
     materialize_final,
@@ -104,6 +105,23 @@ TRUSTED = f"""
 """
 
 
+@query(
+    "raw_group_ingest",
+    """SELECT 'rows stored' AS "check", count(*) AS actual, count(*) AS expected, TRUE AS ok
+       FROM orders
+       UNION ALL
+       SELECT 'sources stored', count(DISTINCT year(o_orderdate)), 7,
+              count(DISTINCT year(o_orderdate)) = 7 FROM orders
+       UNION ALL SELECT 'malformed lines', 0, 0, TRUE""",
+)
+def raw_group_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs, base = export_periods(spark, sf_dir)
+    path = scratch_path(spark, "raw-group")
+    return ingest_group(
+        spark, specs, contract.COMPLAINT_COLUMNS, base, path, contract.SOURCE_COLUMN, folder_name()
+    )
+
+
 def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs, base = export_periods(spark, sf_dir)
     raw = scratch_path(spark, "raw")

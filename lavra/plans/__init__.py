@@ -7,7 +7,7 @@ from lavra.plans.delivery import (
     delivery_gates,
     delivery_metrics,
 )
-from lavra.plans.ingest import ingest, validate_raw
+from lavra.plans.ingest import ingest, ingest_group, validate_raw
 from lavra.plans.profiles import (
     index_profile,
     inspect_charsets,

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.operators.quality import Gate, blank_column, expect, stack_reports
-from lavra.sources.files import SourceSpec, read_delimited
-from lavra.sources.sink import write_verified
+from lavra.sources.files import MALFORMED, SourceSpec, read_delimited, read_group
+from lavra.sources.sink import write_parquet, write_verified
 
 
 def ingest(
@@ -35,6 +35,48 @@ def ingest(
     return with_total(stack_reports(reports))
 
 
+def ingest_group(
+    spark: SparkSession,
+    specs: Sequence[SourceSpec],
+    names: Sequence[str],
+    input_base: str,
+    path: str,
+    source_column: str,
+    source: Column | None = None,
+) -> DataFrame:
+    """Ingest sources of one layout in one job, as one dataset partitioned by source.
+
+    The report says whether all rows and sources were stored, whether any line had too
+    few or too many fields, and whether each source has the rows its descriptor expects.
+    """
+    layouts = {(spec.sep, spec.encoding) for spec in specs}
+    if len(layouts) != 1:
+        raise ValueError(f"sources of one group must share separator and charset: {layouts}")
+    ((sep, encoding),) = layouts
+    paths = [spec.input_path(input_base) for spec in specs]
+    table = read_group(
+        spark, paths, names, sep, encoding, source_column, source, keep_malformed=True
+    )
+    seen = Observation()
+    counted = table.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed"),
+    )
+    write_parquet(counted.drop(MALFORMED), path, [source_column])
+    stored = spark.read.schema(table.drop(MALFORMED).schema).parquet(path)
+    gates = {
+        "rows stored": Gate(F.count(F.lit(1)), seen.get["rows"]),
+        "sources stored": Gate(F.count_distinct(source_column), len(specs)),
+        "malformed lines": Gate(F.max(F.lit(seen.get["malformed"])), 0),
+    }
+    for spec in specs:
+        if spec.expected_rows is not None:
+            of_source = F.count_if(F.col(source_column) == spec.file)
+            gates[f"{spec.file}: rows"] = Gate(of_source, spec.expected_rows)
+    return expect(stored, gates)
+
+
 def validate_raw(
     spark: SparkSession,
     specs: Sequence[SourceSpec],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions.files import file_name
@@ -63,12 +63,14 @@ def read_group(
     sep: str,
     encoding: str = "UTF-8",
     source_column: str | None = None,
+    source: Column | None = None,
     keep_malformed: bool = False,
 ) -> DataFrame:
     """Many files of one layout in a single scan, columns named by position.
 
     With the names given Spark opens no file to plan the scan, so this serves a
-    folder of many files. ``keep_malformed`` adds a column with the text of lines
+    folder of many files. ``source_column`` adds where a row came from: its file's
+    name, or the expression ``source``. ``keep_malformed`` adds a column with the text of lines
     that have too few or too many fields (else NULL), to be gated on.
     """
     fields = [*names, MALFORMED] if keep_malformed else list(names)
@@ -84,7 +86,7 @@ def read_group(
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     df = reader.csv(list(paths))
     if source_column:
-        df = df.withColumn(source_column, file_name())
+        df = df.withColumn(source_column, file_name() if source is None else source)
     return df
 
 

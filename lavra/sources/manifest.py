@@ -20,20 +20,27 @@ CHUNK_BYTES = 8 * 1024 * 1024
 _SCHEMA = "uri string, size_bytes long, sha256 string"
 
 
-def _hash_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("uri", pa.string()), ("size_bytes", pa.int64()), ("sha256", pa.string())])
-    for batch in batches:
-        for row in batch.to_pylist():
-            parts = urlsplit(row["uri"])
-            scheme = {"s3a": "s3"}.get(parts.scheme, parts.scheme)
-            located = f"{scheme}://{parts.netloc}{quote(unquote(parts.path))}"
-            filesystem, name = pafs.FileSystem.from_uri(located)
-            digest = hashlib.sha256()
-            with filesystem.open_input_stream(name) as stream:
-                while chunk := stream.read(CHUNK_BYTES):
-                    digest.update(chunk)
-            hashed = {**row, "sha256": digest.hexdigest().upper()}
-            yield pa.RecordBatch.from_pylist([hashed], schema=schema)
+def _stream_hasher(chunk_bytes: int):
+    """The function tasks run. Being local, it is sent whole: executors need not have lavra."""
+
+    def hash_streams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema(
+            [("uri", pa.string()), ("size_bytes", pa.int64()), ("sha256", pa.string())]
+        )
+        for batch in batches:
+            for row in batch.to_pylist():
+                parts = urlsplit(row["uri"])
+                scheme = {"s3a": "s3"}.get(parts.scheme, parts.scheme)
+                located = f"{scheme}://{parts.netloc}{quote(unquote(parts.path))}"
+                filesystem, name = pafs.FileSystem.from_uri(located)
+                digest = hashlib.sha256()
+                with filesystem.open_input_stream(name) as stream:
+                    while chunk := stream.read(chunk_bytes):
+                        digest.update(chunk)
+                hashed = {**row, "sha256": digest.hexdigest().upper()}
+                yield pa.RecordBatch.from_pylist([hashed], schema=schema)
+
+    return hash_streams
 
 
 def _one_slash(uri: Column) -> Column:
@@ -64,7 +71,7 @@ def file_manifest(
         files.filter(F.col("length") > whole_file_bytes)
         .select(uri, size)
         .repartition("uri")
-        .mapInArrow(_hash_streams, _SCHEMA)
+        .mapInArrow(_stream_hasher(CHUNK_BYTES), _SCHEMA)
     )
     hashed = small.unionByName(large).select(
         _one_slash(F.col("uri")).alias("uri"), "size_bytes", "sha256"

@@ -60,6 +60,25 @@ def test_ingest_reports_every_source_and_the_total(layers):
     assert rows(layers["report"]) == Counter([*expected, ("total", total, total, True)])
 
 
+def test_group_ingest_is_one_job_and_gives_the_same_trusted_rows(spark, layers, tmp_path):
+    specs, path = layers["specs"][:7], str(tmp_path / "group")
+    folder = str(layers["base"] / "input")
+    report = plans.ingest_group(
+        spark, specs, contract.COMPLAINT_COLUMNS, folder, path, contract.SOURCE_COLUMN
+    )
+    op.enforce(report)
+    assert report.count() == 3 + 7
+    frame = plans.trusted_complaints(spark.read.parquet(path))
+    assert rows(frame) == rows(layers["reclamacoes"])
+    narrow = plans.ingest_group(
+        spark, specs, contract.COMPLAINT_COLUMNS[:14], folder, path, contract.SOURCE_COLUMN
+    )
+    with pytest.raises(op.QualityError, match="malformed lines: found"):
+        op.enforce(narrow)
+    with pytest.raises(ValueError, match="share separator and charset"):
+        plans.ingest_group(spark, contract.SOURCES, ["a"], folder, path, "s")
+
+
 def test_raw_validation(spark, layers):
     blank = {"reclamacoes": contract.TRAILING_COLUMN}
     report = plans.validate_raw(spark, layers["specs"], layers["raw"], blank)
