@@ -58,9 +58,15 @@ def fold_accents(column: Column) -> Column:
 
 
 def drop_suffix(column: Column, suffix: str) -> Column:
-    """Without a literal suffix and the white space around it."""
-    without = F.regexp_replace(column, rf"\s*{re.escape(suffix)}\s*$", "")
-    return F.when(column.contains(suffix), without).otherwise(column)
+    """Without a literal suffix and the white space around it.
+
+    Text that does not end in the suffix stays as it is. Trimming is linear in the
+    length of a text; a pattern that ends in white space is not.
+    """
+    white = F.lit(" \t\n\x0b\f\r")
+    trimmed = F.rtrim(column, white)
+    kept = F.rtrim(F.left(trimmed, F.length(trimmed) - len(suffix)), white)
+    return F.when(trimmed.endswith(suffix), kept).otherwise(column)
 
 
 def squeeze_spaces(column: Column) -> Column:

@@ -16,6 +16,7 @@ from lavra.functions.files import file_name
 # A file up to this size is hashed from a binary column, a larger one as a stream.
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 CHUNK_BYTES = 8 * 1024 * 1024
+MOST_TASKS = 10_000
 
 _SCHEMA = "uri string, size_bytes long, sha256 string"
 
@@ -63,6 +64,7 @@ def file_manifest(
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     files = reader.load(paths)
+    names = files.inputFiles()
     uri, size = F.col("_metadata.file_path").alias("uri"), F.col("length").alias("size_bytes")
     small = files.filter(F.col("length") <= whole_file_bytes).select(
         uri, size, F.upper(F.sha2("content", 256)).alias("sha256")
@@ -70,14 +72,16 @@ def file_manifest(
     large = (
         files.filter(F.col("length") > whole_file_bytes)
         .select(uri, size)
-        .repartition("uri")
+        # A number given here stays; else adaptive execution would see a few short
+        # rows and give all files to one task.
+        .repartition(min(max(len(names), 1), MOST_TASKS), "uri")
         .mapInArrow(_stream_hasher(CHUNK_BYTES), _SCHEMA)
     )
     hashed = small.unionByName(large).select(
         _one_slash(F.col("uri")).alias("uri"), "size_bytes", "sha256"
     )
     # Spark's scan passes over files of no bytes; its listing has them.
-    listed = spark.createDataFrame([(name,) for name in files.inputFiles()], "uri string")
+    listed = spark.createDataFrame([(name,) for name in names], "uri string")
     listed = listed.select(_one_slash(F.col("uri")).alias("uri"))
     return listed.join(hashed, "uri", "left").select(
         file_name(F.element_at(F.split("uri", "/"), -1)).alias("file"),

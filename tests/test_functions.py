@@ -82,6 +82,20 @@ def test_strong_name_key(column):
     ]
 
 
+def test_drop_suffix(column):
+    values = ["A  (X) \n", "A (X) (X)", "(X) A", "(X)", "A ", None, "A(X)", "A (X)\t b"]
+    assert column(lambda c: fn.drop_suffix(c, "(X)"), values) == [
+        "A",
+        "A (X)",
+        "(X) A",
+        "",
+        "A ",
+        None,
+        "A",
+        "A (X)\t b",
+    ]
+
+
 def test_weak_name_key_keeps_accents(column):
     assert column(fn.weak_name_key, ["  são \t paulo  s.a. ", None]) == ["SÃO PAULO S.A.", None]
 

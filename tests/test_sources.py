@@ -87,6 +87,15 @@ def test_manifest_hashes_small_and_large_files_alike(spark, tmp_path, limit):
     )
 
 
+def test_large_files_are_spread_over_tasks(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"{i}.bin").write_bytes(str(i).encode())
+    manifest = src.file_manifest(spark, str(tmp_path), whole_file_bytes=0)
+    manifest.collect()
+    plan = manifest._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_copies_are_compared_file_by_file(spark):
     schema = "file string, size_bytes long, sha256 string"
     left = spark.createDataFrame([("a", 1, "X"), ("b", 1, "Y"), ("c", 1, "Z")], schema)
