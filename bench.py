@@ -44,7 +44,7 @@ HEADLINE = [
     "file_manifest",
     "raw_to_trusted",
 ]
-RUNS = 2
+RUNS = 3
 
 
 def run(spark, name: str, sf_dir: str) -> float:

@@ -31,9 +31,9 @@ def blank_to_null(column: Column) -> Column:
 
 
 def clean_text(column: Column, repairs: Mapping[str, str] | None = None) -> Column:
-    """Repair single characters, trim spaces (tabs and NBSP stay), blank to NULL."""
-    if repairs:
-        column = F.translate(column, "".join(repairs), "".join(repairs.values()))
+    """Repair characters in turn, trim spaces (tabs and NBSP stay), blank to NULL."""
+    for wrong, right in (repairs or {}).items():
+        column = F.replace(column, F.lit(wrong), F.lit(right))
     return blank_to_null(F.trim(column))
 
 
