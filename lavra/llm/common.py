@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import lavra
 from lavra.session import scratch_path
@@ -60,6 +61,11 @@ def map_batches(
     return frame.mapInArrow(function, schema)
 
 
+def widened(frame: DataFrame, extra: str) -> T.StructType:
+    """The schema of ``frame`` with more fields, given as in SQL."""
+    return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(extra).fields])
+
+
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of a value as text, modulo ``modulus``; NULL for NULL."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(modulus))

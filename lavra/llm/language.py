@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import map_batches, slices, stored
+from lavra.llm.common import map_batches, slices, stored, widened
 
 BUCKETS = 1 << 17
 MAX_LANGUAGES = 128
@@ -338,7 +338,4 @@ def label_rows(frame: DataFrame, model: LanguageModel, text: str) -> DataFrame:
                 names=names,
             )
 
-    schema = frame.schema
-    return map_batches(
-        frame, label, schema.add("__lang_pred", "string").add("__score", "double")
-    )
+    return map_batches(frame, label, widened(frame, "__lang_pred string, __score double"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import language, secrets
-from lavra.llm.common import crc_mod, documents, held_out
+from lavra.llm import language, packing, pieces, secrets, toxicity, warc
+from lavra.llm.common import documents, held_out
+from lavra.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: None of the ten can be told in SQL as a whole; tests/llm holds brute-force versions.
@@ -44,3 +46,42 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.spans_text().alias("spans"),
         "n_entropy",
     )
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = warc.with_responses(documents(spark, sf_dir, "pages"))
+    path = scratch_path(spark, "archive")
+    warc.write_archive(warc.chunk_table(pages), path)
+    return warc.read_archive(spark, path).select(
+        F.col("key").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+    )
+
+
+@query
+def op6_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_pieces(documents(spark, sf_dir), model, ids=False)
+
+
+@query
+def op10_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
+    training = docs.filter(~held_out("doc_id", 5, 0))
+    model = toxicity.train_toxicity_model(toxicity.labelled_texts(training, labels))
+    return toxicity.score_toxicity(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        F.col("__score").alias("score"),
+        (F.col("__score") >= 0.5).cast("int").alias("predicted"),
+        F.size("__passages").alias("n_passages"),
+    )
