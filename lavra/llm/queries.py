@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import language, packing, pieces, secrets, toxicity, warc
+from lavra.llm import fingerprint, language, packing, pieces, secrets, toxicity, vectors, warc
 from lavra.llm.common import documents, held_out
 from lavra.session import scratch_path
 
@@ -85,3 +85,13 @@ def op10_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("__score") >= 0.5).cast("int").alias("predicted"),
         F.size("__passages").alias("n_passages"),
     )
+
+
+@query
+def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(documents(spark, sf_dir))
+
+
+@query
+def op9_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(documents(spark, sf_dir, "embeddings"))
