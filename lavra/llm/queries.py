@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import fingerprint, language, packing, pieces, secrets, toxicity, vectors, warc
+from lavra.llm import fingerprint, language, packing, pieces, secrets, shingle_join, toxicity, vectors, warc
 from lavra.llm.common import documents, held_out
 from lavra.session import scratch_path
 
@@ -95,3 +95,8 @@ def op8_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(documents(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.similar_texts(documents(spark, sf_dir))
