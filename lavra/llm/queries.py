@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import fingerprint, language, packing, pieces, secrets, shingle_join, toxicity, vectors, warc
+from lavra.llm import fingerprint, language, lm, packing, pieces, secrets, shingle_join, toxicity, vectors, warc
 from lavra.llm.common import documents, held_out
 from lavra.session import scratch_path
 
@@ -100,3 +100,19 @@ def op9_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.similar_texts(documents(spark, sf_dir))
+
+
+@query
+def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    training = docs.filter(~held_out("doc_id", 7, 2))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return lm.score_texts(docs, training, vocabulary).select(
+        "doc_id",
+        held_out("doc_id", 7, 2).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
