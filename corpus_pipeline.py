@@ -2,7 +2,8 @@
 
 toxicity        documents scored as toxic go
 language        documents without a language, or of no language in most letters, go
-near_duplicates one document stays of each group of near copies, that of the smallest id
+near_duplicates one document stays of each group of near copies (five-word shingles, 0.8),
+                that of the smallest id
 secrets         secrets in the texts are replaced by their kind
 packing         token pieces of the documents in sequences of 2048
 
@@ -14,17 +15,15 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lavra.llm import language, packing, secrets, shingle_join, toxicity
+from lavra.llm import language, packing, secret_spans, shingle_join, toxicity
 from lavra.llm.common import documents, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = documents(spark, sf_dir, "labels")
     model = toxicity.train_toxicity_model(toxicity.labelled_texts(docs, labels))
-    scored = toxicity.score_toxicity(docs, model)
-    return scored.filter(F.col("__score") < 0.5).select(*_same(docs))
+    return toxicity.keep_harmless(docs, model)
 
 
 def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,25 +32,20 @@ def drop_unidentified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of repeated rows of the document that stays, one stays."""
-    groups = shingle_join.similar_texts(docs)
+    groups = shingle_join.similar_texts(docs, least=(80, 100), width=5)
     kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id") == F.col("__kept"))
-    rows = rows.select(*_same(docs)).dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.filter(F.col("doc_id").isNull()))
+    rows = docs.join(kept, docs["doc_id"] == kept["doc_id"], "left_semi")
+    return rows.dropDuplicates(["doc_id"]).union(docs.filter(docs["doc_id"].isNull()))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs)
+    return secret_spans.redact(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-def _same(docs: DataFrame) -> list:
-    return [F.col(f"`{name}`") for name in docs.columns]
-
-
 STAGES = [
     ("toxicity", drop_toxic),
     ("language", drop_unidentified),

@@ -10,7 +10,6 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import lavra
 from lavra.session import scratch_path
@@ -61,11 +60,6 @@ def map_batches(
     return frame.mapInArrow(function, schema)
 
 
-def widened(frame: DataFrame, extra: str) -> T.StructType:
-    """The schema of ``frame`` with more fields, given as in SQL."""
-    return T.StructType([*frame.schema.fields, *T.StructType.fromDDL(extra).fields])
-
-
 def crc_mod(column: str, modulus: int) -> Column:
     """crc32 of a value as text, modulo ``modulus``; NULL for NULL."""
     return F.pmod(F.crc32(F.col(column).cast("string")), F.lit(modulus))
@@ -88,6 +82,33 @@ def slices(lengths: Sequence[int], limit: int = SLICE_CHARS) -> Iterator[tuple[i
         yield start, len(lengths)
 
 
+class Memo:
+    """Remembers values of short keys in a bounded table.
+
+    Two generations: once the young one is full it becomes the old one, from which keys
+    that are asked for again move on; the rest is forgotten with the next change.
+    """
+
+    def __init__(self, entries: int, key_chars: int):
+        self.entries, self.key_chars = entries, key_chars
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def values(self, keys: Sequence[str], compute: Callable[[list[str]], Sequence]) -> list:
+        """The value of each key; ``compute`` gives those of keys not remembered."""
+        found = list(map(self.young.get, keys))
+        if None in found:
+            missing = {k for k, v in zip(keys, found, strict=True) if v is None}
+            known = {k: v for k in missing if (v := self.old.get(k)) is not None}
+            new = [k for k in missing if k not in known]
+            known.update(zip(new, compute(new), strict=True))
+            found = [known[k] if v is None else v for k, v in zip(keys, found, strict=True)]
+            if len(self.young) > self.entries:
+                self.young, self.old = {}, self.young
+            self.young.update((k, v) for k, v in known.items() if len(k) <= self.key_chars)
+        return found
+
+
 def batch(columns: dict[str, Sequence], schema: pa.Schema) -> pa.RecordBatch:
     """A record batch with the columns in the order of ``schema``."""
     return pa.RecordBatch.from_arrays(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import map_batches, slices, stored, widened
+from lavra.llm.common import map_batches, slices, stored
 
 BUCKETS = 1 << 17
 MAX_LANGUAGES = 128
@@ -311,31 +311,17 @@ def keep_identified(
     frame: DataFrame, model: LanguageModel, text: str = "text", least_score: float = 0.5
 ) -> DataFrame:
     """Rows whose language is determined and covers ``least_score`` of the letters."""
-    labelled = label_rows(frame, model, text)
-    return labelled.filter(
-        (F.col("__lang_pred") != UNDETERMINED) & (F.col("__score") >= least_score)
-    ).select(*(F.col(f"`{c}`") for c in frame.columns))
-
-
-def label_rows(frame: DataFrame, model: LanguageModel, text: str) -> DataFrame:
-    """All columns of ``frame`` with ``__lang_pred`` and ``__score`` beside them."""
     shared = frame.sparkSession.sparkContext.broadcast(model)
     at = frame.columns.index(text)
-    names = [*frame.columns, "__lang_pred", "__score"]
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             texts = [t or "" for t in rows.column(at).to_pylist()]
             found: list[tuple] = []
             for low, high in slices([len(t) for t in texts]):
                 found += _label(texts[low:high], shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *rows.columns,
-                    pa.array([p[0] for p in found], pa.string()),
-                    pa.array([p[1] for p in found], pa.float64()),
-                ],
-                names=names,
+            yield rows.filter(
+                pa.array([n != UNDETERMINED and score >= least_score for n, score, _ in found], pa.bool_())
             )
 
-    return map_batches(frame, label, widened(frame, "__lang_pred string, __score double"))
+    return map_batches(frame, keep, frame.schema)

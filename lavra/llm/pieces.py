@@ -29,10 +29,10 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from lavra.llm.common import map_batches
+from lavra.llm.common import Memo, map_batches
 
 SPACE = "▁"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 PAIR_ENTRIES = 1_000_000
 CACHED_CHARS = 48
 
@@ -87,7 +87,7 @@ class PieceEncoder:
                 -1,
             )
         self.compatible: dict[int, bool] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.memo = Memo(CACHE_ENTRIES, CACHED_CHARS)
 
     def merged(self, text: str) -> list[str]:
         """Plain merging; for short texts."""
@@ -162,18 +162,10 @@ class PieceEncoder:
         if not text:
             return []
         chunks = self.chunk.findall(SPACE + text.replace(" ", SPACE))
-        cache = self.cache
-        if len(cache) > CACHE_ENTRIES:
-            cache.clear()
-        found = list(map(cache.get, chunks))
-        if None in found:
-            for i, ids in enumerate(found):
-                if ids is None:
-                    chunk = chunks[i]
-                    found[i] = cache.get(chunk) or self._chunk(chunk)
-                    if len(chunk) <= CACHED_CHARS:
-                        cache[chunk] = found[i]
-        return list(chain.from_iterable(found))
+        return list(chain.from_iterable(self.memo.values(chunks, self._chunks)))
+
+    def _chunks(self, chunks: list[str]) -> list[tuple[int, ...]]:
+        return [self._chunk(chunk) for chunk in chunks]
 
     def decode(self, ids: list[int]) -> str:
         text = "".join(map(self.decoded.__getitem__, ids))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import fingerprint, language, lm, packing, pieces, secrets, shingle_join, toxicity, vectors, warc
+from lavra.llm import fingerprint, language, lm, packing, pieces, secret_spans, shingle_join, toxicity, vectors, warc
 from lavra.llm.common import documents, held_out
 from lavra.session import scratch_path
 
@@ -37,13 +37,13 @@ def op1_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.find_secrets(documents(spark, sf_dir)).select(
+    return secret_spans.find_secrets(documents(spark, sf_dir)).select(
         "doc_id",
         "n_assign",
         "n_access",
         "n_hex",
         "base_sha256",
-        secrets.spans_text().alias("spans"),
+        secret_spans.spans_text().alias("spans"),
         "n_entropy",
     )
 
@@ -78,12 +78,12 @@ def op10_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), documents(spark, sf_dir, "labels")
     training = docs.filter(~held_out("doc_id", 5, 0))
     model = toxicity.train_toxicity_model(toxicity.labelled_texts(training, labels))
-    return toxicity.score_toxicity(docs, model, keep=["doc_id"]).select(
+    return toxicity.score_toxicity(docs, model).select(
         "doc_id",
         held_out("doc_id", 5, 0).alias("held_out"),
-        F.col("__score").alias("score"),
-        (F.col("__score") >= 0.5).cast("int").alias("predicted"),
-        F.size("__passages").alias("n_passages"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"),
     )
 
 

@@ -1,4 +1,4 @@
-"""Exact self-join of texts on the Jaccard similarity of their word 4-grams.
+"""Exact self-join of texts on the Jaccard similarity of their word n-grams.
 
 A text's set holds the 64-bit hashes of its distinct shingles. Texts with equal sets are
 one class. Every class sends the rarest shingles of its set, as many as two sets of
@@ -65,11 +65,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def shingles(words: np.ndarray) -> np.ndarray:
-    """A hash for each run of four words; one for all words if there are fewer."""
+def shingles(words: np.ndarray, width: int) -> np.ndarray:
+    """A hash for each run of ``width`` words; one for all words if there are fewer."""
     if not len(words):
         return words
-    width = min(SHINGLE_WORDS, len(words))
+    width = min(width, len(words))
     factor = np.uint64(0x9E3779B97F4A7C15)
     value = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
@@ -81,7 +81,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def shingle_statistics(frame: DataFrame, text: str) -> DataFrame:
+def shingle_statistics(frame: DataFrame, text: str, width: int) -> DataFrame:
     """(kind, key, n): words (0) and shingles (1) that repeat within a batch; all words (2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,7 +104,7 @@ def shingle_statistics(frame: DataFrame, text: str) -> DataFrame:
             if not texts:
                 continue
             total += sum(map(len, texts))
-            sets = [np.unique(shingles(w)) for w in texts]
+            sets = [np.unique(shingles(w, width)) for w in texts]
             for k, (values, least) in enumerate(((texts, 16), (sets, 2))):
                 keys, n = np.unique(np.concatenate(values), return_counts=True)
                 often = n >= least
@@ -130,7 +130,8 @@ def shingle_statistics(frame: DataFrame, text: str) -> DataFrame:
 class Rarity:
     """An order of shingles, rare ones first; the same everywhere."""
 
-    def __init__(self, words: pd.DataFrame, common: pd.DataFrame, total: int):
+    def __init__(self, words: pd.DataFrame, common: pd.DataFrame, total: int, width: int):
+        self.width = width
         words, common = words.sort_values("key"), common.sort_values("key")
         self.words = words["key"].to_numpy(np.int64)
         bits = -np.log2(words["n"].to_numpy(float) / max(total, 1))
@@ -139,19 +140,19 @@ class Rarity:
         self.level = np.log2(np.maximum(common["n"].to_numpy(float), 1)).astype(np.int8)
 
     @classmethod
-    def of(cls, frame: DataFrame, text: str) -> Rarity:
-        counts = stored(shingle_statistics(frame, text), "shingle-statistics")
+    def of(cls, frame: DataFrame, text: str, width: int) -> Rarity:
+        counts = stored(shingle_statistics(frame, text, width), "shingle-statistics")
 
         def top(kind: int, most: int) -> pd.DataFrame:
             rows = counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "key")
             return rows.select("key", "n").limit(most).toPandas()
 
         total = counts.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
-        return cls(top(0, COMMON_WORDS), top(1, COMMON_SHINGLES), total)
+        return cls(top(0, COMMON_WORDS), top(1, COMMON_SHINGLES), total, width)
 
     def prefix(self, words: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """The sorted set of a text's shingles, and the rarest of them that it sends."""
-        values = shingles(words)
+        values = shingles(words, self.width)
         keys, first = np.unique(values, return_index=True)
         n = len(keys)
         share = -(-least[0] * n // least[1])  # the least overlap with any partner
@@ -313,14 +314,17 @@ def _search_block(least: tuple[int, int]):
     return run
 
 
-def member_sets(frame: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
+def member_sets(
+    frame: DataFrame, members: DataFrame, key: str, text: str, width: int
+) -> DataFrame:
     """Members (doc_id, digest and more) with the bytes of their sets, from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             digests, blobs = [], []
             for value in rows.column(0):
-                blob = np.unique(shingles(word_hashes(value.as_py() or ""))).tobytes()
+                words = word_hashes(value.as_py() or "")
+                blob = np.unique(shingles(words, width)).tobytes()
                 blobs.append(blob)
                 digests.append(xxhash.xxh3_128_hexdigest(blob))
             yield pa.RecordBatch.from_arrays(
@@ -349,12 +353,13 @@ def similar_texts(
     key: str = "doc_id",
     text: str = "text",
     least: tuple[int, int] = (85, 100),
+    width: int = SHINGLE_WORDS,
 ) -> DataFrame:
     """doc_id, n_shingles and component_id for each row; texts link from a similarity of
-    ``least[0] / least[1]`` on."""
+    ``least[0] / least[1]`` of their shingles of ``width`` words on."""
     spark = frame.sparkSession
     ship(spark)
-    rarity = Rarity.of(frame, text)
+    rarity = Rarity.of(frame, text, width)
     rows = stored(text_sets(frame, rarity, key, text, least), "shingle-sets")
     classes = (
         rows.filter(F.col("digest").isNotNull())
@@ -363,7 +368,7 @@ def similar_texts(
         .select(F.monotonically_increasing_id().alias("class"), "digest", "doc_id")
     )
     classes = stored(classes, "shingle-classes")
-    links = stored(_links(frame, rows, classes, key, text, least), "shingle-links")
+    links = stored(_links(frame, rows, classes, key, text, least, width), "shingle-links")
     roots = components(links)
     named = classes.join(roots, F.col("class") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("component", "class").alias("root")
@@ -382,6 +387,7 @@ def _links(
     key: str,
     text: str,
     least: tuple[int, int],
+    width: int,
 ) -> DataFrame:
     """Pairs of classes that span the components of the links."""
     # One row per class: its sets are equal, so any row's shingles will do.
@@ -417,7 +423,7 @@ def _links(
     totals = stored(totals, "shingle-components")
     placed = hot_join(members, totals, "component")
     sets = stored(
-        member_sets(frame, placed, key, text).dropDuplicates(["class"]), "shingle-member-sets"
+        member_sets(frame, placed, key, text, width).dropDuplicates(["class"]), "shingle-member-sets"
     )
     small = sets.filter("blocks = 1")
     shingles_in_small = totals.filter("blocks = 1").agg(F.sum("all_shingles")).first()[0] or 0

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import map_batches, stored, widened
+from lavra.llm.common import map_batches, stored
 
 WORD = re.compile(r"[^\W\d_]+")
 PRIOR = 1000.0
@@ -138,8 +138,9 @@ def labelled_texts(
     )
     if single.count() <= BROADCAST_LABELS:
         single = F.broadcast(single)
-    return frame.join(single, frame[key] == single["__key"]).select(
-        F.col("__toxic").alias("toxic"), frame[text].alias("text")
+    texts = frame.select(F.col(key).alias("__doc"), F.col(text).alias("text"))
+    return texts.join(single, F.col("__doc") == F.col("__key")).select(
+        F.col("__toxic").alias("toxic"), "text"
     )
 
 
@@ -235,15 +236,11 @@ def _calibrate(model: ToxicityModel, rows: DataFrame) -> None:
 
 
 def score_toxicity(
-    frame: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] | None = None
+    frame: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The columns ``keep`` (all by default) with ``__score`` and ``__passages``.
-
-    Passages are runs of words with their places and their evidence.
-    """
-    keep = frame.columns if keep is None else keep
-    chosen = frame.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias("__text"))
+    """key, score, and the passages: runs of words with their places and evidence."""
     shared = frame.sparkSession.sparkContext.broadcast(model)
+    kind = frame.schema[key].dataType.simpleString()
     passage = pa.struct(
         [("first_word", pa.int32()), ("last_word", pa.int32()), ("evidence", pa.float64())]
     )
@@ -252,7 +249,7 @@ def score_toxicity(
         model = shared.value
         for rows in batches:
             scores, found = [], []
-            for value in rows.column(len(keep)):
+            for value in rows.column(1):
                 _, evidence, significant = passages(value.as_py() or "", model)
                 scores.append(model.score(evidence))
                 found.append(
@@ -260,15 +257,34 @@ def score_toxicity(
                 )
             yield pa.RecordBatch.from_arrays(
                 [
-                    *rows.columns[: len(keep)],
+                    rows.column(0),
                     pa.array(scores, pa.float64()),
                     pa.array(found, pa.list_(passage)),
                 ],
-                names=[*keep, "__score", "__passages"],
+                names=[key, "score", "passages"],
             )
 
-    extra = (
-        "__score double, "
-        "__passages array<struct<first_word:int,last_word:int,evidence:double>>"
+    return map_batches(
+        frame.select(key, text),
+        run,
+        f"`{key}` {kind}, score double, "
+        "passages array<struct<first_word:int,last_word:int,evidence:double>>",
     )
-    return map_batches(chosen, run, widened(chosen.drop("__text"), extra))
+
+
+def keep_harmless(
+    frame: DataFrame, model: ToxicityModel, text: str = "text", below: float = 0.5
+) -> DataFrame:
+    """Rows whose text scores below a limit."""
+    shared = frame.sparkSession.sparkContext.broadcast(model)
+    at = frame.columns.index(text)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for rows in batches:
+            scores = (
+                model.score(passages(value.as_py() or "", model)[1]) for value in rows.column(at)
+            )
+            yield rows.filter(pa.array([score < below for score in scores], pa.bool_()))
+
+    return map_batches(frame, keep, frame.schema)
