@@ -24,10 +24,16 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
 
 def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written to the shared folder and read back: later steps start from files."""
+    return stored_twice(frame, label)[0]
+
+
+def stored_twice(frame: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """The same as two readings, which can be put together without mixing up columns."""
     spark = frame.sparkSession
     path = scratch_path(spark, label)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    read = spark.read.schema(frame.schema)
+    return read.parquet(path), read.parquet(path)
 
 
 _shipped: set[str] = set()

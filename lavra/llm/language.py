@@ -278,10 +278,10 @@ def label_languages(
 
 
 def _label(texts: list[str], model: LanguageModel) -> Iterator[tuple[str, float, list[dict]]]:
-    if not model.languages:
+    f = features(texts)
+    if not model.languages or not len(f.start):
         yield from ((UNDETERMINED, 0.0, []) for _ in texts)
         return
-    f = features(texts)
     path = viterbi(word_scores(f, model), f.first_word, SWITCH_PENALTY)
     languages = len(model.languages)
     text_of = np.repeat(np.arange(len(texts)), np.diff(f.first_word))

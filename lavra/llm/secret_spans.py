@@ -69,7 +69,8 @@ def _class_table() -> tuple[list[int], list[float]]:
 
 
 _BITS, _THRESHOLDS = _class_table()
-_NLOGN = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
+#: n log n, also for the moment at which the window holds one character more.
+_NLOGN = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 2)]
 
 
 def entropy_windows(candidate: str) -> list[tuple[int, int]]:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import map_batches, ship, stored
+from lavra.llm.common import map_batches, ship, stored, stored_twice
 from lavra.llm.components import components, hot_join
 
 SHINGLE_WORDS = 4
@@ -422,7 +422,7 @@ def _links(
     )
     totals = stored(totals, "shingle-components")
     placed = hot_join(members, totals, "component")
-    sets = stored(
+    sets, again = stored_twice(
         member_sets(frame, placed, key, text, width).dropDuplicates(["class"]), "shingle-member-sets"
     )
     small = sets.filter("blocks = 1")
@@ -437,11 +437,16 @@ def _links(
     large = totals.filter("blocks > 1")
     if large.isEmpty():
         return found
-    return found.unionByName(_large_links(sets.filter("blocks > 1"), least))
+    return found.unionByName(
+        _large_links(sets.filter("blocks > 1"), again.filter("blocks > 1"), least)
+    )
+
 
+def _large_links(sets: DataFrame, again: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Links inside components of several blocks: pivots first, then what they left.
 
-def _large_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Links inside components of several blocks: pivots first, then what they left."""
+    ``again`` is a second reading of the sets, for the queries.
+    """
     dealt = sets.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
     keys = ["component", "block", "queries"]
     first = dealt.groupBy("component").agg(
@@ -449,7 +454,7 @@ def _large_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
     )
     pivots = first.select("component", F.explode("pivots").alias("pivot"))
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    queries = dealt.join(
+    queries = again.join(
         F.broadcast(pivots.select(F.col("pivot").alias("class"))), "class", "left_semi"
     ).select("component", "class", "shingles", every_block.alias("block"), F.lit(0).cast("long").alias("queries"))
     members = dealt.select("component", "block", "class", "shingles", F.lit(0).cast("long").alias("queries"))
@@ -465,7 +470,7 @@ def _large_links(sets: DataFrame, least: tuple[int, int]) -> DataFrame:
         .select("component", F.col("best.pivot").alias("pivot"))
     )
     settled = near.join(F.broadcast(best), F.col("a") == F.col("pivot")).select(F.col("b").alias("class"))
-    left = stored(dealt.join(settled, "class", "left_anti"), "unsettled")
+    left = stored(again.join(settled, "class", "left_anti"), "unsettled")
     blocks = left.groupBy("component").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES),
