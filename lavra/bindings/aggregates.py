@@ -56,7 +56,7 @@ def group_counts_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
         GROUP BY tipo ORDER BY n_rows DESC""",
 )
 def no_key_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, without_id = split_by_null(t.complaints(spark, sf_dir), "cnpj_if")
+    _, without_id = split_by_null(t.complaint_ids(spark, sf_dir), "cnpj_if")
     return group_counts(without_id, ["tipo"], [F.desc("n_rows")])
 
 
@@ -115,7 +115,7 @@ def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT 'ano', count(DISTINCT ano), count(DISTINCT ano) FROM c""",
 )
 def distinct_counts_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_counts(t.complaints(spark, sf_dir), ["cnpj_if", "tipo", "ano"])
+    return distinct_counts(t.complaint_ids(spark, sf_dir), ["cnpj_if", "tipo", "ano"])
 
 
 @query(
@@ -137,7 +137,7 @@ def coverage_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     coverage = key_coverage(
-        usable(t.complaints(spark, sf_dir), "cnpj_if"),
+        usable(t.complaint_ids(spark, sf_dir), "cnpj_if"),
         usable(t.segments(spark, sf_dir), "cnpj"),
         ["key"],
     )

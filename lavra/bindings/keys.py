@@ -38,7 +38,7 @@ def digits_only_like(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({t.COMPLAINTS})""",
 )
 def fixed_width_key_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.complaints(spark, sf_dir).select(
+    return t.complaint_ids(spark, sf_dir).select(
         "o_orderkey", "cnpj_if", fixed_width_key(F.col("cnpj_if")).alias("key")
     )
 
@@ -61,7 +61,7 @@ def usable_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({t.COMPLAINTS})""",
 )
 def key_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = t.complaints(spark, sf_dir).select("o_orderkey", "cnpj_if")
+    ids = t.complaint_ids(spark, sf_dir).select("o_orderkey", "cnpj_if")
     return with_key_details(ids, "cnpj_if").drop("cnpj_if")
 
 
@@ -126,7 +126,7 @@ def name_key_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def key_length_profile_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     datasets = {
-        "complaints": (t.complaints(spark, sf_dir), "cnpj_if"),
+        "complaints": (t.complaint_ids(spark, sf_dir), "cnpj_if"),
         "segments": (t.segments(spark, sf_dir), "cnpj"),
         "suppliers": (t.table(spark, sf_dir, "supplier"), "s_name"),
     }
@@ -149,7 +149,7 @@ def key_length_profile_like(spark: SparkSession, sf_dir: str) -> DataFrame:
         FROM ({t.SEGMENTS})""",
 )
 def key_exceptions_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = key_exceptions(t.complaints(spark, sf_dir), "cnpj_if")
+    fact = key_exceptions(t.complaint_ids(spark, sf_dir), "cnpj_if")
     reference = key_exceptions(t.segments(spark, sf_dir), "cnpj")
     return fact.select(F.lit("complaints").alias("dataset"), "*").unionByName(
         reference.select(F.lit("segments").alias("dataset"), "*")

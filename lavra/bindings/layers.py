@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.bindings import tables as t
-from lavra.bindings.enrichment import PERIODS, delivery
+from lavra.bindings.enrichment import DELIVERY, delivery
 from lavra.bindings.registry import query
 from lavra.bindings.text import comma_decimal
 from lavra.functions import fixed_width_key, folder_name
-from lavra.operators import expect
+from lavra.operators import Gate, expect
 from lavra.plans import (
     complaint_gates,
+    delivery_gates,
     ingest,
     ingest_group,
     join_keys_profile,
@@ -22,20 +23,31 @@ from lavra.plans import (
     replacement_profile,
     segment_profile,
     strategy_profile,
+    totals_from,
     trusted_complaints,
     trusted_reviews,
     trusted_segments,
+    unique_keys,
+    validate_layers,
     validate_raw,
 )
 from lavra.plans import contract
-from lavra.plans.delivery import TAX_KEY, canonical_segments
+from lavra.plans.delivery import NAME_KEY, TAX_KEY, canonical_reviews, canonical_segments
 from lavra.session import scratch_path
 from lavra.sources import SourceSpec, read_delimited, write_delimited
 
 
 
+YEAR = "coalesce(cast(ano AS string), 'undated')"
+YEAR_SQL = "coalesce(CAST(year(o_orderdate) AS VARCHAR), 'undated')"
+
+
 def export_periods(spark: SparkSession, sf_dir: str) -> tuple[list[SourceSpec], str]:
-    """Orders as one folder of ``;`` separated Latin-1 text per year, 14 columns and a blank."""
+    """Orders as one folder of ``;`` separated Latin-1 text per year, 14 columns and a blank.
+
+    There is a source for every year of the orders, undated ones included, and each expects
+    the rows that were exported.
+    """
     base = scratch_path(spark, "periods")
     number = F.col("o_orderkey").cast("string")
     layout = {
@@ -51,21 +63,25 @@ def export_periods(spark: SparkSession, sf_dir: str) -> tuple[list[SourceSpec],
     }
     rows = t.complaints(spark, sf_dir).select(
         *[value.alias(name) for name, value in layout.items()],
-        F.concat(F.col("ano").cast("string"), F.lit(".csv")).alias("file"),
+        F.concat(F.expr(YEAR), F.lit(".csv")).alias("file"),
     )
     write_delimited(rows, base, ";", "ISO-8859-1", ["file"])
+    years = t.complaint_ids(spark, sf_dir).groupBy(F.expr(YEAR).alias("year")).count().orderBy("year")
     specs = [
-        SourceSpec(f"file={year}.csv", "reclamacoes", str(year), ";", "ISO-8859-1")
-        for year in PERIODS
+        SourceSpec(
+            f"file={row['year']}.csv", "reclamacoes", row["year"], ";", "ISO-8859-1", row["count"]
+        )
+        for row in years.collect()
     ]
     return specs, base
 
 
 @query(
     "raw_ingest",
-    """SELECT coalesce('file=' || CAST(year(o_orderdate) AS VARCHAR) || '.csv: rows stored', 'total')
-                  AS "check", count(*) AS actual, count(*) AS expected, TRUE AS ok
-       FROM orders GROUP BY ROLLUP (year(o_orderdate))""",
+    f"""WITH o AS (SELECT {YEAR_SQL} AS y FROM orders)
+        SELECT coalesce('file=' || y || '.csv: rows stored', 'total') AS "check",
+               count(*) AS actual, count(*) AS expected, TRUE AS ok
+        FROM o GROUP BY ROLLUP (y)""",
 )
 def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs, base = export_periods(spark, sf_dir)
@@ -74,12 +90,12 @@ def raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "raw_validation",
-    """SELECT coalesce(CAST(year(o_orderdate) AS VARCHAR), 'total') AS "check",
-              count(*) AS actual, CAST(NULL AS BIGINT) AS expected, FALSE AS ok
-       FROM orders GROUP BY ROLLUP (year(o_orderdate))
-       UNION ALL
-       SELECT CAST(y AS VARCHAR) || ': _c14 filled', 0, 0, TRUE
-       FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)""",
+    f"""WITH o AS (SELECT 'reclamacoes/' || {YEAR_SQL} AS y FROM orders)
+        SELECT coalesce(y, 'total') AS "check", count(*) AS actual, count(*) AS expected,
+               TRUE AS ok
+        FROM o GROUP BY ROLLUP (y)
+        UNION ALL
+        SELECT y || ': _c14 filled', 0, 0, TRUE FROM (SELECT DISTINCT y FROM o)""",
 )
 def raw_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs, base = export_periods(spark, sf_dir)
@@ -100,19 +116,19 @@ TRUSTED = f"""
            o_orderkey * 10 + 5 AS qtd_total_clientes_ccs_scr,
            o_orderkey * 10 + 6 AS qtd_clientes_ccs,
            o_orderkey * 10 + 7 AS qtd_clientes_scr,
-           'file=' || CAST(ano AS VARCHAR) || '.csv' AS arquivo_origem
+           'file=' || coalesce(CAST(ano AS VARCHAR), 'undated') || '.csv' AS arquivo_origem
     FROM ({t.COMPLAINTS})
 """
 
 
 @query(
     "raw_group_ingest",
-    """SELECT 'rows stored' AS "check", count(*) AS actual, count(*) AS expected, TRUE AS ok
-       FROM orders
-       UNION ALL
-       SELECT 'sources stored', count(DISTINCT year(o_orderdate)), 7,
-              count(DISTINCT year(o_orderdate)) = 7 FROM orders
-       UNION ALL SELECT 'malformed lines', 0, 0, TRUE""",
+    f"""WITH o AS (SELECT {YEAR_SQL} AS y FROM orders)
+        SELECT 'rows stored' AS "check", count(*) AS actual, count(*) AS expected, TRUE AS ok
+        FROM o
+        UNION ALL SELECT 'sources stored', count(DISTINCT y), count(DISTINCT y), TRUE FROM o
+        UNION ALL SELECT 'malformed lines', 0, 0, TRUE
+        UNION ALL SELECT 'file=' || y || '.csv: rows', count(*), count(*), TRUE FROM o GROUP BY y""",
 )
 def raw_group_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs, base = export_periods(spark, sf_dir)
@@ -122,16 +138,17 @@ def raw_group_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trusted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """The trusted complaints and the number of their sources."""
     specs, base = export_periods(spark, sf_dir)
     raw = scratch_path(spark, "raw")
     ingest(spark, specs, base, raw)
-    return trusted_complaints(read_complaint_slices(spark, raw, specs))
+    return trusted_complaints(read_complaint_slices(spark, raw, specs)), len(specs)
 
 
 @query("raw_to_trusted", TRUSTED)
 def raw_to_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trusted(spark, sf_dir)
+    return trusted(spark, sf_dir)[0]
 
 
 @query(
@@ -139,15 +156,19 @@ def raw_to_trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SELECT 'complaint rows' AS "check", count(*) AS actual, CAST(918 AS BIGINT) AS expected,
               count(*) = 918 AS ok FROM orders
        UNION ALL
-       SELECT 'years outside domain', count(*) FILTER (year(o_orderdate) NOT IN (1995, 1996)), 0,
-              count(*) FILTER (year(o_orderdate) NOT IN (1995, 1996)) = 0 FROM orders
-       UNION ALL SELECT 'quarters outside domain', 0, 0, TRUE
+       SELECT 'years outside domain',
+              count(*) - count(*) FILTER (year(o_orderdate) IN (1995, 1996)), 0,
+              count(*) = count(*) FILTER (year(o_orderdate) IN (1995, 1996)) FROM orders
+       UNION ALL
+       SELECT 'quarters outside domain', count(*) - count(o_orderdate), 0,
+              count(*) = count(o_orderdate) FROM orders
        UNION ALL
-       SELECT 'source files', count(DISTINCT year(o_orderdate)), 7,
-              count(DISTINCT year(o_orderdate)) = 7 FROM orders""",
+       SELECT 'source files', count(DISTINCT coalesce(year(o_orderdate), 0)),
+              count(DISTINCT coalesce(year(o_orderdate), 0)), TRUE FROM orders""",
 )
 def trusted_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return expect(trusted(spark, sf_dir), complaint_gates(918, len(PERIODS), [1995, 1996]))
+    table, sources = trusted(spark, sf_dir)
+    return expect(table, complaint_gates(918, sources, [1995, 1996]))
 
 
 def _segment_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,6 +289,121 @@ def final_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report
 
 
+@query(
+    "layer_validation",
+    f"""WITH c AS ({t.COMPLAINTS}), s AS ({t.SEGMENTS}), r AS ({t.REVIEWS}), d AS ({DELIVERY}),
+        n AS (
+            SELECT 'rows of reclamacoes' AS "check", (SELECT count(*) FROM c) AS actual,
+                   (SELECT count(*) FROM orders) AS expected
+            UNION ALL SELECT 'rows of enquadramento', (SELECT count(*) FROM s),
+                   (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)
+            UNION ALL SELECT 'rows of glassdoor_match', (SELECT count(*) FROM r),
+                   (SELECT count(*) FROM supplier)),
+        m AS (
+            SELECT * FROM n
+            UNION ALL SELECT 'trusted total', sum(actual), sum(expected) FROM n
+            UNION ALL SELECT 'delivery rows', (SELECT count(*) FROM d), (SELECT count(*) FROM c)
+            UNION ALL SELECT 'delivery columns',
+                   (SELECT count(*) FROM (DESCRIBE ({DELIVERY}))), {contract.DELIVERY_COLUMN_COUNT}
+            UNION ALL SELECT 'CNPJ_ENQUADRAMENTO',
+                   (SELECT count(*) FROM d WHERE metodo_enriquecimento = 'CNPJ_ENQUADRAMENTO'),
+                   (SELECT count(cnpj_if) FROM c)
+            UNION ALL SELECT 'NOME_GLASSDOOR',
+                   (SELECT count(*) FROM d WHERE metodo_enriquecimento = 'NOME_GLASSDOOR'),
+                   (SELECT count(*) - count(cnpj_if) FROM c)
+            UNION ALL SELECT 'rows with segment',
+                   (SELECT count(*) FROM d WHERE encontrou_enquadramento), NULL
+            UNION ALL SELECT 'rows with review',
+                   (SELECT count(*) FROM d WHERE encontrou_glassdoor), NULL
+            UNION ALL SELECT 'rows with neither', (SELECT count(*) FROM d
+                   WHERE NOT encontrou_enquadramento AND NOT encontrou_glassdoor), NULL
+            UNION ALL SELECT 'U+FFFD in ' || x, 0, NULL FROM (VALUES
+                   ('reclamacoes.instituicao_financeira'), ('enquadramento.nome'),
+                   ('glassdoor_match.nome'), ('delivery.nome_enquadramento'),
+                   ('delivery.nome_referencia')) v(x)
+            UNION ALL SELECT 'U+FFFD outside the tax id branch', 0, 0)
+        SELECT "check", CAST(actual AS BIGINT) AS actual, CAST(expected AS BIGINT) AS expected,
+               actual = expected AS ok FROM m""",
+)
+def layer_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trusted tables and delivery against counts of the tables that they are made from."""
+    tables = {
+        "reclamacoes": t.complaints(spark, sf_dir),
+        "enquadramento": t.segments(spark, sf_dir),
+        "glassdoor_match": t.reviews(spark, sf_dir),
+    }
+
+    def rows(*names: str) -> int:
+        return sum(t.table(spark, sf_dir, name).count() for name in names)
+
+    earlier = {
+        "reclamacoes": rows("orders"),
+        "enquadramento": rows("customer", "supplier"),
+        "glassdoor_match": rows("supplier"),
+    }
+    totals = totals_from(tables, earlier)
+    return validate_layers(tables, delivery(spark, sf_dir, measured=True), totals=totals)
+
+
+@query(
+    "delivery_guards",
+    f"""SELECT 'one segment per key' AS "check", CAST(0 AS BIGINT) AS actual,
+               CAST(0 AS BIGINT) AS expected, TRUE AS ok
+        UNION ALL SELECT 'one review per key', 0, 0, TRUE
+        UNION ALL SELECT 'complaints kept', count(*), (SELECT count(*) FROM ({DELIVERY})),
+               count(*) = (SELECT count(*) FROM ({DELIVERY})) FROM orders""",
+)
+def delivery_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What has to hold before a delivery is published: unique keys, no row gained or lost."""
+    segments = canonical_segments(t.segments(spark, sf_dir))
+    reviews = canonical_reviews(t.reviews(spark, sf_dir))
+    n = delivery(spark, sf_dir, measured=True).count()
+    kept = expect(
+        t.complaint_ids(spark, sf_dir), {"complaints kept": Gate(F.count(F.lit(1)), n)}
+    )
+    return (
+        unique_keys(segments, TAX_KEY, "one segment per key")
+        .unionByName(unique_keys(reviews, NAME_KEY, "one review per key"))
+        .unionByName(kept)
+    )
+
+
+@query(
+    "column_count_gate",
+    f"""SELECT 'delivery rows' AS "check", count(*) AS actual,
+               (SELECT count(*) FROM orders) AS expected,
+               count(*) = (SELECT count(*) FROM orders) AS ok FROM ({DELIVERY})
+        UNION ALL
+        SELECT 'delivery columns', count(*), {contract.DELIVERY_COLUMN_COUNT},
+               count(*) = {contract.DELIVERY_COLUMN_COUNT} FROM (DESCRIBE ({DELIVERY}))""",
+)
+def column_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = delivery(spark, sf_dir, measured=True)
+    rows = t.table(spark, sf_dir, "orders").count()
+    return expect(table, delivery_gates(rows, len(table.columns)))
+
+
+@query(
+    "less_key_coverage",
+    f"""WITH l AS (SELECT DISTINCT {t.tax_key_sql("url")} AS k FROM (
+                SELECT CAST(s_suppkey * 3 AS VARCHAR) AS url FROM supplier)),
+        usable AS (SELECT k FROM l WHERE k IS NOT NULL AND k <> '00000000'),
+        s AS (SELECT DISTINCT {t.tax_key_sql("cnpj")} AS k FROM ({t.SEGMENTS})),
+        m AS (SELECT usable.k, s.k IS NOT NULL AS hit FROM usable LEFT JOIN s ON usable.k = s.k)
+        SELECT count(*) AS n_keys, count(*) FILTER (hit) AS found,
+               count(*) FILTER (NOT hit) AS missing,
+               round(count(*) FILTER (hit) / count(*) * 100, 6) AS coverage_percent
+        FROM m""",
+)
+def less_key_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    less = t.table(spark, sf_dir, "supplier").select(
+        (F.col("s_suppkey") * 3).cast("string").alias("cnpj")
+    )
+    complaints, segments, reviews = _profile_tables(spark, sf_dir)
+    report = join_keys_profile(complaints, segments, reviews, less)["less keys in segments"]
+    return report.withColumn("coverage_percent", F.round("coverage_percent", 6))
+
+
 def _profile_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     return t.complaints(spark, sf_dir), t.segments(spark, sf_dir), t.reviews(spark, sf_dir)
 
@@ -286,7 +422,7 @@ def _profile_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
         UNION ALL SELECT 'unmatched', count(*) - count(nome), NULL, NULL FROM joined""",
 )
 def join_trial_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with_id = t.complaints(spark, sf_dir).filter(F.col("cnpj_if").isNotNull())
+    with_id = t.complaint_ids(spark, sf_dir).filter(F.col("cnpj_if").isNotNull())
     fact = with_id.select(fixed_width_key(F.col("cnpj_if")).alias(TAX_KEY))
     trial = join_trial(fact, canonical_segments(t.segments(spark, sf_dir)), TAX_KEY, "nome")
     return trial["rows kept"].unionByName(trial["outcome"], allowMissingColumns=True)

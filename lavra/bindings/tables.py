@@ -3,7 +3,8 @@
 Orders with their customers stand for complaints: an order of status P has no tax
 id, one over a price has an id too long for a key, other ids carry a mask.
 Customers and suppliers form the segment list (supplier keys are customer keys too,
-so keys repeat), suppliers the reviews of the nations of some regions.
+so keys repeat), suppliers the reviews. Customers of one market segment have ids, and
+nations of two regions have names, that no complaint has.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
+def complaint_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complaints without the name, for what asks for identifiers only."""
     customer_id = F.col("o_custkey").cast("string")
     tax_id = (
         F.when(F.col("o_orderstatus") == "P", None)
@@ -33,22 +35,34 @@ def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.substring(customer_id, 1, 1), F.lit("."), F.substr(customer_id, F.lit(2)))
         )
     )
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        "o_custkey",
+        F.year("o_orderdate").alias("ano"),
+        F.quarter("o_orderdate").alias("trimestre"),
+        F.col("o_orderstatus").alias("tipo"),
+        tax_id.alias("cnpj_if"),
+        F.col("o_totalprice").alias("indice"),
+    )
+
+
+def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), "c_nationkey"
     )
     return (
-        table(spark, sf_dir, "orders")
-        .join(customer, "o_custkey")
+        complaint_ids(spark, sf_dir)
+        .join(customer, "o_custkey", "left")
         .select(
             "o_orderkey",
-            F.year("o_orderdate").alias("ano"),
-            F.quarter("o_orderdate").alias("trimestre"),
-            F.col("o_orderstatus").alias("tipo"),
-            tax_id.alias("cnpj_if"),
+            "ano",
+            "trimestre",
+            "tipo",
+            "cnpj_if",
             F.concat(
                 F.lit(" Natíon_"), F.col("c_nationkey").cast("string"), F.lit(" (Conglomerado) ")
             ).alias("instituicao_financeira"),
-            F.col("o_totalprice").alias("indice"),
+            "indice",
         )
     )
 
@@ -65,19 +79,20 @@ COMPLAINTS = """
            ' Natíon_' || CAST(c_nationkey AS VARCHAR) || ' (Conglomerado) '
                AS instituicao_financeira,
            o_totalprice AS indice
-    FROM orders JOIN customer ON o_custkey = c_custkey
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey
 """
 
 
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = (
-        table(spark, sf_dir, "customer")
-        .filter(F.col("c_mktsegment") != "BUILDING")
-        .select(
-            F.col("c_mktsegment").alias("segmento"),
-            F.col("c_custkey").cast("string").alias("cnpj"),
-            F.when(F.col("c_acctbal") >= -500, F.col("c_name")).alias("nome"),
+    customer_id = F.col("c_custkey").cast("string")
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("segmento"),
+        F.when(
+            F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("7"), F.lpad(customer_id, 7, "0"))
         )
+        .otherwise(customer_id)
+        .alias("cnpj"),
+        F.when(F.col("c_acctbal") >= -500, F.col("c_name")).alias("nome"),
     )
     suppliers = table(spark, sf_dir, "supplier").select(
         F.lit("SUPPLIER").alias("segmento"),
@@ -88,19 +103,26 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SEGMENTS = """
-    SELECT c_mktsegment AS segmento, CAST(c_custkey AS VARCHAR) AS cnpj,
+    SELECT c_mktsegment AS segmento,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN '7' || lpad(CAST(c_custkey AS VARCHAR), 7, '0')
+                ELSE CAST(c_custkey AS VARCHAR) END AS cnpj,
            CASE WHEN c_acctbal >= -500 THEN c_name END AS nome
-    FROM customer WHERE c_mktsegment <> 'BUILDING'
+    FROM customer
     UNION ALL
     SELECT 'SUPPLIER', CAST(s_suppkey AS VARCHAR), s_name || ' - Prudencial' FROM supplier
 """
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation = table(spark, sf_dir, "nation").filter(F.col("n_regionkey") < 3)
+    nation = table(spark, sf_dir, "nation").withColumn(
+        "n_name",
+        F.when(F.col("n_regionkey") >= 3, F.concat("n_name", F.lit(" (outra)"))).otherwise(
+            F.col("n_name")
+        ),
+    )
     return (
         table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"), "left")
         .select(
             F.concat(F.lit("S"), F.col("n_regionkey").cast("string")).alias("segmento"),
             F.col("n_name").alias("nome"),
@@ -112,10 +134,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REVIEWS = """
-    SELECT 'S' || CAST(n_regionkey AS VARCHAR) AS segmento, n_name AS nome,
+    SELECT 'S' || CAST(n_regionkey AS VARCHAR) AS segmento,
+           CASE WHEN n_regionkey >= 3 THEN n_name || ' (outra)' ELSE n_name END AS nome,
            s_name AS employer_name, s_suppkey AS reviews_count,
            CAST(floor(s_acctbal / 1000) AS DOUBLE) AS match_percent
-    FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey < 3
+    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
 """
 
 REVIEW_OUTPUT = {

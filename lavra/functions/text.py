@@ -43,8 +43,11 @@ def digits_only(column: Column) -> Column:
 
 
 def first_integer(column: Column) -> Column:
-    """The first run of digits as an int; NULL where there is none."""
-    return F.regexp_extract(column, r"(\d+)", 1).try_cast("int")
+    """The first run of digits as an int; NULL where there is none.
+
+    A number beyond ``int`` fails under ANSI mode, as any other cast of the library does.
+    """
+    return F.nullif(F.regexp_extract(column, r"(\d+)", 1), F.lit("")).cast("int")
 
 
 def fold_accents(column: Column) -> Column:

@@ -36,6 +36,14 @@ class Reference:
     bytes: int
     path: str
 
+    def require_unique(self, on: Sequence[str]) -> None:
+        """A key that the reference holds twice would multiply rows: an error."""
+        repeated = (
+            self.table.na.drop(subset=list(on)).groupBy(*on).count().filter("count > 1").limit(1)
+        )
+        if not repeated.isEmpty():
+            raise ValueError(f"the reference holds a key of {', '.join(on)} more than once")
+
     def fits_broadcast(
         self, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
     ) -> bool:
@@ -97,11 +105,16 @@ def split_by_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(column).isNotNull()), df.filter(F.col(column).isNull())
 
 
-def _shuffled_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def require_same_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
+    """Keys of different types are an error, whatever the sizes."""
     for key in on:
         here, there = left.schema[key].dataType, right.schema[key].dataType
         if here != there:
             raise TypeError(f"key {key} is {here.simpleString()} and {there.simpleString()}")
+
+
+def _shuffled_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    require_same_types(left, right, on)
     hashed = F.xxhash64(*on)
     joined = left.withColumn(_HASH, hashed).join(
         right.withColumn(_HASH, hashed), [_HASH, *on], how
@@ -125,7 +138,7 @@ def enrich_left(
     """Keep every fact row and add columns of the reference row with the same key.
 
     The reference must hold each key once (see ``canonical``), so the number of
-    rows does not change. ``columns`` maps reference columns to output names. The
+    rows does not change; a measured one that does not is refused. ``columns`` maps reference columns to output names. The
     key columns come first in the result. ``flag`` adds a boolean: by default
     whether the key was found; with ``flag_from`` whether that output column has
     a value (a reference row with a NULL there then counts as not found).
@@ -137,6 +150,9 @@ def enrich_left(
     right = table.filter(F.expr(" AND ".join(f"`{key}` IS NOT NULL" for key in keys))).select(
         *keys, *wanted, *marker
     )
+    require_same_types(fact, right, keys)
+    if isinstance(reference, Reference):
+        reference.require_unique(keys)
     if isinstance(reference, Reference) and reference.fits_broadcast():
         joined = fact.join(F.broadcast(right), keys, "left")
     elif isinstance(reference, Reference):

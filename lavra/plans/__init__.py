@@ -1,11 +1,14 @@
 """Whole jobs: ingest, trusted tables, delivery, publishing, validation."""
 
 from lavra.plans.delivery import (
+    NAME_KEY,
+    TAX_KEY,
     canonical_reviews,
     canonical_segments,
     deliver,
     delivery_gates,
     delivery_metrics,
+    unique_keys,
 )
 from lavra.plans.ingest import ingest, ingest_group, validate_raw
 from lavra.plans.profiles import (
@@ -28,6 +31,6 @@ from lavra.plans.trusted import (
     trusted_reviews,
     trusted_segments,
 )
-from lavra.plans.validate import Totals, validate_layers
+from lavra.plans.validate import Totals, totals_from, validate_layers
 
 __all__ = [name for name in dir() if not name.startswith("_")]

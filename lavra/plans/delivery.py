@@ -14,7 +14,7 @@ from lavra.functions.keys import (
 from lavra.operators.aggregate import group_counts
 from lavra.operators.canonical import canonical
 from lavra.operators.join import Reference, enrich_left, split_by_null
-from lavra.operators.quality import Gate
+from lavra.operators.quality import Gate, expect
 from lavra.operators.shape import union_filled
 from lavra.plans import contract
 
@@ -151,6 +151,12 @@ def _two_branches(complaints, segments, reviews, added, tax_id, name) -> DataFra
     return union_filled([tax_branch, name_branch])
 
 
+def unique_keys(reference: DataFrame, key: str, label: str) -> DataFrame:
+    """Report: a reference holds as many rows with a key as it has keys."""
+    keys = reference.filter(F.col(key).isNotNull()).groupBy(key).count()
+    return expect(keys, {label: Gate(F.count_if(F.col("count") > 1), 0)})
+
+
 def delivery_gates(
     rows: int, columns: int | None = None, methods: dict[str, int] | None = None
 ) -> dict[str, Gate]:

@@ -11,6 +11,9 @@ from lavra.sources.jdbc import JdbcTarget, count_jdbc, read_jdbc, write_jdbc
 from lavra.sources.sink import WriteResult, write_verified
 
 
+PROBE_TEXT = "written and read back"
+
+
 def name_gates(left: DataFrame, right: DataFrame, label: str) -> DataFrame:
     """Report: column names one of two tables lacks (types may differ between stores)."""
     differing = schema_diff(left, right)
@@ -25,14 +28,14 @@ def name_gates(left: DataFrame, right: DataFrame, label: str) -> DataFrame:
 
 def jdbc_round_trip(spark: SparkSession, target: JdbcTarget) -> DataFrame:
     """Report: one literal row, written to a table and read back with its content."""
-    probe = spark.createDataFrame([(1, "JDBC_OK")], "id long, status string")
+    probe = spark.createDataFrame([(1, PROBE_TEXT)], "id long, status string")
     write_jdbc(probe, target, connections=1)
     stored = read_jdbc(spark, target)
     return expect(
         stored,
         {
             f"{target.table}: rows": Gate(F.count(F.lit(1)), 1),
-            f"{target.table}: rows as written": Gate(F.count_if(F.col("status") == "JDBC_OK"), 1),
+            f"{target.table}: rows as written": Gate(F.count_if(F.col("status") == PROBE_TEXT), 1),
         },
     )
 

@@ -18,9 +18,12 @@ from lavra.sources.jdbc import JdbcTarget
 
 @dataclass(frozen=True)
 class Totals:
-    """What the layers should hold. The defaults are fixed values of the original data."""
+    """What the layers should hold; None is not checked.
 
-    trusted_rows: Mapping[str, int] = field(
+    The defaults are fixed values of the original data.
+    """
+
+    trusted_rows: Mapping[str, int | None] = field(
         default_factory=lambda: {
             "reclamacoes": 918,
             "enquadramento": 1474,
@@ -28,14 +31,14 @@ class Totals:
             "glassdoor_match_less": 5,
         }
     )
-    delivery_rows: int = 918
+    delivery_rows: int | None = 918
     delivery_columns: int = contract.DELIVERY_COLUMN_COUNT
-    by_tax_id: int = 437
-    by_name: int = 481
-    found_segment: int = 321
-    found_review: int = 113
-    found_neither: int = 484
-    replacement_rows: Mapping[str, int] = field(
+    by_tax_id: int | None = 437
+    by_name: int | None = 481
+    found_segment: int | None = 321
+    found_review: int | None = 113
+    found_neither: int | None = 484
+    replacement_rows: Mapping[str, int | None] = field(
         default_factory=lambda: {
             "reclamacoes.instituicao_financeira": 0,
             "enquadramento.nome": 950,
@@ -47,6 +50,31 @@ class Totals:
     )
 
 
+def totals_from(
+    trusted: Mapping[str, DataFrame], earlier_rows: Mapping[str, int | None]
+) -> Totals:
+    """Totals for any data: each layer has to hold what the layer before holds.
+
+    ``earlier_rows`` are the rows that the trusted tables were made from. Complaints with a
+    tax id take one branch of the delivery, the others the other one. How many rows find a
+    reference, or hold U+FFFD, follows from no earlier count and is not checked.
+    """
+    complaints = trusted["reclamacoes"].agg(
+        F.count(F.lit(1)).alias("n"), F.count("cnpj_if").alias("with_id")
+    )
+    row = complaints.first()
+    return Totals(
+        trusted_rows=earlier_rows,
+        delivery_rows=row["n"],
+        by_tax_id=row["with_id"],
+        by_name=row["n"] - row["with_id"],
+        found_segment=None,
+        found_review=None,
+        found_neither=None,
+        replacement_rows=dict.fromkeys(Totals().replacement_rows),
+    )
+
+
 def _replacement_gates(table: str, totals: Totals) -> dict[str, Gate]:
     gates = {}
     for label, expected in totals.replacement_rows.items():

@@ -15,6 +15,13 @@ from lavra.sources.files import (
 )
 from lavra.sources.jdbc import JdbcTarget, count_jdbc, jdbc_shape, read_jdbc, write_jdbc
 from lavra.sources.manifest import compare_manifests, file_manifest
-from lavra.sources.sink import WriteResult, counted_write, write_parquet, write_verified
+from lavra.sources.sink import (
+    WriteResult,
+    counted_write,
+    publish_staged,
+    staged_path,
+    write_parquet,
+    write_verified,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -56,3 +56,22 @@ def write_verified(
     stored = result.read(df.sparkSession)
     report = expect(stored, {f"{label}: rows stored": Gate(F.count(F.lit(1)), result.rows)})
     return result, report
+
+
+def staged_path(path: str) -> str:
+    """Where a dataset is written and checked before it takes the place of ``path``."""
+    return f"{path.rstrip('/')}.staged"
+
+
+def publish_staged(spark: SparkSession, path: str) -> None:
+    """Put the staged dataset in the place of ``path``; the old one goes last."""
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    staged, target = new_path(staged_path(path)), new_path(path)
+    old = new_path(f"{path.rstrip('/')}.replaced")
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(old, True)
+    if store.exists(target) and not store.rename(target, old):
+        raise OSError(f"{path} cannot be moved aside")
+    if not store.rename(staged, target):
+        raise OSError(f"{staged_path(path)} cannot be moved to {path}")
+    store.delete(old, True)
