@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -41,6 +42,15 @@ CACHED_CHARS = 64
 SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
 #: Anything but ASCII (less the separators) and the precomposed letters of Latin-1.
 UNUSUAL = re.compile("[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]")
+PLAIN_WORD = re.compile("[a-zß-öø-ÿ]+")
+#: A byte-level vocabulary writes bytes that are not printable as characters from 256 on.
+BYTE_CHARACTERS = dict(
+    zip(
+        [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)],
+        range(256, 324),
+        strict=True,
+    )
+)
 LAST_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])([.,])(?=[ \n]|$)")
 
 
@@ -56,6 +66,7 @@ class ChunkTokenizer:
 
     def __init__(self, content: bytes):
         self.tokenizer = Tokenizer.from_str(content.decode())
+        self.merge = self.tokenizer.model.tokenize
         self.memo = Memo(CACHE_ENTRIES, CACHED_CHARS)
 
     def encode(self, text: str) -> bytes:
@@ -65,7 +76,19 @@ class ChunkTokenizer:
                 return self._plain([text])[0]
         else:
             text = LAST_MARK.sub(r" \1", text.lower())
-        return b"".join(self.memo.values(text.split(), self._plain))
+        return b"".join(self.memo.values(text.split(), self._chunks))
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        """Words of plain letters go straight to the merges; normalising and splitting
+        would leave them as they are."""
+        found = {c: self._word(c) for c in chunks if PLAIN_WORD.fullmatch(c)}
+        others = [c for c in chunks if c not in found]
+        found.update(zip(others, self._plain(others), strict=True))
+        return [found[c] for c in chunks]
+
+    def _word(self, word: str) -> bytes:
+        tokens = self.merge(word.encode().decode("latin-1").translate(BYTE_CHARACTERS))
+        return array("I", [token.id for token in tokens]).tobytes()
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [
