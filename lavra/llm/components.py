@@ -7,14 +7,16 @@ to the shared folder after each round, so a lost executor costs one round at mos
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Iterable
+from collections.abc import Hashable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import stored
+from lavra.llm.common import map_batches, stored
 
 MOST_ROUNDS = 60
+FOREST_NODES = 1_000_000
 
 
 def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -32,13 +34,13 @@ def hot_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") ->
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node ``a`` or ``b`` of an edge that is not the smallest
+    """(node, component), of type long, for every node ``a`` or ``b`` of an edge that is not the smallest
     of its component; loops and repeated edges do no harm, NULL ends are left out."""
-    pairs = (
-        edges.filter("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
+    pairs = edges.filter("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
+    # A forest per task keeps what its edges connect, in as many edges as it has nodes.
+    pairs = map_batches(pairs.repartition("u"), _forest_edges, "u long, v long").distinct()
     pairs = stored(pairs, "edges")
     seen = _signature(pairs)
     for _ in range(MOST_ROUNDS):
@@ -54,6 +56,24 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def _forest_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forest = Forest()
+
+    def rows() -> pa.RecordBatch:
+        pairs = [(node, root) for node, root in forest.edges() if node != root]
+        forest.parent.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["u", "v"]
+        )
+
+    for part in batches:
+        for u, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            forest.union(u, v)
+        if len(forest.parent) > FOREST_NODES:
+            yield rows()
+    yield rows()
+
+
 def _signature(pairs: DataFrame) -> tuple:
     row = pairs.agg(
         F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))

@@ -289,7 +289,7 @@ def _search_components(least: tuple[int, int]):
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         pairs = []
-        for _, part in rows.groupby("component"):
+        for _, part in rows.drop_duplicates("class").groupby("component"):
             ids, sets = part["class"].to_numpy(np.int64), _sets(part["shingles"])
             pairs += linked(ids, sets, ids, sets, least)
         return pd.DataFrame(pairs, columns=["a", "b"]).astype(np.int64)
@@ -302,6 +302,7 @@ def _search_block(least: tuple[int, int]):
 
     def run(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         pairs = []
+        members, queries = members.drop_duplicates("class"), queries.drop_duplicates("class")
         if len(members) and len(queries):
             pairs = list(
                 linked(
@@ -344,7 +345,8 @@ def member_sets(
     )
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema)
     found = map_batches(rows, run, f"{schema}, found string, shingles binary")
-    # Of several rows with one identifier those with the set; repeated rows give it twice.
+    # Of several rows with one identifier those with the set; repeated rows give it twice,
+    # which the searches put right.
     return found.filter("found = digest").drop("found", "doc_id", "digest")
 
 
@@ -364,12 +366,11 @@ def similar_texts(
     classes = (
         rows.filter(F.col("digest").isNotNull())
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select(F.monotonically_increasing_id().alias("class"), "digest", "doc_id")
+        .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"))
+        .select(F.monotonically_increasing_id().alias("class"), "digest", "doc_id", "n_shingles")
     )
     classes = stored(classes, "shingle-classes")
-    links = stored(_links(frame, rows, classes, key, text, least, width), "shingle-links")
-    roots = components(links)
+    roots = components(_links(frame, rows, classes, key, text, least, width))
     named = classes.join(roots, F.col("class") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("component", "class").alias("root")
     )
@@ -410,36 +411,31 @@ def _links(
     members = candidate.select(F.col("node").alias("class"), "component").unionByName(
         candidate.select(F.col("component").alias("class"), "component").distinct()
     )
-    size = rows.select("digest", "n_shingles").distinct()
-    members = stored(
-        members.join(classes, "class").join(size, "digest"), "shingle-members"
-    )
+    members = stored(members.join(classes, "class"), "shingle-members")
     totals = members.groupBy("component").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
         ).cast("long").alias("blocks"),
         F.sum("n_shingles").alias("all_shingles"),
     )
-    totals = stored(totals, "shingle-components")
-    placed = hot_join(members, totals, "component")
-    sets, again = stored_twice(
-        member_sets(frame, placed, key, text, width).dropDuplicates(["class"]), "shingle-member-sets"
+    placed = stored(hot_join(members, totals, "component"), "shingle-components")
+    small, large = placed.filter("blocks = 1"), placed.filter("blocks > 1")
+    shards = max(
+        int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        4 * math.ceil((small.agg(F.sum("n_shingles")).first()[0] or 0) / BLOCK_SHINGLES),
     )
-    small = sets.filter("blocks = 1")
-    shingles_in_small = totals.filter("blocks = 1").agg(F.sum("all_shingles")).first()[0] or 0
-    shards = max(1, 4 * math.ceil(shingles_in_small / BLOCK_SHINGLES),
-                 int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     found = (
-        small.withColumn("shard", F.pmod(F.xxhash64("component"), F.lit(shards)))
+        member_sets(frame, small, key, text, width)
+        .withColumn("shard", F.pmod(F.xxhash64("component"), F.lit(shards)))
         .groupBy("shard")
         .applyInPandas(_search_components(least), "a long, b long")
     )
-    large = totals.filter("blocks > 1")
     if large.isEmpty():
         return found
-    return found.unionByName(
-        _large_links(sets.filter("blocks > 1"), again.filter("blocks > 1"), least)
+    sets, again = stored_twice(
+        member_sets(frame, large, key, text, width), "shingle-member-sets"
     )
+    return found.unionByName(_large_links(sets, again, least))
 
 
 def _large_links(sets: DataFrame, again: DataFrame, least: tuple[int, int]) -> DataFrame:
