@@ -43,8 +43,8 @@ from lavra.llm.components import components, hot_join
 SHINGLE_WORDS = 4
 COMMON_WORDS = 4096
 COMMON_SHINGLES = 200_000
-BLOCK_CLASSES = 2048
-BLOCK_SHINGLES = 4_000_000
+BLOCK_CLASSES = 1 << 14
+BLOCK_SHINGLES = 6_000_000
 PIVOTS = 4
 #: Classes, of 24 bytes, whose list is sent to all tasks; a longer one is shuffled.
 BROADCAST_CLASSES = 1_000_000
@@ -280,74 +280,55 @@ def linked(
                 yield int(ids[node]), int(ids[hit])
 
 
-def _sets(blobs: pd.Series) -> list[np.ndarray]:
-    return [np.frombuffer(b, np.uint64) for b in blobs]
+def _members(rows: pd.DataFrame, width: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Classes and their sets, from the texts of members. Of several rows with one
+    identifier those with the class's set count, and of repeated rows the first."""
+    classes: list[int] = []
+    sets: list[np.ndarray] = []
+    seen: set[int] = set()
+    for number, digest, text in zip(rows["class"], rows["digest"], rows["text"], strict=True):
+        keys = np.unique(shingles(word_hashes(text or ""), width))
+        if number not in seen and xxhash.xxh3_128_hexdigest(keys.tobytes()) == digest:
+            seen.add(number)
+            classes.append(number)
+            sets.append(keys)
+    return np.array(classes, np.int64), sets
 
 
-def _search_components(least: tuple[int, int]):
+def _search_components(least: tuple[int, int], width: int):
     """Links inside whole candidate components, several of which come together."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         pairs = []
-        for _, part in rows.drop_duplicates("class").groupby("component"):
-            ids, sets = part["class"].to_numpy(np.int64), _sets(part["shingles"])
+        for _, part in rows.groupby("component"):
+            ids, sets = _members(part, width)
             pairs += linked(ids, sets, ids, sets, least)
         return pd.DataFrame(pairs, columns=["a", "b"]).astype(np.int64)
 
     return run
 
 
-def _search_block(least: tuple[int, int]):
+def _search_block(least: tuple[int, int], width: int):
     """Links between a block of queries and a block of members."""
 
     def run(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         pairs = []
-        members, queries = members.drop_duplicates("class"), queries.drop_duplicates("class")
         if len(members) and len(queries):
-            pairs = list(
-                linked(
-                    members["class"].to_numpy(np.int64), _sets(members["shingles"]),
-                    queries["class"].to_numpy(np.int64), _sets(queries["shingles"]), least,
-                )
-            )
+            pairs = list(linked(*_members(members, width), *_members(queries, width), least))
         return pd.DataFrame(pairs, columns=["a", "b"]).astype(np.int64)
 
     return run
 
 
-def member_sets(
-    frame: DataFrame, members: DataFrame, key: str, text: str, width: int
-) -> DataFrame:
-    """Members (doc_id, digest and more) with the bytes of their sets, from the texts."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            digests, blobs = [], []
-            for value in rows.column(0):
-                words = word_hashes(value.as_py() or "")
-                blob = np.unique(shingles(words, width)).tobytes()
-                blobs.append(blob)
-                digests.append(xxhash.xxh3_128_hexdigest(blob))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *rows.columns[1:],
-                    pa.array(digests, pa.string()),
-                    pa.array(blobs, pa.binary()),
-                ],
-                names=[*rows.schema.names[1:], "found", "shingles"],
-            )
-
-    carried = members.columns
+def member_texts(frame: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
+    """Members (doc_id and more) with their texts, from which searches make the sets:
+    texts take less room on the way than hashes."""
+    carried = [c for c in members.columns if c != "doc_id"]
     hint = F.broadcast if members.count() <= BROADCAST_CLASSES else (lambda x: x)
-    texts = frame.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("__text"))
-    rows = texts.join(hint(members), F.col("__id").eqNullSafe(F.col("doc_id"))).select(
-        "__text", *carried
+    texts = frame.select(F.col(key).cast("long").alias("__id"), F.col(text).alias("text"))
+    return texts.join(hint(members), F.col("__id").eqNullSafe(F.col("doc_id"))).select(
+        "text", *carried
     )
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema)
-    found = map_batches(rows, run, f"{schema}, found string, shingles binary")
-    # Of several rows with one identifier those with the set; repeated rows give it twice,
-    # which the searches put right.
-    return found.filter("found = digest").drop("found", "doc_id", "digest")
 
 
 def similar_texts(
@@ -425,25 +406,25 @@ def _links(
         4 * math.ceil((small.agg(F.sum("n_shingles")).first()[0] or 0) / BLOCK_SHINGLES),
     )
     found = (
-        member_sets(frame, small, key, text, width)
+        member_texts(frame, small, key, text)
         .withColumn("shard", F.pmod(F.xxhash64("component"), F.lit(shards)))
         .groupBy("shard")
-        .applyInPandas(_search_components(least), "a long, b long")
+        .applyInPandas(_search_components(least, width), "a long, b long")
     )
     if large.isEmpty():
         return found
-    sets, again = stored_twice(
-        member_sets(frame, large, key, text, width), "shingle-member-sets"
-    )
-    return found.unionByName(_large_links(sets, again, least))
+    texts, again = stored_twice(member_texts(frame, large, key, text), "shingle-member-texts")
+    return found.unionByName(_large_links(texts, again, least, width))
 
 
-def _large_links(sets: DataFrame, again: DataFrame, least: tuple[int, int]) -> DataFrame:
+def _large_links(
+    texts: DataFrame, again: DataFrame, least: tuple[int, int], width: int
+) -> DataFrame:
     """Links inside components of several blocks: pivots first, then what they left.
 
-    ``again`` is a second reading of the sets, for the queries.
+    ``again`` is a second reading of the members, for the queries.
     """
-    dealt = sets.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
+    dealt = texts.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")))
     keys = ["component", "block", "queries"]
     first = dealt.groupBy("component").agg(
         F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("class", F.lit(1)), "blocks") == 0, F.col("class")))), 1, PIVOTS).alias("pivots"),
@@ -452,10 +433,10 @@ def _large_links(sets: DataFrame, again: DataFrame, least: tuple[int, int]) -> D
     every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     queries = again.join(
         F.broadcast(pivots.select(F.col("pivot").alias("class"))), "class", "left_semi"
-    ).select("component", "class", "shingles", every_block.alias("block"), F.lit(0).cast("long").alias("queries"))
-    members = dealt.select("component", "block", "class", "shingles", F.lit(0).cast("long").alias("queries"))
+    ).select("component", "class", "digest", "text", every_block.alias("block"), F.lit(0).cast("long").alias("queries"))
+    members = dealt.select("component", "block", "class", "digest", "text", F.lit(0).cast("long").alias("queries"))
     near = stored(
-        members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(_search_block(least), "a long, b long"),
+        members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(_search_block(least, width), "a long, b long"),
         "pivot-links",
     )
     per_pivot = near.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
@@ -470,18 +451,18 @@ def _large_links(sets: DataFrame, again: DataFrame, least: tuple[int, int]) -> D
     blocks = left.groupBy("component").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES),
-            F.ceil(F.sum(F.octet_length("shingles")) / (8 * BLOCK_SHINGLES)),
+            F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES),
         ).cast("long").alias("query_blocks")
     )
     numbered = hot_join(left, blocks, "component").withColumn(
         "queries", F.pmod(F.xxhash64("class", F.lit(2)), F.col("query_blocks"))
     )
-    queries = numbered.select("component", "class", "shingles", "queries", every_block.alias("block"))
+    queries = numbered.select("component", "class", "digest", "text", "queries", every_block.alias("block"))
     members = hot_join(dealt, blocks, "component").select(
-        "component", "block", "class", "shingles",
+        "component", "block", "class", "digest", "text",
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1)).alias("queries"),
     )
     rest = members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
-        _search_block(least), "a long, b long"
+        _search_block(least, width), "a long, b long"
     )
     return near.unionByName(rest)
