@@ -300,27 +300,37 @@ def test_probabilities_sum_to_one():
 
 
 def test_windows_do_not_change_scores():
-    """Long inputs in overlapping windows equal one position at a time."""
+    """Many blocks together equal one position at a time."""
     rng = np.random.default_rng(4)
     rows = 50
     model = lm.Attention.fresh(np.arange(rows), rows)
     model.near[:] = rng.normal(size=2 * lm.BLOCK)
     model.direct[:] = rng.normal(size=model.direct.shape) * 0.1
-    n = 3 * lm.BLOCK + 5
-    seen, target = rng.integers(0, rows, n + 1), rng.integers(0, lm.CLASSES, n)
+    n = lm.CHUNK + 3 * lm.BLOCK
+    seen, target = rng.integers(0, rows, n), rng.integers(0, lm.CLASSES, n)
     masses = rng.dirichlet(np.ones(lm.INNER_CLASSES + 1), n).astype(np.float32)
     start = np.full(lm.START_CLASSES, 1 / lm.START_CLASSES, np.float32)
     together = model.correction(seen, masses, target, start)
-    for t in (0, 1, lm.BLOCK, n - 1):
-        begin = max(0, t // lm.BLOCK * lm.BLOCK - lm.BLOCK)
-        window = np.zeros(2 * lm.BLOCK, np.int64)
+    for t in (0, 1, lm.BLOCK, lm.CHUNK - 1, lm.CHUNK, lm.CHUNK + 1, n - 1):
         low = t // lm.BLOCK * lm.BLOCK
-        window[lm.BLOCK - (low - begin) : lm.BLOCK + t + 1 - low] = seen[begin : t + 1]
+        window = np.zeros(2 * lm.BLOCK, np.int64)
+        window[lm.BLOCK : lm.BLOCK + t + 1 - low] = seen[low : t + 1]
+        if low:
+            window[: lm.BLOCK] = seen[low - lm.BLOCK : low]
         a = model.forward(window[None])[0][0, t - low]
         full = np.concatenate([masses[t, -1] * start, masses[t, :-1]])
         assert abs(a[target[t]] - np.log((full * np.exp(a)).sum()) - together[t]) < 1e-4
 
 
+def test_texts_score_the_same_alone_and_together(spark, odd):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    model, _ = lm.train_language_model(odd, vocabulary, "doc_id", "text")
+    texts = [r["text"] or "" for r in odd.collect()]
+    together = [s[3] for s in lm.Scorer(model).scores(texts)]
+    alone = [next(iter(lm.Scorer(model).scores([t])))[3] for t in texts]
+    assert np.allclose(together, alone, rtol=1e-5)
+
+
 # Archives
 
 
