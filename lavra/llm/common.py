@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
@@ -36,6 +37,13 @@ def stored_twice(frame: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
     return read.parquet(path), read.parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Have memory cleared of finished plans. Spark deletes the shuffle files of plans that
+    nothing refers to, but only once the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _shipped: set[str] = set()
 
 

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.common import map_batches, ship, stored, stored_twice
+from lavra.llm.common import map_batches, release, ship, stored, stored_twice
 from lavra.llm.components import components, hot_join
 
 SHINGLE_WORDS = 4
@@ -352,6 +352,7 @@ def similar_texts(
     )
     classes = stored(classes, "shingle-classes")
     roots = components(_links(frame, rows, classes, key, text, least, width))
+    release(spark)
     named = classes.join(roots, F.col("class") == F.col("node"), "left").select(
         "digest", "doc_id", F.coalesce("component", "class").alias("root")
     )
@@ -362,16 +363,8 @@ def similar_texts(
     )
 
 
-def _links(
-    frame: DataFrame,
-    rows: DataFrame,
-    classes: DataFrame,
-    key: str,
-    text: str,
-    least: tuple[int, int],
-    width: int,
-) -> DataFrame:
-    """Pairs of classes that span the components of the links."""
+def _candidates(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Components of the classes that share a shingle they send."""
     # One row per class: its sets are equal, so any row's shingles will do.
     chosen = classes.withColumnRenamed("digest", "__digest").withColumnRenamed("doc_id", "__doc")
     sent = (
@@ -388,7 +381,21 @@ def _links(
         .drop("last")
     )
     stars = hot_join(sent, groups, "shingle").select(F.col("class").alias("a"), F.col("first").alias("b"))
-    candidate = components(stars)
+    return components(stars)
+
+
+def _links(
+    frame: DataFrame,
+    rows: DataFrame,
+    classes: DataFrame,
+    key: str,
+    text: str,
+    least: tuple[int, int],
+    width: int,
+) -> DataFrame:
+    """Pairs of classes that span the components of the links."""
+    candidate = _candidates(rows, classes)
+    release(frame.sparkSession)
     members = candidate.select(F.col("node").alias("class"), "component").unionByName(
         candidate.select(F.col("component").alias("class"), "component").distinct()
     )
