@@ -331,6 +331,22 @@ def test_texts_score_the_same_alone_and_together(spark, odd):
     assert np.allclose(together, alone, rtol=1e-5)
 
 
+def test_tree_holds_the_commonest_words(spark, monkeypatch):
+    """Also where more words than fit are seen very often, and where all are seen equally often."""
+    monkeypatch.setattr(lm, "MOST_WORDS", 6)
+    often = [(f"w{i} " * (1000 + 100 * i),) for i in range(20)]
+    words = lm.count_words(spark.createDataFrame(often, "text string"), "text").filter("word IS NOT NULL")
+    assert sorted(r["n"] for r in lm.commonest(words, 6).collect()) == [2400, 2500, 2600, 2700, 2800, 2900]
+    frame = spark.createDataFrame([(i, t) for i, (t,) in enumerate(often)], "doc_id long, text string")
+    model, _ = lm.train_language_model(frame, public_tokenizers.path("byte_bpe_50k.json"), "doc_id", "text")
+    assert {lm.word_hash(b"w%d" % i) for i in range(14, 20)} == set(model.known.tolist())
+    assert (np.diff(model.known) > 0).all()
+    equal = spark.createDataFrame([(" ".join(f"e{i}" for i in range(2000)),)], "text string")
+    words = lm.count_words(equal, "text").filter("word IS NOT NULL")
+    assert lm.commonest(words, 300).count() == 300
+    assert lm.commonest(words, 5000).count() == 2000
+
+
 # Archives
 
 
