@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.llm.common import map_batches
+from lavra.llm.components import hot_join
 
 CHUNK_CHARS = 1 << 15
-RECORDS_PER_FILE = 100_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 DATE = "2000-01-01T00:00:00Z"
@@ -60,12 +60,10 @@ def with_responses(
     )
     responses = (
         rows.filter(F.octet_length("payload") >= least_bytes)
-        .groupBy(F.col("digest").alias("__digest"))
+        .groupBy("digest")
         .agg(F.max("key").alias("response"))
     )
-    return rows.join(responses, rows["digest"] == responses["__digest"], "left").select(
-        "key", "url", "payload", "response"
-    )
+    return hot_join(rows, responses, "digest", "left").select("key", "url", "payload", "response")
 
 
 def chunk_table(rows: DataFrame, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
@@ -143,10 +141,12 @@ def _record(kind: str, name: str, fields: dict[str, str], block: bytes) -> str:
 
 
 def write_archive(chunk_rows: DataFrame, path: str) -> None:
-    """Store a chunk table as archive files below ``path``."""
-    chunk_rows.select("value").write.option("lineSep", "\n").option(
-        "maxRecordsPerFile", RECORDS_PER_FILE
-    ).text(path, compression="gzip")
+    """Store a chunk table as archive files below ``path``, one for each task.
+
+    Files are never cut by a number of rows: a record's continuations stay with it."""
+    chunk_rows.select("value").write.option("lineSep", "\n").option("maxRecordsPerFile", 0).text(
+        path, compression="gzip"
+    )
 
 
 class RecordReader:

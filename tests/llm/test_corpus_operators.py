@@ -369,6 +369,27 @@ def test_archive_round_trip(spark, tmp_path, chunk):
     assert kinds[6] == kinds[7] == ("response", None)
 
 
+def test_records_are_never_cut_between_files(spark, tmp_path, monkeypatch):
+    """Payloads of many chunks stay in one file, whatever the limits on rows of a file."""
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", 3, raising=False)
+    rows = [(i, f"http://e/{i}", f"{i} " + "x" * (3 * i), None) for i in range(40)]
+    rows += [(i, f"http://e/{i}", "", None) for i in range(40, 60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, more string").coalesce(1)
+    responses = warc.with_responses(pages)
+    # The hash in the condition puts a shuffle below both sides, so a hot payload can be split.
+    assert "xxhash64" in responses._jdf.queryExecution().optimizedPlan().toString()
+    path = str(tmp_path / "archive")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "3")
+    try:
+        warc.write_archive(warc.chunk_table(responses, 5), path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    found = {r["key"]: r for r in warc.read_archive(spark, path).collect()}
+    assert len(found) == 60
+    assert all(found[i]["payload_bytes"] == len(rows[i][2]) for i in range(60))
+    assert sum(r["record_type"] == "response" for r in found.values()) == 41
+
+
 def test_empty_and_damaged_archives(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write_archive(warc.chunk_table(warc.with_responses(pages)), str(tmp_path / "none"))
