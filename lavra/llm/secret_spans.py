@@ -4,8 +4,9 @@
 Strings of at least ``WINDOW`` key characters are candidates. Over each candidate a
 window slides; the counts of its characters are changed by one entering and one leaving
 character, so the window's Shannon entropy costs the same at every place. Windows above
-the threshold of their character class join to spans of kind ``entropy``. A span that
-meets an allow-list pattern or a span of a fixed pattern is suppressed.
+the threshold of their character class join to spans of kind ``entropy``. Windows that
+overlap a match of the allow-list or a span of a fixed pattern do not count; the windows
+beside it do.
 
 A NULL text counts as empty: no span. Repeated rows give repeated results. Positions
 are code points, ends exclusive.
@@ -50,7 +51,7 @@ ALLOWED = (
     re.compile(r"(?i)\b[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}\b"),
     re.compile(r"(?i)example|sample|placeholder|changeme|redacted"),
     re.compile(r"(?i)abcdefgh|01234567|12345678"),
-    re.compile(r"//|/[A-Za-z]+/[A-Za-z]+/"),
+    re.compile(r"//|/(?:[A-Za-z]+/){2,}"),
 )
 
 SCHEMA = (
@@ -106,6 +107,16 @@ def entropy_windows(candidate: str) -> list[tuple[int, int]]:
     return spans
 
 
+def between(start: int, end: int, cuts: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Parts of a range outside of all cuts in which a window has room."""
+    for low, high in sorted(cuts):
+        if low - start >= WINDOW:
+            yield start, low
+        start = max(start, high)
+    if end - start >= WINDOW:
+        yield start, end
+
+
 def scan(text: str) -> list[tuple[int, int, int]]:
     """Spans of one text as (start, index of the kind, end), in order."""
     found: list[tuple[int, int, int]] = []
@@ -120,14 +131,19 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     for kind, pattern in ((1, ACCESS), (2, HEX)):
         for c in candidates:
             found += [(m.start(), kind, m.end()) for m in pattern.finditer(text, c.start(), c.end())]
-    base = sorted(found)
+    base = sorted((start, end) for start, _, end in found)
+    at = 0
     for c in candidates:
-        if any(pattern.search(c.group()) for pattern in ALLOWED):
-            continue
-        for start, end in entropy_windows(c.group()):
-            start, end = start + c.start(), end + c.start()
-            if not any(a < end and start < b for a, _, b in base):
-                found.append((start, 3, end))
+        while at < len(base) and base[at][1] <= c.start():
+            at += 1
+        cuts = [m.span() for pattern in ALLOWED for m in pattern.finditer(c.group())]
+        cuts = [(a + c.start(), b + c.start()) for a, b in cuts]
+        here = at
+        while here < len(base) and base[here][0] < c.end():
+            cuts.append(base[here])
+            here += 1
+        for low, high in between(c.start(), c.end(), cuts):
+            found += [(a + low, 3, b + low) for a, b in entropy_windows(text[low:high])]
     return sorted(found)
 
 
