@@ -347,6 +347,35 @@ def test_tree_holds_the_commonest_words(spark, monkeypatch):
     assert lm.commonest(words, 5000).count() == 2000
 
 
+def test_all_words_are_learned_and_the_sample_grows(spark, monkeypatch):
+    """Counts cover rare words, too, whatever is held; every round trains on other texts."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["common word here " * 5 + f"zq{i}xv" for i in range(200)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    subwords = lm.Subwords(open(vocabulary).read())
+    words = [w for t in texts for w in lm.split_words(t)]
+    whole = lm.Prior(subwords(words), np.ones(len(words)), len(words), 200, subwords.size, subwords.eot)
+    monkeypatch.setattr(lm, "MOST_WORDS", 3)
+    full, _ = lm.train_language_model(frame, vocabulary, "doc_id", "text")
+    for name in ("uni", "bigrams", "big_n", "big_back", "keys", "n", "sum", "back"):
+        assert np.allclose(getattr(full.prior, name), getattr(whole, name)), name
+    rounds = []
+    train = lm.train_attention
+    monkeypatch.setattr(lm, "MOST_NODES", 30)
+    monkeypatch.setattr(lm, "NODES_BY_ROOT", 0)
+    monkeypatch.setattr(lm, "SAMPLE_TEXTS", 40)
+    monkeypatch.setattr(lm, "GROWS_FROM", 20)
+    monkeypatch.setattr(lm, "STEPS", 3)
+    monkeypatch.setattr(lm, "train_attention", lambda m, parts, n, s: train(m, (rounds.append(len(p[0])) or p for p in parts), n, s))
+    small, _ = lm.train_language_model(frame, vocabulary, "doc_id", "text")
+    assert len(small.prior.keys) + len(small.prior.bigrams) <= 31
+    assert np.allclose(small.prior.uni, whole.uni) and np.allclose(small.prior.big_sum, whole.big_sum)
+    assert small.prior.sum[0] == whole.sum[0]
+    assert len(rounds) == 4 and all(rounds)
+    first = small.prior._first(np.arange(subwords.size)) / small.prior.start_total
+    assert abs(first.sum() - 1) < 1e-9
+
+
 # Archives
 
 
