@@ -236,13 +236,24 @@ def find_links(
     while True:
         found = _search_all(graph, vectors, queries, threshold, beam)
         true = _check(vectors, queries[audited], [np.arange(len(vectors))] * len(audited), threshold)
-        expected = sum(map(len, true))
-        got = sum(len(found[i]) for i in audited)
-        if got >= AUDIT_RECALL * expected or beam >= len(vectors):
+        recall = audit_recall(vectors, queries[audited], [found[i] for i in audited], true)
+        if recall >= AUDIT_RECALL or beam >= len(vectors):
             return found
         beam *= 2
 
 
+def audit_recall(
+    vectors: np.ndarray, queries: np.ndarray, found: list[np.ndarray], true: list[np.ndarray]
+) -> float:
+    """Mean share of the true links that are found, over queries with a link to another vector."""
+    shares = []
+    for query, got, rows in zip(queries, found, true, strict=True):
+        others = rows[(vectors[rows] != query).any(1)]
+        if len(others):
+            shares.append(np.isin(others, got).mean())
+    return float(np.mean(shares)) if shares else 1.0
+
+
 def _search_all(
     graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: float, beam: int
 ) -> list[np.ndarray]:

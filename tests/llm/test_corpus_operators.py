@@ -613,6 +613,28 @@ def test_graph_search_finds_neighbours():
 # Toxicity
 
 
+def test_audit_sees_small_groups_beside_a_large_one():
+    """A graph that finds the large group at once and pairs only with a wider beam."""
+    rng = np.random.default_rng(6)
+    group = rng.normal(size=16) + rng.normal(size=(2000, 16)) * 1e-4
+    one = rng.normal(size=(100, 16))
+    vectors = np.vstack([group, one, one + rng.normal(size=one.shape) * 1e-4])
+    queries = np.vstack([group[:100], vectors[2000:]])
+
+    class Graph:
+        def search(self, unit, beam):
+            sims = unit @ vectors_unit.T
+            if beam < 4 * vectors_.SEARCH_BEAM:
+                sims[:, 2000:] = np.where(sims[:, 2000:] > 1 - 1e-12, sims[:, 2000:], -1)
+            order = np.argsort(-sims, axis=1)[:, :2100]
+            return order, np.take_along_axis(sims, order, 1)
+
+    vectors_, vectors_unit = globals()["vectors"], vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    found = vectors_.find_links(Graph(), vectors, queries, 0.99)
+    assert all(len(rows) == 2000 for rows in found[:100])
+    assert all(len(rows) == 2 for rows in found[100:])
+
+
 def test_segments_are_maximal():
     """Against the recursive definition: the best segment, then left and right of it."""
     random.seed(4)
