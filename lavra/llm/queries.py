@@ -8,13 +8,57 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lavra.llm import fingerprint, language, lm, packing, pieces, secret_spans, shingle_join, toxicity, vectors, warc
+from lavra.llm import (
+    alignment,
+    fingerprint,
+    hard_negatives,
+    language,
+    lm,
+    packing,
+    pieces,
+    secret_spans,
+    shingle_join,
+    token_files,
+    toxicity,
+    vectors,
+    warc,
+)
 from lavra.llm.common import documents, held_out
 from lavra.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: None of the ten can be told in SQL as a whole; tests/llm holds brute-force versions.
-ORACLES: dict[str, str] = {}
+#: Of the others none can be told in SQL as a whole; tests/llm holds brute-force versions.
+ORACLES: dict[str, str] = {
+    "op11_hard_negatives": """
+        WITH part AS (
+            SELECT vec_id,
+                   CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), score AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+                   CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+            FROM part a, part r
+            WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+        ), positive AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score
+            FROM score WHERE same
+            QUALIFY row_number() OVER (
+                PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT p.anchor_id, p.positive_id,
+               CAST(row_number() OVER (
+                   PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id
+               ) AS INTEGER) AS rank,
+               n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positive p JOIN score n ON n.anchor_id = p.anchor_id AND NOT n.same
+         AND 50 * p.positive_score <= 100 * n.score
+         AND 100 * n.score <= 95 * p.positive_score
+        QUALIFY rank <= 3
+    """,
+}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
@@ -116,3 +160,23 @@ def op4_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score",
         "score",
     )
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(documents(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(documents(spark, sf_dir), vocabulary)
+
+
+@query
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_texts(
+        documents(spark, sf_dir),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
