@@ -37,12 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lavra.llm.chunks import binary_values, chunk_codes, ends_of, joined, laid_out, text_slices
+from lavra.llm.chunks import Remembered, binary_values, chunk_codes, ends_of, joined, laid_out, text_slices
 from lavra.llm.common import map_batches, stored
 from lavra.llm.components import hot_join
 
 SPACE = "▁"
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 1 << 20
+CACHE_ENTRIES = 100_000
+CACHED_BYTES = 64
 MOST_PAIRS = 2_000_000
 HELD_PAIRS = 4_000_000
 LARGE = 4096
@@ -88,14 +90,6 @@ def last_of_component(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
         pointer = further
 
 
-class Chunks:
-    """What the different chunks of a slice consist of; bad ones have no tokens."""
-
-    def __init__(self, good, n_a, n_b, n_groups, n_links, text, pairs, codes, times):
-        self.good, self.n_a, self.n_b, self.n_groups, self.n_links = good, n_a, n_b, n_groups, n_links
-        self.text, self.pairs, self.codes, self.times = text, pairs, codes, times
-
-
 class Aligner:
     """Both tokenizers, with the bytes of their tokens."""
 
@@ -117,6 +111,7 @@ class Aligner:
         self.a_length = np.array([len(b) for b in self.a_bytes], np.int64)
         self.b_length = np.array([len(b) for b in self.b_bytes], np.int64)
         self.pair_type = "<u4" if self.a_length.size * self.b_length.size <= 1 << 32 else "<u8"
+        self.remembered = Remembered(CACHE_ENTRIES, CACHED_BYTES)
         # Ids as text: of either tokenizer before another of its group, and as its last.
         self.written = pa.array(
             [f"{i}{mark}".encode() for n, marks in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;"))
@@ -137,50 +132,51 @@ class Aligner:
             )
         return a, b, good
 
-    def chunks(self, words: pa.Array, others: list[str]) -> Chunks:
-        """Align words (each after a space) and other chunks (each with its first space)."""
-        units = [" " + u for u in joined(words, " ")]
-        a, b, good = self._encode(units)
+    def chunks(self, words: pa.Array, others: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """What words (each after a space) and other chunks (each with its first space)
+        consist of, and whether their tokens give them back; bad chunks have no tokens."""
+        found = [self.remembered.values_of(words, self._of_words)]
+        fine = np.ones(len(words) + len(others), bool)
+        if others:
+            a, b, good = self._encode(others)
+            fine[len(words) :] = good
+            kept = [i for i, g in enumerate(good) if g]
+            sizes = np.array([len(others[i].encode()) for i in kept], np.int64)
+            ids = _flat([a[i] for i in kept]), _flat([b[i] for i in kept])
+            found.append(self._aligned(*ids, sizes, np.array(good, bool)))
+        return pa.concat_arrays(found), fine
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        a, b, good = self._encode([" " + unit for unit in joined(words, " ")])
         if not all(good):
             raise RuntimeError("tokens of regular words do not give them back")
-        more_a, more_b, more_good = self._encode(others)
-        kept = [i for i, g in enumerate(more_good) if g]
-        a_ids = _flat(a + [more_a[i] for i in kept])
-        b_ids = _flat(b + [more_b[i] for i in kept])
-        good = np.concatenate([np.ones(len(words), bool), np.array(more_good, bool)])
-        sizes = np.concatenate(
-            [
-                1 + pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64),
-                np.array([len(others[i].encode()) for i in kept], np.int64),
-            ]
-        )
-        return self._aligned(a_ids, b_ids, sizes, good)
+        sizes = 1 + pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+        return self._aligned(_flat(a), _flat(b), sizes, np.ones(len(words), bool))
 
     def _aligned(
         self, a_ids: np.ndarray, b_ids: np.ndarray, sizes: np.ndarray, good: np.ndarray
-    ) -> Chunks:
+    ) -> pa.StructArray:
+        """Chunks from their tokens in a row and their bytes; ``good`` tells which of all
+        chunks these are."""
         a_ends, b_ends = np.cumsum(self.a_length[a_ids]), np.cumsum(self.b_length[b_ids])
         chunk_ends = np.cumsum(sizes)
         for ends in (a_ends, b_ends):
             if len(sizes) and not (
-                ends[-1] == chunk_ends[-1] and (ends[np.searchsorted(ends, chunk_ends)] == chunk_ends).all()
+                ends[-1] == chunk_ends[-1]
+                and (ends[np.searchsorted(ends, chunk_ends)] == chunk_ends).all()
             ):
                 raise RuntimeError("a token goes beyond its chunk")
-        if not len(sizes):
-            a_group = b_group = last = np.zeros(0, np.int64)
-        else:
-            pointer = last_of_component(a_ends, b_ends)
-            is_last = pointer[: len(a_ids)] == np.arange(len(a_ids))
-            number = np.cumsum(is_last) - 1
-            a_group, b_group = number[pointer[: len(a_ids)]], number[pointer[len(a_ids) :]]
-            last = np.flatnonzero(is_last)
-        groups = len(last)
-        a_count, b_count = np.bincount(a_group, minlength=groups), np.bincount(b_group, minlength=groups)
-        chunk = np.searchsorted(chunk_ends, a_ends[last])
-        chunks = len(sizes)
-        links = a_count * b_count
-        text = self._written(a_ids, b_ids, a_count, b_count, chunk, chunks)
+        pointer = last_of_component(a_ends, b_ends) if len(sizes) else np.zeros(0, np.int64)
+        is_last = pointer[: len(a_ids)] == np.arange(len(a_ids))
+        number = np.cumsum(is_last) - 1
+        a_group, b_group = number[pointer[: len(a_ids)]], number[pointer[len(a_ids) :]]
+        last = np.flatnonzero(is_last)
+        a_count = np.bincount(a_group, minlength=len(last))
+        b_count = np.bincount(b_group, minlength=len(last))
+        chunk, chunks = np.searchsorted(chunk_ends, a_ends[last]), len(sizes)
+        text, text_bytes = self._written(a_ids, b_ids, a_count, b_count, chunk, chunks)
         of, codes, times = self._pairs(a_ids, b_ids, a_group, a_count, b_count, chunk)
+        pairs = np.bincount(of, minlength=chunks)
 
         def whole(values: np.ndarray) -> np.ndarray:
             out = np.zeros(len(good), np.int64)
@@ -192,11 +188,16 @@ class Aligner:
             np.add.at(sums, chunk, values)
             return whole(sums)
 
-        return Chunks(
-            good, total(a_count), total(b_count), whole(np.bincount(chunk, minlength=chunks)),
-            total(links), binary_values(text[0], whole(text[1])),
-            whole(np.bincount(of, minlength=chunks)), codes, times,
-        )
+        columns = {
+            "n_a": pa.array(total(a_count)),
+            "n_b": pa.array(total(b_count)),
+            "n_groups": pa.array(whole(np.bincount(chunk, minlength=chunks))),
+            "n_links": pa.array(total(a_count * b_count)),
+            "text": binary_values(text, whole(text_bytes)),
+            "pairs": binary_values(codes.view(np.uint8), whole(pairs) * codes.itemsize),
+            "times": binary_values(times.view(np.uint8), whole(pairs) * times.itemsize),
+        }
+        return pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
     def _written(self, a_ids, b_ids, a_count, b_count, chunk, chunks):
         """The groups of all chunks as text, and how many bytes each chunk has."""
@@ -240,34 +241,39 @@ class Aligner:
         return summed(of, code.astype(self.pair_type), times)
 
     def documents(self, texts: pa.Array) -> dict[str, pa.Array]:
+        texts = texts.cast(pa.large_string())
         regular = pc.invert(pc.match_substring_regex(texts, IRREGULAR))
         words, others, codes, counts = chunk_codes(
             texts, regular, lambda t: pc.split_pattern(t, " "), irregular_chunks
         )
-        chunks = self.chunks(words, others)
+        chunks, good = self.chunks(words, others)
         ends = np.cumsum(counts)
-        kept = lengths_to(~chunks.good[codes], ends) == 0
+        kept = lengths_to(~good[codes], ends) == 0
         codes, counts = codes[np.repeat(kept, counts)], np.where(kept, counts, 0)
         ends = np.cumsum(counts)
-        data, chunk_ends = laid_out(chunks.text, codes)
+        data, chunk_ends = laid_out(chunks.field("text"), codes)
         view, digests, start = memoryview(data), [], 0
         for end in ends_of(counts, chunk_ends).tolist():
             digests.append(hashlib.sha256(view[start : end - 1]).hexdigest() if end > start else "")
             start = end
         # Chunks of each document once with their number, then their pairs.
         document = np.repeat(np.arange(len(texts)), counts)
-        document, chunk, times = summed(document, codes, np.ones(len(codes), np.int64))
-        each = chunks.pairs[chunk]
-        at = ranges((np.cumsum(chunks.pairs) - chunks.pairs)[chunk], each)
-        document, pairs, times = summed(
-            np.repeat(document, each), chunks.codes[at], chunks.times[at] * np.repeat(times, each)
-        )
+        document, chunk, often = summed(document, codes, np.ones(len(codes), np.int64))
+        pairs, pair_ends = laid_out(chunks.field("pairs"), chunk)
+        pairs = pairs.view(self.pair_type)
+        each = np.diff(pair_ends, prepend=0) // pairs.itemsize
+        times = laid_out(chunks.field("times"), chunk)[0].view("<i8") * np.repeat(often, each)
+        document, pairs, times = summed(np.repeat(document, each), pairs, times)
         sizes = np.bincount(document, minlength=len(texts))
+
+        def numbers(name: str) -> np.ndarray:
+            return lengths_to(chunks.field(name).to_numpy()[codes], ends)
+
         return {
-            "n_a": pa.array(lengths_to(chunks.n_a[codes], ends)),
-            "n_b": pa.array(lengths_to(chunks.n_b[codes], ends)),
-            "n_groups": pa.array(lengths_to(chunks.n_groups[codes], ends)),
-            "n_links": pa.array(lengths_to(chunks.n_links[codes], ends)),
+            "n_a": pa.array(numbers("n_a")),
+            "n_b": pa.array(numbers("n_b")),
+            "n_groups": pa.array(numbers("n_groups")),
+            "n_links": pa.array(numbers("n_links")),
             "groups_sha256": pa.array(digests, pa.string()),
             "pairs": binary_values(pairs.view(np.uint8), sizes * pairs.itemsize).cast(pa.binary()),
             "times": binary_values(times.view(np.uint8), sizes * 8).cast(pa.binary()),

@@ -14,11 +14,9 @@ import pyarrow.compute as pc
 
 from lavra.llm.common import slices
 
-SLICE_BYTES = 16 << 20
-
 
 def text_slices(
-    batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch], column: int, limit: int
 ) -> Iterator[pa.RecordBatch]:
     """Rows in slices of about ``limit`` bytes of text, at least a row each; the texts as
     large strings, NULL as an empty one."""
@@ -94,3 +92,36 @@ def joined(words: pa.Array, separator: str, group: int = 1000) -> list[str]:
     """Words put together to longer texts of ``group`` words each."""
     strings = words.to_pylist()
     return [separator.join(strings[i : i + group]) for i in range(0, len(strings), group)]
+
+
+class Remembered:
+    """Values of the chunks of earlier slices, at most ``entries`` and only of short chunks.
+
+    When it is full, what the last slice used stays. Chunks are looked up all at once.
+    """
+
+    def __init__(self, entries: int, most_bytes: int):
+        self.entries, self.most_bytes = entries, most_bytes
+        self.chunks = pa.array([], pa.large_string())
+        self.values: pa.Array | None = None
+
+    def values_of(self, chunks: pa.Array, compute: Callable[[pa.Array], pa.Array]) -> pa.Array:
+        """The value of each of these different chunks; ``compute`` gives those not known."""
+        at = pc.index_in(chunks, value_set=self.chunks)
+        unknown = pc.is_null(at)
+        new = chunks.filter(unknown)
+        values = compute(new)
+        if self.values is not None:
+            values = pa.concat_arrays([self.values, values])
+        is_new = unknown.to_numpy(zero_copy_only=False)
+        place = pc.fill_null(at, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[is_new] = len(self.chunks) + np.arange(len(new))
+        found = values.take(pa.array(place))
+        if len(self.chunks) + len(new) <= self.entries:
+            kept, kept_values = pa.concat_arrays([self.chunks, new]), values
+        else:
+            kept, kept_values = chunks, found
+        short = pc.less_equal(pc.binary_length(kept), self.most_bytes)
+        self.chunks = kept.filter(short)[: self.entries]
+        self.values = kept_values.filter(short)[: self.entries]
+        return found

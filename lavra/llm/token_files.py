@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from lavra.llm.chunks import binary_values, chunk_codes, ends_of, joined, laid_out, text_slices
+from lavra.llm.chunks import Remembered, binary_values, chunk_codes, ends_of, joined, laid_out, text_slices
 from lavra.llm.common import map_batches, stored
 from lavra.session import scratch_path
 
@@ -50,6 +50,10 @@ BLOCK_IDS = 1 << 17
 BLOCKS_PER_FILE = 64
 SHARD_IDS = 1 << 23
 MOST_SHARDS = 99_999
+CACHE_ENTRIES = 300_000
+CACHED_BYTES = 64
+SLICE_BYTES = 4 << 20
+TEXTS_AT_ONCE = 64
 MAGIC = b"TIDB"
 HEADER = struct.Struct("<4sIIIIIQQII")
 
@@ -67,6 +71,7 @@ class BatchTokenizer:
 
     def __init__(self, content: bytes):
         self.tokenizer = Tokenizer.from_str(content.decode())
+        self.remembered = Remembered(CACHE_ENTRIES, CACHED_BYTES)
         self.ids = self.tokenizer.get_vocab_size()
         added = self.tokenizer.get_added_tokens_decoder().values()
         # Looked for before letters are lowered, so texts that may hold one stay whole.
@@ -80,11 +85,21 @@ class BatchTokenizer:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, and where each text's end."""
+        texts = texts.cast(pa.large_string())
         lowered = pc.utf8_lower(texts)
         regular = pc.invert(pc.match_substring_regex(texts, UNUSUAL))
         for content in self.added:
             regular = pc.and_not(regular, pc.match_substring(lowered, content))
+        del lowered
         words, whole, codes, counts = chunk_codes(texts, regular, split_words, lambda t: [t])
+        values = self.remembered.values_of(words, self._of_words)
+        if whole:
+            ids, lengths = self._ids(whole)
+            values = pa.concat_arrays([values, binary_values(ids.view(np.uint8), 4 * lengths)])
+        data, ends = laid_out(values, codes)
+        return data.view("<u4"), ends_of(counts, ends) // 4
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
         plain = pc.match_substring_regex(words, PLAIN_WORD)
         is_plain = plain.to_numpy(zero_copy_only=False)
         # A plain word is one word to the tokenizer, so its last id tells where it ends.
@@ -92,19 +107,23 @@ class BatchTokenizer:
         lengths = np.diff(np.flatnonzero(self.ends_word[ids]) + 1, prepend=0)
         if len(lengths) != is_plain.sum():
             raise RuntimeError("words do not end where they should")
-        more, more_lengths = self._ids(words.filter(pc.invert(plain)).to_pylist() + whole)
+        more, more_lengths = self._ids(words.filter(pc.invert(plain)).to_pylist())
         values = binary_values(
             np.concatenate([ids, more]).view(np.uint8), 4 * np.concatenate([lengths, more_lengths])
         )
-        place = np.empty(len(words) + len(whole), np.int64)
-        others = np.concatenate([np.flatnonzero(~is_plain), np.arange(len(words), len(place))])
-        place[np.concatenate([np.flatnonzero(is_plain), others])] = np.arange(len(place))
-        data, ends = laid_out(values, place[codes])
-        return data.view("<u4"), ends_of(counts, ends) // 4
+        place = np.empty(len(words), np.int64)
+        place[np.concatenate([np.flatnonzero(is_plain), np.flatnonzero(~is_plain)])] = np.arange(
+            len(words)
+        )
+        return values.take(pa.array(place))
 
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        lists = [np.array(e.ids, "<u4") for e in found]
+        lists = []
+        for i in range(0, len(texts), TEXTS_AT_ONCE):
+            found = self.tokenizer.encode_batch_fast(
+                texts[i : i + TEXTS_AT_ONCE], add_special_tokens=False
+            )
+            lists += [np.array(e.ids, "<u4") for e in found]
         lengths = np.array([len(ids) for ids in lists], np.int64)
         return np.concatenate([np.zeros(0, "<u4"), *lists]), lengths
 
@@ -137,7 +156,7 @@ def encode_texts(
         tokenizer = batch_tokenizer(content.value)
         kind = id_type(max(tokenizer.ids, end_id + 1))
         task, row = TaskContext.get().partitionId(), 0
-        for rows in text_slices(batches, 1):
+        for rows in text_slices(batches, 1, SLICE_BYTES):
             ids, ends = tokenizer.encode(rows.column(1))
             ids = np.insert(ids.astype(kind), ends, end_id)
             n = rows.num_rows
