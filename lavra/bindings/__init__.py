@@ -7,6 +7,7 @@ from lavra.bindings import (  # noqa: F401  (each module registers its queries)
     keys,
     layers,
     quality,
+    rejects,
     text,
 )
 from lavra.bindings.registry import ORACLES, QUERIES

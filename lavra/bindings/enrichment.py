@@ -31,10 +31,12 @@ from lavra.operators import (
     with_source,
 )
 from lavra.plans.delivery import (
+    NAME_KEY,
     TAX_KEY,
     canonical_reviews,
     canonical_segments,
     deliver,
+    deliver_by_branch,
     delivery_metrics,
 )
 
@@ -69,7 +71,7 @@ def delivery(spark: SparkSession, sf_dir: str, measured: bool) -> DataFrame:
     segments = canonical_segments(t.segments(spark, sf_dir))
     reviews = canonical_reviews(t.reviews(spark, sf_dir))
     if measured:
-        segments, reviews = measure_references(segments, reviews)
+        segments, reviews = measure_references(segments, reviews, on=[TAX_KEY, NAME_KEY])
     return deliver(t.complaints(spark, sf_dir), segments, reviews, t.REVIEW_OUTPUT)
 
 
@@ -80,6 +82,13 @@ def delivery_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("delivery_two_branches", DELIVERY)
 def delivery_two_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments = canonical_segments(t.segments(spark, sf_dir))
+    reviews = canonical_reviews(t.reviews(spark, sf_dir))
+    return deliver_by_branch(t.complaints(spark, sf_dir), segments, reviews, t.REVIEW_OUTPUT)
+
+
+@query("delivery_one_shuffle", DELIVERY)
+def delivery_one_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery(spark, sf_dir, measured=False)
 
 
@@ -215,7 +224,7 @@ def left_enrich_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = ["segmento", "employer_name", "match_percent"]
     return enrich_left(
         keyed,
-        measure_reference(canonical_reviews(t.reviews(spark, sf_dir))),
+        measure_reference(canonical_reviews(t.reviews(spark, sf_dir)), on=NAME_KEY),
         "nome_chave",
         {name: f"gd_{name}" for name in taken},
         flag="gd_found",

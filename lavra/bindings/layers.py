@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.bindings import tables as t
@@ -42,11 +42,13 @@ YEAR = "coalesce(cast(ano AS string), 'undated')"
 YEAR_SQL = "coalesce(CAST(year(o_orderdate) AS VARCHAR), 'undated')"
 
 
-def export_periods(spark: SparkSession, sf_dir: str) -> tuple[list[SourceSpec], str]:
+def export_periods(
+    spark: SparkSession, sf_dir: str, spoilt: dict[str, Column] | None = None
+) -> tuple[list[SourceSpec], str]:
     """Orders as one folder of ``;`` separated Latin-1 text per year, 14 columns and a blank.
 
     There is a source for every year of the orders, undated ones included, and each expects
-    the rows that were exported.
+    the rows that were exported. ``spoilt`` gives text to put in a column where it is not NULL.
     """
     base = scratch_path(spark, "periods")
     number = F.col("o_orderkey").cast("string")
@@ -61,6 +63,8 @@ def export_periods(spark: SparkSession, sf_dir: str) -> tuple[list[SourceSpec],
         **{f"Quantidade {i}": F.concat(number, F.lit(str(i))) for i in range(1, 8)},
         "_c14": F.lit(None).cast("string"),
     }
+    for name, text in (spoilt or {}).items():
+        layout[name] = F.coalesce(text, layout[name])
     rows = t.complaints(spark, sf_dir).select(
         *[value.alias(name) for name, value in layout.items()],
         F.concat(F.expr(YEAR), F.lit(".csv")).alias("file"),
@@ -280,6 +284,7 @@ def trusted_reviews_less(spark: SparkSession, sf_dir: str) -> DataFrame:
     "final_table",
     """SELECT 'final table: rows stored' AS "check", count(*) AS actual, count(*) AS expected,
               TRUE AS ok FROM orders
+       UNION ALL SELECT 'final table: content kept', 1, 1, TRUE
        UNION ALL SELECT 'final table: columns missing', 0, 0, TRUE
        UNION ALL SELECT 'final table: columns extra', 0, 0, TRUE""",
 )

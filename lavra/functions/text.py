@@ -42,12 +42,14 @@ def digits_only(column: Column) -> Column:
     return blank_to_null(F.regexp_replace(column, "[^0-9]+", ""))
 
 
-def first_integer(column: Column) -> Column:
+def first_integer(column: Column, strict: bool = True) -> Column:
     """The first run of digits as an int; NULL where there is none.
 
-    A number beyond ``int`` fails under ANSI mode, as any other cast of the library does.
+    A number beyond ``int`` fails under ANSI mode, as any other cast of the library does;
+    otherwise it becomes NULL.
     """
-    return F.nullif(F.regexp_extract(column, r"(\d+)", 1), F.lit("")).cast("int")
+    digits = F.nullif(F.regexp_extract(column, r"(\d+)", 1), F.lit(""))
+    return digits.cast("int") if strict else digits.try_cast("int")
 
 
 def fold_accents(column: Column) -> Column:

@@ -3,8 +3,10 @@
     spark-submit run_job.py STEP --base FOLDER [--free-totals] [--jdbc-url URL ...]
 
 The folder holds ``input``; the steps add ``raw``, ``trusted`` and ``delivery``.
-Reports are shown; a failed gate ends the job with an error. Trusted tables and the
-delivery are written aside and take the place of the old ones once all gates are passed.
+Reports are shown; a failed gate ends the job with an error. Trusted tables, the delivery and
+the final table are kept in versions: a new one is published once all gates are passed, until
+then the old one is read. Lines and rows that do not fit are stored as rejects, and fail the
+job unless ``--allow-rejects`` is given.
 With ``--free-totals`` each layer is compared with the one before instead of the totals
 of the original files.
 """
@@ -32,12 +34,11 @@ from lavra.plans import contract
 from lavra.session import build_session
 from lavra.sources import (
     JdbcTarget,
+    VersionedTable,
     file_manifest,
     jdbc_shape,
-    publish_staged,
+    publish_all,
     read_jdbc,
-    staged_path,
-    write_verified,
 )
 
 TRUSTED_FOLDERS = {
@@ -60,6 +61,7 @@ class Context:
     keys: Sequence[str] = ()
     years: Sequence[int] = ()
     jdbc_options: dict = field(default_factory=dict)
+    allow_rejects: bool = False
 
     @property
     def input(self) -> str:
@@ -70,18 +72,25 @@ class Context:
         return f"{self.base}/raw"
 
     @property
-    def delivery(self) -> str:
-        return f"{self.base}/delivery/reclamacoes_enriquecidas"
+    def rejected_lines(self) -> str:
+        return f"{self.base}/rejects/raw"
+
+    @property
+    def delivery(self) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.base}/delivery/reclamacoes_enriquecidas")
 
     @property
     def final(self) -> str:
         return f"{self.base}/delivery/tabela_final_reclamacoes"
 
-    def trusted_path(self, name: str) -> str:
-        return f"{self.base}/trusted/{TRUSTED_FOLDERS[name]}"
+    def trusted_table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.base}/trusted/{TRUSTED_FOLDERS[name]}")
 
     def trusted(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.trusted_path(name))
+        return self.trusted_table(name).read()
+
+    def rejects_table(self, name: str) -> VersionedTable:
+        return VersionedTable(self.spark, f"{self.base}/rejects/{TRUSTED_FOLDERS[name]}")
 
     def table(self, name: str) -> JdbcTarget:
         if self.jdbc is None:
@@ -123,7 +132,16 @@ def charsets(c: Context) -> None:
 
 
 def ingest(c: Context) -> None:
-    report = plans.ingest(c.spark, contract.SOURCES, c.input, c.raw)
+    report = plans.ingest(c.spark, contract.SOURCES, c.input, c.raw, rejects=c.rejected_lines)
+    if c.allow_rejects:
+        layout = F.col("check").endswith(": malformed lines")
+        report = report.withColumns(
+            {
+                "expected": F.when(~layout, F.col("expected")),
+                "ok": F.when(~layout, F.col("ok")),
+            }
+        )
+        c.show("malformed lines", plans.read_rejects(c.spark, contract.SOURCES, c.rejected_lines))
     c.pass_gates("rows stored per source", report)
 
 
@@ -143,16 +161,29 @@ def trusted(c: Context) -> None:
     def raw(spec):
         return c.spark.read.parquet(spec.raw_path(c.raw))
 
-    tables = {
-        "reclamacoes": plans.trusted_complaints(plans.read_complaint_slices(c.spark, c.raw)),
-        "enquadramento": plans.trusted_segments(raw(contract.SEGMENT_SOURCE)),
-        "glassdoor_match": plans.trusted_reviews(raw(contract.REVIEW_SOURCE)),
-        "glassdoor_match_less": plans.trusted_reviews(raw(contract.REVIEW_LESS_SOURCE), less=True),
+    parts = {
+        "reclamacoes": plans.quarantined_complaints(plans.read_complaint_slices(c.spark, c.raw)),
+        "glassdoor_match": plans.quarantined_reviews(raw(contract.REVIEW_SOURCE)),
+        "glassdoor_match_less": plans.quarantined_reviews(
+            raw(contract.REVIEW_LESS_SOURCE), less=True
+        ),
     }
+    tables = {name: part.good for name, part in parts.items()}
+    tables["enquadramento"] = plans.trusted_segments(raw(contract.SEGMENT_SOURCE))
     totals = plans.Totals().trusted_rows
-    reports = []
-    for name, table in tables.items():
-        result, report = write_verified(table, staged_path(c.trusted_path(name)), name)
+    reports, versions = [], []
+    for name, part in parts.items():
+        rows = part.rows + part.rejected_rows
+        allowed = None if c.allow_rejects else 0
+        reports.append(expect(part.good, part.gates(rows, name, allowed)))
+        if part.rejected_rows:
+            c.show(f"rejects of {name}", part.rejects)
+        # Rejects are published whatever the gates say: they are what is to be looked at.
+        c.rejects_table(name).replace(part.rejects, f"rejects of {name}")
+    for name, df in tables.items():
+        table = c.trusted_table(name)
+        version, result, report = table.write(df, name, content=True)
+        versions.append((table, version))
         reports.append(report)
         wanted = totals[name] if c.check_totals else result.rows
         gates = {f"rows of {name}": Gate(F.count(F.lit(1)), wanted)}
@@ -163,8 +194,7 @@ def trusted(c: Context) -> None:
                 del gates["years outside domain"]
         reports.append(expect(result.read(c.spark), gates))
     c.pass_gates("trusted layer", stack_reports(reports))
-    for name in tables:
-        publish_staged(c.spark, c.trusted_path(name))
+    publish_all(versions)
     nulls, distinct, per_segment = plans.segment_profile(c.trusted("enquadramento"))
     c.show_all({"nulls": nulls, "distinct values": distinct, "rows per segment": per_segment})
 
@@ -182,10 +212,11 @@ def deliver(c: Context) -> None:
     segments, reviews = measure_references(
         plans.canonical_segments(c.trusted("enquadramento")),
         plans.canonical_reviews(c.trusted("glassdoor_match")),
+        on=[plans.TAX_KEY, plans.NAME_KEY],
     )
     complaints = c.trusted("reclamacoes")
     delivery = plans.deliver(complaints, segments, reviews)
-    result, stored = write_verified(delivery, staged_path(c.delivery), "delivery")
+    version, result, stored = c.delivery.write(delivery, "delivery", content=True)
     totals = plans.Totals()
     methods = {
         contract.TAX_ID_METHOD: totals.by_tax_id,
@@ -198,16 +229,10 @@ def deliver(c: Context) -> None:
     )
     kept = expect(complaints, {"complaints kept": Gate(F.count(F.lit(1)), result.rows)})
     written = result.read(c.spark)
-    unique = [
-        plans.unique_keys(reference.table, key, f"one {label} per key")
-        for label, reference, key in (
-            ("segment", segments, plans.TAX_KEY),
-            ("review", reviews, plans.NAME_KEY),
-        )
-    ]
+    unique = [segments.key_gates("one segment per key"), reviews.key_gates("one review per key")]
     c.pass_gates("delivery", stack_reports([*unique, stored, kept, expect(written, gates)]))
-    publish_staged(c.spark, c.delivery)
-    c.show("rows per method", plans.delivery_metrics(c.spark.read.parquet(c.delivery)))
+    c.delivery.publish(version)
+    c.show("rows per method", plans.delivery_metrics(c.delivery.read()))
 
 
 def check_jdbc(c: Context) -> None:
@@ -215,7 +240,7 @@ def check_jdbc(c: Context) -> None:
 
 
 def publish(c: Context) -> None:
-    delivery = c.spark.read.parquet(c.delivery)
+    delivery = c.delivery.read()
     target = c.table(contract.DELIVERY_TABLE)
     report = plans.publish_table(delivery, delivery.count(), target, **c.jdbc_options)
     c.pass_gates("published delivery", report)
@@ -223,7 +248,7 @@ def publish(c: Context) -> None:
 
 
 def final(c: Context) -> None:
-    delivery = c.spark.read.parquet(c.delivery)
+    delivery = c.delivery.read()
     target = c.table(contract.FINAL_TABLE) if c.jdbc else None
     _, report = plans.materialize_final(delivery, c.final, target, **c.jdbc_options)
     c.pass_gates("final table", report)
@@ -233,7 +258,7 @@ def final(c: Context) -> None:
 
 def characters(c: Context) -> None:
     tables = {name: c.trusted(name) for name in TRUSTED_FOLDERS}
-    tables["delivery"] = c.spark.read.parquet(c.delivery)
+    tables["delivery"] = c.delivery.read()
     profile = plans.replacement_profile(tables)
     c.show_all(profile)
     # One row per text column of the schemas: their number does not grow with the data.
@@ -245,7 +270,7 @@ def characters(c: Context) -> None:
 
 def validate(c: Context) -> None:
     tables = {name: c.trusted(name) for name in TRUSTED_FOLDERS}
-    delivery = c.spark.read.parquet(c.delivery)
+    delivery = c.delivery.read()
     published = c.table(contract.DELIVERY_TABLE) if c.jdbc else None
     totals = plans.Totals()
     if not c.check_totals:
@@ -291,6 +316,7 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("step", choices=list(STEPS))
     parser.add_argument("--base", required=True, help="folder of the layers")
     parser.add_argument("--free-totals", action="store_true")
+    parser.add_argument("--allow-rejects", action="store_true")
     parser.add_argument("--show-rows", type=int, default=100)
     parser.add_argument("--keys", nargs="*", default=[], help="keys to show in 'strategy'")
     parser.add_argument("--years", nargs="*", type=int, default=[], help="years that may occur")
@@ -317,5 +343,6 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
         options.keys,
         options.years,
         {"connections": options.jdbc_connections, "truncate": options.jdbc_truncate},
+        options.allow_rejects,
     )
     STEPS[options.step](context)

@@ -13,6 +13,14 @@ from lavra.operators.canonical import (
     duplicate_rows,
     duplicate_summary,
 )
+from lavra.operators.checksum import (
+    content_gate,
+    content_gates,
+    content_sum,
+    portable_sum,
+    row_hash,
+    same_content,
+)
 from lavra.operators.join import (
     Reference,
     enrich_left,
@@ -47,6 +55,7 @@ from lavra.operators.quality import (
     metrics,
     stack_reports,
 )
+from lavra.operators.quarantine import Cell, Quarantine, cast_cell, quarantine, record_text, typed_cells
 from lavra.operators.shape import (
     available_columns,
     cast_columns,

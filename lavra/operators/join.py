@@ -5,8 +5,12 @@ bytes were measured (``measure_reference``) and are under a limit; otherwise the
 tables are shuffled. A shuffled join here also compares a hash of the key, which
 keeps Spark from reusing an earlier partitioning by the key. Each side then has
 its own shuffle directly below the join, and that is the shape in which adaptive
-execution splits an oversized partition: one key, or the rows without a key, may
-hold a large part of the table.
+execution splits an oversized partition: one key may hold a large part of the table.
+Rows without a key match nothing; in a left join they are dealt out by a hash of their other
+columns, so that they need no partition of their own, with or without adaptive execution.
+
+A measured reference also knows how many of its keys repeat, so that planning a join starts
+no job.
 """
 
 from __future__ import annotations
@@ -15,16 +19,18 @@ from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lavra.functions.text import named
 from lavra.session import scratch_path
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
 _HASH = "_key_hash"
+_NTH = "_nth_of_key"
 
 
 @dataclass(frozen=True)
@@ -35,15 +41,32 @@ class Reference:
     rows: int
     bytes: int
     path: str
+    keys: tuple[str, ...] = ()
+    with_key: int = 0
+    repeated: int = 0
 
     def require_unique(self, on: Sequence[str]) -> None:
-        """A key that the reference holds twice would multiply rows: an error."""
-        repeated = (
-            self.table.na.drop(subset=list(on)).groupBy(*on).count().filter("count > 1").limit(1)
-        )
-        if not repeated.isEmpty():
+        """A key that the reference holds twice would multiply rows: an error.
+
+        For the keys it was measured with this is known; for others they are counted.
+        """
+        if set(on) == set(self.keys):
+            unique = not self.repeated
+        else:
+            held = self.table.na.drop(subset=list(on)).groupBy(*on).count()
+            unique = held.filter("count > 1").limit(1).isEmpty()
+        if not unique:
             raise ValueError(f"the reference holds a key of {', '.join(on)} more than once")
 
+    def key_gates(self, label: str) -> DataFrame:
+        """Report: no key repeats, from what was counted while the reference was stored."""
+        if not self.keys:
+            raise ValueError("the reference was measured without its keys")
+        row = (label, self.repeated, 0, self.repeated == 0)
+        return self.table.sparkSession.createDataFrame(
+            [row], "check string, actual long, expected long, ok boolean"
+        )
+
     def fits_broadcast(
         self, max_bytes: int = BROADCAST_BYTES, max_rows: int = BROADCAST_ROWS
     ) -> bool:
@@ -70,34 +93,59 @@ def row_bytes(df: DataFrame) -> Column:
     return total.cast("long")
 
 
-def measure_reference(df: DataFrame, path: str | None = None) -> Reference:
+def measure_reference(
+    df: DataFrame, path: str | None = None, on: str | Sequence[str] = ()
+) -> Reference:
     """Store a reference table and measure it in the same job.
 
     The file size alone proves nothing (a repeated value compresses to almost
-    nothing), so the bytes are summed over the rows as they are written.
+    nothing), so the bytes are summed over the rows as they are written. With ``on`` the rows
+    that hold these keys, and those that repeat one, are counted on the way: a table that was
+    chosen by key is already dealt out by it, so that takes no shuffle of its own.
     """
     spark = df.sparkSession
+    keys = (on,) if isinstance(on, str) else tuple(on)
     path = path or scratch_path(spark, "reference")
     seen = Observation()
-    df.observe(
-        seen,
+    measures = [
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes"),
-    ).write.mode("overwrite").parquet(path)
+    ]
+    rows = df
+    if keys:
+        rows = df.withColumn(_NTH, F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)))
+        keyed = F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False)) == F.lit(False)
+        measures += [
+            F.count_if(keyed).alias("with_key"),
+            F.count_if(keyed & (F.col(_NTH) > 1)).alias("repeated"),
+        ]
+    rows = rows.observe(seen, *measures)
+    (rows.drop(_NTH) if keys else rows).write.mode("overwrite").parquet(path)
     size = seen.get
     table = spark.read.schema(df.schema).parquet(path)
-    return Reference(table, size["rows"], size["bytes"], path)
+    return Reference(
+        table,
+        size["rows"],
+        size["bytes"],
+        path,
+        keys,
+        size.get("with_key", 0),
+        size.get("repeated", 0),
+    )
 
 
 def measure_keys(df: DataFrame, on: Sequence[str]) -> Reference:
     """Store and measure the distinct keys of a table."""
-    return measure_reference(df.select(*on).distinct())
+    return measure_reference(df.select(*on).distinct(), on=on)
 
 
-def measure_references(*tables: DataFrame) -> list[Reference]:
-    """Store and measure several references at the same time."""
+def measure_references(
+    *tables: DataFrame, on: Sequence[str | Sequence[str]] | None = None
+) -> list[Reference]:
+    """Store and measure several references at the same time, each ``on`` its keys."""
+    keys = on or [()] * len(tables)
     with ThreadPoolExecutor(len(tables)) as pool:
-        return list(pool.map(measure_reference, tables))
+        return list(pool.map(lambda t, k: measure_reference(t, on=k), tables, keys))
 
 
 def split_by_null(df: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
@@ -113,10 +161,38 @@ def require_same_types(left: DataFrame, right: DataFrame, on: Sequence[str]) ->
             raise TypeError(f"key {key} is {here.simpleString()} and {there.simpleString()}")
 
 
+def without_key(on: Sequence[str]) -> Column:
+    """Whether a row lacks one of the keys, and so matches nothing."""
+    return F.greatest(*[named(key).isNull() for key in on], F.lit(False))
+
+
+def spread_hash(df: DataFrame, on: Sequence[str]) -> Column:
+    """A hash of the key, or of the whole row where it lacks a key.
+
+    It depends on the row alone, so a task that runs again deals it out the same way. Columns
+    without an order (maps) are left out.
+    """
+    others = [
+        named(f.name)
+        for f in df.schema.fields
+        if f.name not in on and not _holds_map(f.dataType)
+    ]
+    if not others:
+        return F.xxhash64(*[named(key) for key in on])
+    return F.when(without_key(on), F.xxhash64(*others)).otherwise(
+        F.xxhash64(*[named(key) for key in on])
+    )
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString() or kind.simpleString() == "variant"
+
+
 def _shuffled_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
     require_same_types(left, right, on)
     hashed = F.xxhash64(*on)
-    joined = left.withColumn(_HASH, hashed).join(
+    dealt = spread_hash(left, on) if how == "left" else hashed
+    joined = left.withColumn(_HASH, dealt).join(
         right.withColumn(_HASH, hashed), [_HASH, *on], how
     )
     return joined.drop(_HASH)

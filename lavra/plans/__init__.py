@@ -6,11 +6,13 @@ from lavra.plans.delivery import (
     canonical_reviews,
     canonical_segments,
     deliver,
+    deliver_by_branch,
+    deliver_in_one_shuffle,
     delivery_gates,
     delivery_metrics,
     unique_keys,
 )
-from lavra.plans.ingest import ingest, ingest_group, validate_raw
+from lavra.plans.ingest import ingest, ingest_group, read_rejects, validate_raw
 from lavra.plans.profiles import (
     index_profile,
     inspect_charsets,
@@ -25,6 +27,8 @@ from lavra.plans.profiles import (
 from lavra.plans.publish import jdbc_round_trip, materialize_final, publish_table
 from lavra.plans.trusted import (
     complaint_gates,
+    quarantined_complaints,
+    quarantined_reviews,
     read_complaint_slices,
     segment_profile,
     trusted_complaints,

@@ -20,6 +20,8 @@ from lavra.plans import contract
 
 TAX_KEY = "cnpj_chave"
 NAME_KEY = "nome_chave"
+_KIND = "_by_tax_id"
+_VALUE = "_key"
 
 # What each branch adds after its join, in column order.
 _OUTCOME = [
@@ -69,13 +71,74 @@ def deliver(
     """Join each complaint with its canonical reference row; no row is lost or added.
 
     With both references measured and small, the complaints are read once and both
-    lookups are made on the way. Otherwise rows with and without a tax id go
-    separate ways, so that each row is shuffled at most once, and are united.
+    lookups are made on the way. Otherwise both references are put into one, told apart by the
+    kind of key, so that the complaints are read once and shuffled once.
     """
     added = contract.REVIEW_ENRICHMENT if review_columns is None else review_columns
     measured = [r for r in (segments, reviews) if isinstance(r, Reference)]
     if len(measured) == 2 and all(reference.fits_broadcast() for reference in measured):
         return _single_pass(complaints, segments, reviews, added, tax_id, name)
+    return deliver_in_one_shuffle(complaints, segments, reviews, review_columns, tax_id, name)
+
+
+def deliver_in_one_shuffle(
+    complaints: DataFrame,
+    segments: DataFrame | Reference,
+    reviews: DataFrame | Reference,
+    review_columns: dict[str, str] | None = None,
+    tax_id: str = "cnpj_if",
+    name: str = "instituicao_financeira",
+) -> DataFrame:
+    """The delivery by one join on a tagged key: its kind and its value.
+
+    Each complaint looks up one key, its tax id or else its name, so one table of both
+    references serves all. A tax id of one kind never meets an equal name of the other.
+    Complaints whose tax id makes no key are spread, not gathered (see ``enrich_left``).
+    """
+    added = contract.REVIEW_ENRICHMENT if review_columns is None else review_columns
+    by_tax_id = F.col(tax_id).isNotNull()
+    keyed = complaints.withColumns(
+        {
+            TAX_KEY: F.when(by_tax_id, fixed_width_key(F.col(tax_id))),
+            NAME_KEY: F.when(~by_tax_id, strong_name_key(F.col(name))),
+        }
+    ).withColumns({_KIND: by_tax_id, _VALUE: F.coalesce(TAX_KEY, NAME_KEY)})
+
+    def tagged(reference, key: str, is_tax_id: bool, columns: dict[str, str]) -> DataFrame:
+        if isinstance(reference, Reference):
+            reference.require_unique([key])
+            reference = reference.table
+        values = [F.col(source).alias(target) for source, target in columns.items()]
+        return reference.filter(F.col(key).isNotNull()).select(
+            F.lit(is_tax_id).alias(_KIND), F.col(key).alias(_VALUE), *values
+        )
+
+    both = union_filled(
+        [
+            tagged(segments, TAX_KEY, True, contract.SEGMENT_ENRICHMENT),
+            tagged(reviews, NAME_KEY, False, added),
+        ]
+    )
+    columns = [*contract.SEGMENT_ENRICHMENT.values(), *added.values()]
+    joined = enrich_left(keyed, both, [_KIND, _VALUE], {c: c for c in columns})
+    return _with_outcome(joined, added, tax_id).select(
+        *_delivery_order(complaints, added)
+    )
+
+
+def deliver_by_branch(
+    complaints: DataFrame,
+    segments: DataFrame | Reference,
+    reviews: DataFrame | Reference,
+    review_columns: dict[str, str] | None = None,
+    tax_id: str = "cnpj_if",
+    name: str = "instituicao_financeira",
+) -> DataFrame:
+    """The delivery by two joins, united with null-fill: complaints with and without a tax id.
+
+    Reads the complaints twice; ``deliver`` does not take this way.
+    """
+    added = contract.REVIEW_ENRICHMENT if review_columns is None else review_columns
     return _two_branches(complaints, segments, reviews, added, tax_id, name)
 
 
@@ -93,6 +156,13 @@ def _single_pass(complaints, segments, reviews, added, tax_id, name) -> DataFram
         NAME_KEY,
         added,
     )
+    return _with_outcome(joined, added, tax_id).select(
+        *_delivery_order(complaints, added)
+    )
+
+
+def _with_outcome(joined: DataFrame, added: dict[str, str], tax_id: str) -> DataFrame:
+    by_tax_id = F.col(tax_id).isNotNull()
     outcome = {
         "encontrou_enquadramento": F.col("nome_enquadramento").isNotNull(),
         "encontrou_glassdoor": F.col(added["employer_name"]).isNotNull(),
@@ -107,14 +177,18 @@ def _single_pass(complaints, segments, reviews, added, tax_id, name) -> DataFram
             F.col(added["nome"])
         ),
     }
-    return joined.withColumns(outcome).select(
+    return joined.withColumns(outcome)
+
+
+def _delivery_order(complaints: DataFrame, added: dict[str, str]) -> list[str]:
+    return [
         TAX_KEY,
         *complaints.columns,
         *contract.SEGMENT_ENRICHMENT.values(),
         *_OUTCOME,
         NAME_KEY,
         *added.values(),
-    )
+    ]
 
 
 def _two_branches(complaints, segments, reviews, added, tax_id, name) -> DataFrame:

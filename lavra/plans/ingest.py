@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.operators.quality import Gate, blank_column, expect, stack_reports
-from lavra.sources.files import MALFORMED, SourceSpec, read_delimited, read_group
+from lavra.operators.quarantine import record_text
+from lavra.sources.files import MALFORMED, SourceSpec, read_checked, read_delimited, read_group
 from lavra.sources.sink import write_parquet, write_verified
 
+REJECT_SCHEMA = "source string, line string, column string, text string, reason string"
+
 
 def ingest(
     spark: SparkSession,
@@ -19,21 +22,65 @@ def ingest(
     input_base: str,
     raw_base: str,
     at_once: int = 8,
+    rejects: str | None = None,
 ) -> DataFrame:
     """Ingest every source; a report of rows written and rows stored, with the total.
 
     Up to ``at_once`` sources are submitted together, so that small ones do not
     leave a cluster waiting.
+
+    With ``rejects`` the layout is checked on the way: the report also says how many lines of
+    each source have too few or too many fields (none are expected), and those lines are
+    stored in that folder (see ``read_rejects``). The raw datasets hold them all the same,
+    filled or cut to the header's columns.
     """
 
-    def ingest_one(spec: SourceSpec) -> DataFrame:
-        table = read_delimited(spark, spec.input_path(input_base), spec.sep, spec.encoding)
-        return write_verified(table, spec.raw_path(raw_base), spec.file)[1]
+    def ingest_one(spec: SourceSpec) -> tuple[DataFrame, int]:
+        path = spec.input_path(input_base)
+        if rejects is None:
+            table = read_delimited(spark, path, spec.sep, spec.encoding)
+            return write_verified(table, spec.raw_path(raw_base), spec.file)[1], 0
+        table = read_checked(spark, path, spec.sep, spec.encoding)
+        seen = Observation()
+        checked = table.observe(
+            seen, F.count_if(F.col(MALFORMED).isNotNull()).alias("malformed")
+        ).drop(MALFORMED)
+        report = write_verified(checked, spec.raw_path(raw_base), spec.file)[1]
+        malformed = seen.get["malformed"]
+        # A second look at a source that has such lines; there should be none.
+        bad = malformed_lines(table, spec).limit(0) if not malformed else malformed_lines(table, spec)
+        write_parquet(bad, f"{rejects.rstrip('/')}/{spec.group}/{spec.target}")
+        return report, malformed
 
     refuse_repeated([spec.file for spec in specs])
     with ThreadPoolExecutor(at_once) as pool:
-        reports = list(pool.map(ingest_one, specs))
-    return with_total(stack_reports(reports))
+        results = list(pool.map(ingest_one, specs))
+    report = with_total(stack_reports([report for report, _ in results]))
+    if rejects is None:
+        return report
+    layout = [
+        (f"{spec.file}: malformed lines", n, 0, n == 0)
+        for spec, (_, n) in zip(specs, results, strict=True)
+    ]
+    return report.unionByName(spark.createDataFrame(layout, report.schema))
+
+
+def malformed_lines(table: DataFrame, spec: SourceSpec) -> DataFrame:
+    """Lines of the wrong number of fields as rejects; ``text`` is what was made of them."""
+    fields = [name for name in table.columns if name != MALFORMED]
+    return table.filter(F.col(MALFORMED).isNotNull()).select(
+        F.lit(spec.file).alias("source"),
+        F.col(MALFORMED).alias("line"),
+        F.lit(None).cast("string").alias("column"),
+        record_text(fields, spec.sep).alias("text"),
+        F.lit("layout").alias("reason"),
+    )
+
+
+def read_rejects(spark: SparkSession, specs: Sequence[SourceSpec], rejects: str) -> DataFrame:
+    """The malformed lines of all sources that ``ingest`` stored, in a single scan."""
+    paths = [f"{rejects.rstrip('/')}/{spec.group}/{spec.target}" for spec in specs]
+    return spark.read.schema(REJECT_SCHEMA).parquet(*paths)
 
 
 def ingest_group(

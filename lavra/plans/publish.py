@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from lavra.operators.quality import Gate, expect, stack_reports
 from lavra.operators.shape import schema_diff
 from lavra.sources.jdbc import JdbcTarget, count_jdbc, read_jdbc, write_jdbc
-from lavra.sources.sink import WriteResult, write_verified
-
+from lavra.sources.sink import WriteResult
+from lavra.sources.versions import VersionedTable
 
 PROBE_TEXT = "written and read back"
 
@@ -62,12 +62,31 @@ def materialize_final(
     delivery: DataFrame,
     path: str,
     target: JdbcTarget | None = None,
+    gates: dict[str, Gate] | None = None,
     **write_options,
 ) -> tuple[WriteResult, DataFrame]:
-    """Final table as Parquet, and from there as a relational table; with a report."""
-    result, report = write_verified(delivery, path, "final table")
+    """Final table as Parquet, and from there as a relational table; with a report.
+
+    The new version is written beside the old one and read back: rows, content, column names
+    and the ``gates`` given are checked before it is published (see ``VersionedTable``). If a
+    check fails, the old version stays current, the relational table is not touched and the
+    report says why. The relational table is replaced after that.
+    """
+    table = VersionedTable(delivery.sparkSession, path)
+    version, result, report = table.write(delivery, "final table", content=True)
     final = result.read(delivery.sparkSession)
     reports = [report, name_gates(delivery, final, "final table")]
+    if gates:
+        reports.append(expect(final, gates))
+    report = worked_out(stack_reports(reports))
+    if not report.filter(~F.col("ok")).isEmpty():
+        return result, report
+    table.publish(version)
     if target is not None:
-        reports.append(publish_table(final, result.rows, target, **write_options))
-    return result, stack_reports(reports)
+        report = report.unionByName(publish_table(final, result.rows, target, **write_options))
+    return result, report
+
+
+def worked_out(report: DataFrame) -> DataFrame:
+    """A report (one row per check) as plain rows, so that its checks run once."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

@@ -18,6 +18,14 @@ from lavra.functions.text import CONTROL_REPAIRS
 from lavra.operators.aggregate import distinct_counts, group_counts
 from lavra.operators.profile import null_profile
 from lavra.operators.quality import Gate, domain_breaches
+from lavra.operators.quarantine import (
+    Cell,
+    Quarantine,
+    cast_cell,
+    quarantine,
+    record_text,
+    typed_cells,
+)
 from lavra.operators.shape import (
     cast_columns,
     map_columns,
@@ -80,6 +88,38 @@ def trusted_complaints(slices: DataFrame) -> DataFrame:
     return slices.select(*[typed[n].alias(n) for n in [*order, contract.SOURCE_COLUMN]])
 
 
+def quarantined_complaints(slices: DataFrame, path: str | None = None) -> Quarantine:
+    """As ``trusted_complaints``, but rows with an unfit cell are set apart with the reason
+    and do not end the job."""
+
+    def clean(name: str) -> Column:
+        return clean_text(F.col(name), CONTROL_REPAIRS)
+
+    index = clean("indice")
+    cells: dict[str, Column | Cell] = {
+        "ano": cast_cell(clean("ano"), clean("ano").try_cast("int"), "no int"),
+        "trimestre": cast_cell(
+            clean("trimestre"), first_integer(clean("trimestre"), strict=False), "no integer in it"
+        ),
+        "cnpj_if": digits_only(clean("cnpj_if")),
+        "indice": cast_cell(index, parse_decimal(index, strict=False), "no decimal"),
+        **{name: clean(name) for name in ("categoria", "tipo", "instituicao_financeira")},
+        **{
+            name: cast_cell(clean(name), clean(name).try_cast("long"), "no long")
+            for name in contract.COMPLAINT_COUNTS
+        },
+        contract.SOURCE_COLUMN: F.col(contract.SOURCE_COLUMN),
+    }
+    order = [name for name in contract.COMPLAINT_COLUMNS if name != contract.TRAILING_COLUMN]
+    return quarantine(
+        slices,
+        {name: cells[name] for name in [*order, contract.SOURCE_COLUMN]},
+        F.col(contract.SOURCE_COLUMN),
+        record_text(contract.COMPLAINT_COLUMNS, ";"),
+        path,
+    )
+
+
 def complaint_gates(
     rows: int,
     sources: int,
@@ -111,11 +151,28 @@ def segment_profile(segments: DataFrame) -> tuple[DataFrame, DataFrame, DataFram
 
 def trusted_reviews(raw: DataFrame, less: bool = False) -> DataFrame:
     """Employer reviews; the ``less`` variant has a tax id in place of the segment."""
-    names = contract.REVIEW_LESS_COLUMNS if less else contract.REVIEW_COLUMNS
     spec = contract.REVIEW_LESS_SOURCE if less else contract.REVIEW_SOURCE
-    cleaned = map_columns(rename_by_position(raw, names), clean_text)
-    if less:
-        cleaned = map_columns(cleaned, digits_only, ["cnpj"])
     return with_source(
-        cast_columns(cleaned, contract.REVIEW_TYPES), contract.SOURCE_COLUMN, spec.file
+        cast_columns(_cleaned_reviews(raw, less), contract.REVIEW_TYPES),
+        contract.SOURCE_COLUMN,
+        spec.file,
+    )
+
+
+def _cleaned_reviews(raw: DataFrame, less: bool) -> DataFrame:
+    names = contract.REVIEW_LESS_COLUMNS if less else contract.REVIEW_COLUMNS
+    cleaned = map_columns(rename_by_position(raw, names), clean_text)
+    return map_columns(cleaned, digits_only, ["cnpj"]) if less else cleaned
+
+
+def quarantined_reviews(
+    raw: DataFrame, less: bool = False, path: str | None = None
+) -> Quarantine:
+    """As ``trusted_reviews``, with rows of unfit cells set apart."""
+    spec = contract.REVIEW_LESS_SOURCE if less else contract.REVIEW_SOURCE
+    cleaned = _cleaned_reviews(raw, less)
+    cells = typed_cells(cleaned, contract.REVIEW_TYPES)
+    cells[contract.SOURCE_COLUMN] = F.lit(spec.file)
+    return quarantine(
+        cleaned, cells, F.lit(spec.file), record_text(cleaned.columns, spec.sep), path
     )

@@ -32,6 +32,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Rows without a key fill all partitions alike, so a hot key stands out less.
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3.0")
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

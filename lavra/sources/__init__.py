@@ -6,6 +6,7 @@ from lavra.sources.files import (
     first_lines,
     line_counts,
     line_occurrences,
+    read_checked,
     read_delimited,
     read_group,
     read_lines,
@@ -23,5 +24,11 @@ from lavra.sources.sink import (
     write_parquet,
     write_verified,
 )
+from lavra.sources.versions import (
+    Publication,
+    PublishError,
+    VersionedTable,
+    publish_all,
+)
 
 __all__ = [name for name in dir() if not name.startswith("_")]

@@ -56,6 +56,15 @@ def read_delimited(
     )
 
 
+def read_checked(
+    spark: SparkSession, path: str, sep: str, encoding: str = "UTF-8"
+) -> DataFrame:
+    """As ``read_delimited``, with a column ``_malformed``: the text of lines that have too
+    few or too many fields, else NULL. Only the header is read to plan it."""
+    names = read_delimited(spark, path, sep, encoding).columns
+    return read_group(spark, [path], names, sep, encoding, keep_malformed=True)
+
+
 def read_group(
     spark: SparkSession,
     paths: Sequence[str],

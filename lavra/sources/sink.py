@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.functions.text import named
+from lavra.operators.checksum import content_gate, content_sum
 from lavra.operators.quality import Gate, expect
 
 
@@ -18,6 +20,7 @@ class WriteResult:
     path: str
     rows: int
     columns: int
+    checksum: int | None = None
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.parquet(self.path)
@@ -37,26 +40,44 @@ def write_parquet(
     writer.parquet(path)
 
 
-def counted_write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> WriteResult:
-    """Write and count in the same job, so the plan is not run a second time."""
+def counted_write(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), content: bool = False
+) -> WriteResult:
+    """Write and count in the same job, so the plan is not run a second time.
+
+    ``content`` also takes the checksum of what is written (see ``content_sum``).
+    """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_parquet(counted, path, partition_by)
-    return WriteResult(path, seen.get["rows"], len(df.columns))
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if content:
+        measures.append(content_sum(df).alias("checksum"))
+    write_parquet(df.observe(seen, *measures), path, partition_by)
+    row = seen.get
+    return WriteResult(path, row["rows"], len(df.columns), row.get("checksum"))
 
 
 def write_verified(
-    df: DataFrame, path: str, label: str, partition_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    label: str,
+    partition_by: Sequence[str] = (),
+    content: bool = False,
 ) -> tuple[WriteResult, DataFrame]:
     """Write, and a report that compares what is stored with what was written.
 
-    The stored rows are counted from Parquet footers.
+    The stored rows are counted from Parquet footers; with ``content`` they are read and
+    their checksum is compared with the one taken while writing, types included.
     """
-    result = counted_write(df, path, partition_by)
+    result = counted_write(df, path, partition_by, content)
     stored = result.read(df.sparkSession)
-    report = expect(stored, {f"{label}: rows stored": Gate(F.count(F.lit(1)), result.rows)})
-    return result, report
-
+    gates = {f"{label}: rows stored": Gate(F.count(F.lit(1)), result.rows)}
+    if content:
+        # Types of partition columns are guessed from folder names; take those written.
+        stored = stored.select(
+            *[named(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+        )
+        gates[f"{label}: content kept"] = content_gate(stored, result.checksum)
+    return result, expect(stored, gates)
 
 def staged_path(path: str) -> str:
     """Where a dataset is written and checked before it takes the place of ``path``."""
@@ -64,7 +85,11 @@ def staged_path(path: str) -> str:
 
 
 def publish_staged(spark: SparkSession, path: str) -> None:
-    """Put the staged dataset in the place of ``path``; the old one goes last."""
+    """Put the staged dataset in the place of ``path``; the old one goes last.
+
+    For plain folders that other tools read by their name: two renames, between which there is
+    no table, and which copy on an object store. ``VersionedTable`` has neither drawback.
+    """
     new_path = spark._jvm.org.apache.hadoop.fs.Path
     staged, target = new_path(staged_path(path)), new_path(path)
     old = new_path(f"{path.rstrip('/')}.replaced")
