@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from lavra.bindings import tables as t
 from lavra.bindings.registry import query
 from lavra.bindings.text import COMMA_DECIMAL, comma_decimal
+from lavra.functions.text import WINDOWS_1252_CHARACTERS, WINDOWS_1252_CONTROLS
 from lavra.operators import blank_column, expect, stack_reports
 from lavra.session import scratch_path
 from lavra.sources import (
     SourceSpec,
+    Reading,
     charset_probe,
     compare_manifests,
+    detect_charset,
     file_manifest,
     line_counts,
     line_occurrences,
@@ -21,6 +24,7 @@ from lavra.sources import (
     read_group,
     read_lines,
     structure_probe,
+    survey,
     write_delimited,
     write_verified,
 )
@@ -77,6 +81,85 @@ def charset_probe_like(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probe.withColumn("names", F.array_join("column_names", ",")).drop("column_names")
 
 
+@query(
+    "charset_detection",
+    f"""WITH c(charset, names, every, best) AS (VALUES
+            ('UTF-8', 'id,trimestre,CNPJ,institui' || repeat(chr(65533), 2) || 'o,'
+                      || chr(65533) || 'ndice,_c5', TRUE, FALSE),
+            ('ISO-8859-1', 'id,trimestre,CNPJ,instituição,índice,_c5', FALSE, FALSE),
+            ('windows-1252', 'id,trimestre,CNPJ,instituição,índice,_c5', FALSE, TRUE))
+        SELECT charset, n AS n_rows, 6 AS n_columns, names,
+               CASE WHEN every THEN n ELSE 0 END AS n_hits,
+               CAST(0 AS BIGINT) AS n_malformed, best
+        FROM c, (SELECT count(*) AS n FROM orders)""",
+)
+def charset_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = detect_charset(spark, latin_orders(spark, sf_dir), ";")
+    return found.withColumn("names", F.array_join("column_names", ",")).drop("column_names")
+
+
+@query(
+    "windows_1252_cells",
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS "código",
+               c_name || chr(list_extract([{", ".join(str(ord(c)) for c in WINDOWS_1252_CHARACTERS)}],
+                                          CAST(c_custkey % 27 AS INTEGER) + 1)) AS "razão – social"
+        FROM customer""",
+)
+def windows_1252_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every character of Windows-1252 that ISO-8859-1 lacks, written as its byte and read."""
+    path = scratch_path(spark, "windows")
+    at = (F.col("c_custkey") % len(WINDOWS_1252_CONTROLS)).cast("int") + 1
+    rows = t.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("código"),
+        F.concat("c_name", F.substr(F.lit(WINDOWS_1252_CONTROLS), at, F.lit(1))).alias(
+            "razão \u0096 social"
+        ),
+    )
+    write_delimited(rows, path, ";", LATIN)
+    return read_delimited(spark, path, ";", "windows-1252")
+
+
+@query(
+    "source_survey",
+    """SELECT 'year ' || coalesce(CAST(year(o_orderdate) AS VARCHAR), 'undated') AS source,
+              CASE WHEN year(o_orderdate) % 2 = 0 THEN 'ISO-8859-1' ELSE 'windows-1252' END
+                  AS charset,
+              count(*) AS n_rows, 3 AS n_columns, 'pedido,situação,valor' AS names,
+              CAST(0 AS BIGINT) AS n_hits,
+              count(*) FILTER (o_orderkey % 61 = 0) AS n_malformed,
+              coalesce(year(o_orderdate) % 2 = 0, FALSE) AS best
+       FROM orders GROUP BY year(o_orderdate)""",
+)
+def source_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder per year of the orders, with a separator and a charset of its own, in one scan."""
+    base = scratch_path(spark, "surveyed")
+    year, odd = F.year("o_orderdate"), F.year("o_orderdate") % 2 == 1
+    orders = t.table(spark, sf_dir, "orders").withColumn(
+        "folder", F.coalesce(year.cast("string"), F.lit("undated"))
+    )
+    for sep, chosen in ((";", odd | odd.isNull()), ("|", ~odd)):
+        line = F.concat_ws(
+            sep,
+            F.col("o_orderkey").cast("string"),
+            F.concat(F.lit('"ação'), F.lit(sep), F.lit('feita"')),
+            F.when(F.col("o_orderkey") % 61 != 0, F.col("o_custkey").cast("string")),
+        )
+        rows = orders.filter(chosen).select(line.alias(sep.join(["pedido", "situação", "valor"])), "folder")
+        writer = rows.write.option("header", True).option("sep", "\t").option("quote", "")
+        writer.option("encoding", LATIN).partitionBy("folder").csv(f"{base}/{ord(sep)}")
+    years = [row[0] for row in orders.select("folder").distinct().collect()]
+    readings = [
+        Reading(f"year {y}", f"{base}/124/folder={y}", "|", LATIN)
+        if y.isdigit() and int(y) % 2 == 0
+        else Reading(f"year {y}", f"{base}/59/folder={y}", ";", "windows-1252")
+        for y in years
+    ]
+    found = survey(spark, readings)
+    return found.withColumn("names", F.array_join("column_names", ",")).drop(
+        "column_names", "n_files", "n_lines"
+    )
+
+
 @query(
     "structure_probe",
     """SELECT 'latin' AS source, count(*) AS n_rows, 6 AS n_columns,

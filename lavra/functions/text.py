@@ -16,6 +16,14 @@ UNACCENTED = "AAAAAEEEEIIIIOOOOOUUUUC"
 # Windows bytes are read as ISO-8859-1.
 CONTROL_REPAIRS = {"\u0096": "–"}
 
+# The C1 characters that stand for Windows-1252 bytes, and what these mean; it leaves five
+# of the 32 undefined.
+WINDOWS_1252_BYTES = [
+    b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "replace") != "\ufffd"
+]
+WINDOWS_1252_CONTROLS = "".join(map(chr, WINDOWS_1252_BYTES))
+WINDOWS_1252_CHARACTERS = bytes(WINDOWS_1252_BYTES).decode("cp1252")
+
 # Fixed value: what decoders write in place of bytes they cannot decode.
 REPLACEMENT_CHARACTER = "�"
 
@@ -37,6 +45,18 @@ def clean_text(column: Column, repairs: Mapping[str, str] | None = None) -> Colu
     return blank_to_null(F.trim(column))
 
 
+def windows_1252(column: Column) -> Column:
+    """Text of Windows-1252 that was read as ISO-8859-1, with the 27 characters put right.
+
+    The five bytes that it does not define stay control characters. Text of ASCII only is
+    passed by.
+    """
+    return F.when(
+        F.octet_length(column) > F.length(column),
+        F.translate(column, WINDOWS_1252_CONTROLS, WINDOWS_1252_CHARACTERS),
+    ).otherwise(column)
+
+
 def digits_only(column: Column) -> Column:
     """The ASCII digits of an identifier as text, NULL when it has none."""
     return blank_to_null(F.regexp_replace(column, "[^0-9]+", ""))

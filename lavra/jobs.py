@@ -14,7 +14,7 @@ of the original files.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,7 +101,7 @@ class Context:
         print(f"\n{title}")
         df.show(self.show_rows, truncate=False)
 
-    def show_all(self, reports: dict[str, DataFrame]) -> None:
+    def show_all(self, reports: Mapping[str, DataFrame]) -> None:
         for title, df in reports.items():
             self.show(title, df)
 
@@ -125,7 +125,7 @@ def structure(c: Context) -> None:
 
 
 def charsets(c: Context) -> None:
-    charsets = ["UTF-8", "ISO-8859-1"]
+    charsets = ["UTF-8", "ISO-8859-1", "windows-1252"]
     first, segments = contract.COMPLAINT_SOURCES[0], contract.SEGMENT_SOURCE
     c.show_all(plans.inspect_charsets(c.spark, first, c.input, charsets))
     c.show_all(plans.inspect_charsets(c.spark, segments, c.input, charsets, "CNPJ", c.keys))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from lavra.operators.canonical import (
     duplicate_summary,
 )
 from lavra.operators.join import (
+    Reference,
     enrich_left,
     flag_matches,
     matched_keys,
@@ -47,6 +49,7 @@ from lavra.plans.delivery import NAME_KEY, TAX_KEY, canonical_segments
 from lavra.sources.files import (
     SourceSpec,
     charset_probe,
+    detect_charset,
     first_lines,
     line_counts,
     read_delimited,
@@ -54,7 +57,27 @@ from lavra.sources.files import (
     structure_probe,
 )
 
-Report = dict[str, DataFrame]
+
+class Report(Mapping[str, DataFrame]):
+    """Named tables; each is made when it is asked for, so that one costs nothing for another."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, title: str) -> DataFrame:
+        if title not in self._made:
+            self._made[title] = self._makers[title]()
+        return self._made[title]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
+Tables = Mapping[str, DataFrame]
 
 # Columns shown with a value that holds a replacement character.
 CONTEXT_COLUMNS = [
@@ -71,7 +94,7 @@ CONTEXT_COLUMNS = [
 
 def inspect_lines(
     spark: SparkSession, specs: Sequence[SourceSpec], input_base: str, rows: int = 3
-) -> Report:
+) -> Tables:
     """Lines per file (all files in one scan), and the first ones of each."""
     paths = [spec.input_path(input_base) for spec in specs]
     return {
@@ -85,17 +108,18 @@ def inspect_lines(
 
 def inspect_structure(
     spark: SparkSession, specs: Sequence[SourceSpec], input_base: str
-) -> Report:
+) -> Tables:
     """Rows, columns and names of each source as it is ingested, and its first row."""
-    return {
-        "sources as read": structure_probe(spark, specs, input_base),
-        **{
-            f"first row of {spec.file}": preview(
-                read_delimited(spark, spec.input_path(input_base), spec.sep, spec.encoding), 1
-            )
-            for spec in specs
-        },
-    }
+    def first_row(spec: SourceSpec) -> DataFrame:
+        path = spec.input_path(input_base)
+        return preview(read_delimited(spark, path, spec.sep, spec.encoding), 1)
+
+    return Report(
+        {
+            "sources as read": lambda: structure_probe(spark, specs, input_base),
+            **{f"first row of {spec.file}": partial(first_row, spec) for spec in specs},
+        }
+    )
 
 
 def inspect_charsets(
@@ -105,21 +129,26 @@ def inspect_charsets(
     charsets: Sequence[str],
     column: str | None = None,
     values: Sequence[str] = (),
-) -> Report:
+) -> Tables:
     """A source under several charsets: its shape, and its first row or chosen rows."""
     path = spec.input_path(input_base)
-    report = {"charsets compared": charset_probe(spark, path, spec.sep, charsets)}
-    for charset in charsets:
+
+    def shown(charset: str) -> DataFrame:
         table = read_delimited(spark, path, spec.sep, charset)
         if column and values:
-            shown = table.filter(F.col(column).isin(list(values))).orderBy(*table.columns)
-        else:
-            shown = preview(table, 1)
-        report[f"rows under {charset}"] = shown
-    return report
+            return table.filter(F.col(column).isin(list(values))).orderBy(*table.columns)
+        return preview(table, 1)
+
+    return Report(
+        {
+            "charsets compared": lambda: charset_probe(spark, path, spec.sep, charsets),
+            "charset that fits": lambda: detect_charset(spark, path, spec.sep).filter("best"),
+            **{f"rows under {charset}": partial(shown, charset) for charset in charsets},
+        }
+    )
 
 
-def index_profile(slices: DataFrame, column: str = "indice") -> Report:
+def index_profile(slices: DataFrame, column: str = "indice") -> Tables:
     """How decimals are written, and whether normalising leaves invalid ones."""
     context = [c for c in ("instituicao_financeira", contract.SOURCE_COLUMN) if c in slices.columns]
     every = [*NUMBER_FORMATS, OTHER_FORMAT]
@@ -141,7 +170,7 @@ def _usable(df: DataFrame, column: str) -> DataFrame:
 
 def join_keys_profile(
     complaints: DataFrame, segments: DataFrame, reviews: DataFrame, less: DataFrame
-) -> Report:
+) -> Tables:
     """Whether identifiers and names can serve as keys between the tables."""
     ids = {"complaints": (complaints, "cnpj_if"), "segments": (segments, "cnpj"), "less": (less, "cnpj")}
     lengths = [
@@ -182,7 +211,7 @@ def join_keys_profile(
     }
 
 
-def join_trial(fact: DataFrame, reference: DataFrame, key: str, attribute: str) -> Report:
+def join_trial(fact: DataFrame, reference: DataFrame, key: str, attribute: str) -> Tables:
     """What a left join would do: rows before and after, rows with the attribute found."""
     joined = enrich_left(fact, reference, key, {attribute: "_attribute"})
     found = F.col("_attribute").isNotNull()
@@ -199,7 +228,7 @@ def strategy_profile(
     segments: DataFrame,
     reviews: DataFrame,
     sample_keys: Sequence[str] = (),
-) -> Report:
+) -> Tables:
     """How far each way of enriching would reach."""
     with_id, without_id = split_by_null(complaints, "cnpj_if")
     chosen = canonical_segments(segments)
@@ -208,43 +237,58 @@ def strategy_profile(
     named = without_id.withColumn(NAME_KEY, strong_name_key(F.col("instituicao_financeira")))
     reviewed = reviews.withColumn(NAME_KEY, strong_name_key(F.col("nome")))
     shown = [NAME_KEY, "employer_name", "segmento", "nome", "match_percent"]
-    repeated = duplicate_rows(reviewed.select(*shown), [NAME_KEY])
-    known = measure_keys(reviewed, [NAME_KEY])
     availability = {
         "with tax id": F.count("cnpj_if"),
         "without tax id": F.count_if(F.col("cnpj_if").isNull()),
     }
-    report = {
-        "tax id availability": metrics(complaints, availability),
-        "types without tax id": group_counts(
+
+    @cache
+    def known() -> Reference:
+        return measure_keys(reviewed, [NAME_KEY])
+
+    def repeated() -> DataFrame:
+        return duplicate_rows(reviewed.select(*shown), [NAME_KEY]).orderBy(
+            F.asc(NAME_KEY), F.desc("match_percent"), F.asc("employer_name")
+        )
+
+    def rows_found() -> DataFrame:
+        hits = flag_matches(named.select(NAME_KEY), known(), NAME_KEY, "hit")
+        return row_coverage(hits, ["hit"])
+
+    def picked() -> DataFrame:
+        wanted = chosen.filter(F.col(TAX_KEY).isin(list(sample_keys)))
+        return wanted.select(TAX_KEY, "segmento", "nome").orderBy(TAX_KEY)
+
+    makers = {
+        "tax id availability": lambda: metrics(complaints, availability),
+        "types without tax id": lambda: group_counts(
             without_id, ["tipo"], [F.desc("n_rows"), F.asc("tipo")]
         ),
-        "canonical segments": canonical_check(_usable(segments, "cnpj"), chosen, [TAX_KEY]),
-        "tax id join": trial["outcome"],
-        "tax id join, rows kept": trial["rows kept"],
-        "name keys": named.select("instituicao_financeira", NAME_KEY).distinct().orderBy(
-            NAME_KEY, "instituicao_financeira"
+        "canonical segments": lambda: canonical_check(
+            _usable(segments, "cnpj"), chosen, [TAX_KEY]
         ),
-        "repeated review names": duplicate_summary(reviewed, [NAME_KEY]),
-        "rows of repeated review names": repeated.orderBy(
-            F.asc(NAME_KEY), F.desc("match_percent"), F.asc("employer_name")
-        ),
-        "names in reviews": key_coverage(named, known.table, [NAME_KEY]),
-        "rows in reviews": row_coverage(
-            flag_matches(named.select(NAME_KEY), known, NAME_KEY, "hit"), ["hit"]
+        "tax id join": lambda: trial["outcome"],
+        "tax id join, rows kept": lambda: trial["rows kept"],
+        "name keys": lambda: named.select("instituicao_financeira", NAME_KEY)
+        .distinct()
+        .orderBy(NAME_KEY, "instituicao_financeira"),
+        "repeated review names": lambda: duplicate_summary(reviewed, [NAME_KEY]),
+        "rows of repeated review names": repeated,
+        "names in reviews": lambda: key_coverage(named, known().table, [NAME_KEY]),
+        "rows in reviews": rows_found,
+        "names found": lambda: matched_keys(named, known().table, [NAME_KEY]).orderBy(NAME_KEY),
+        "names not found": lambda: unmatched_keys(named, known().table, [NAME_KEY]).orderBy(
+            NAME_KEY
         ),
-        "names found": matched_keys(named, known.table, [NAME_KEY]).orderBy(NAME_KEY),
-        "names not found": unmatched_keys(named, known.table, [NAME_KEY]).orderBy(NAME_KEY),
     }
     if sample_keys:
-        picked = chosen.filter(F.col(TAX_KEY).isin(list(sample_keys)))
-        report["segments chosen"] = picked.select(TAX_KEY, "segmento", "nome").orderBy(TAX_KEY)
-    return report
+        makers["segments chosen"] = picked
+    return Report(makers)
 
 
 def replacement_profile(
     datasets: Mapping[str, DataFrame], text: str = REPLACEMENT_CHARACTER
-) -> Report:
+) -> Tables:
     """Rows per text column that hold a replacement character, in all and per dataset.
 
     Each dataset is scanned once for the counts. ``replacement_rows`` lists the

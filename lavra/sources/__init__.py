@@ -3,6 +3,7 @@
 from lavra.sources.files import (
     SourceSpec,
     charset_probe,
+    detect_charset,
     first_lines,
     line_counts,
     line_occurrences,
@@ -24,6 +25,7 @@ from lavra.sources.sink import (
     write_parquet,
     write_verified,
 )
+from lavra.sources.survey import CHARSETS, Reading, best_charset, survey
 from lavra.sources.versions import (
     Publication,
     PublishError,

@@ -9,9 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions.files import file_name
-from lavra.functions.text import REPLACEMENT_CHARACTER, count_occurrences
-from lavra.operators.profile import source_profile
-from lavra.operators.shape import union_strict
+from lavra.functions.text import (
+    WINDOWS_1252_CHARACTERS,
+    WINDOWS_1252_CONTROLS,
+    count_occurrences,
+    named,
+    windows_1252,
+)
+from lavra.sources.survey import CHARSETS, LATIN_1, Reading, survey
 
 MALFORMED = "_malformed"
 
@@ -44,16 +49,35 @@ def read_delimited(
     """Every column as text under the name in the header; nothing is inferred.
 
     Short lines are filled with NULL and surplus fields are dropped. The charset
-    must be one Spark accepts; Windows-1252 needs ``spark.sql.legacy.javaCharsets``.
+    must be one Spark accepts, or Windows-1252, which is read as ISO-8859-1 and put right.
     """
-    return (
+    table = (
         spark.read.option("header", header)
         .option("sep", sep)
-        .option("encoding", encoding)
+        .option("encoding", _spark_charset(encoding))
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
         .csv(paths)
     )
+    return _put_right(table, encoding)
+
+
+def _spark_charset(encoding: str) -> str:
+    return LATIN_1 if _is_windows(encoding) else encoding
+
+
+def _is_windows(encoding: str) -> bool:
+    return encoding.upper().replace("_", "-") in ("WINDOWS-1252", "CP1252")
+
+
+def _put_right(table: DataFrame, encoding: str) -> DataFrame:
+    """Cells and names of a table of Windows-1252 that was read as ISO-8859-1."""
+    if not _is_windows(encoding):
+        return table
+    repair = str.maketrans(WINDOWS_1252_CONTROLS, WINDOWS_1252_CHARACTERS)
+    return table.select(
+        *[windows_1252(named(n)).alias(n.translate(repair)) for n in table.columns]
+    )
 
 
 def read_checked(
@@ -87,16 +111,18 @@ def read_group(
         spark.read.schema(", ".join(f"`{name}` string" for name in fields))
         .option("header", True)
         .option("sep", sep)
-        .option("encoding", encoding)
+        .option("encoding", _spark_charset(encoding))
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", True)
     )
     if keep_malformed:
         reader = reader.option("columnNameOfCorruptRecord", MALFORMED)
     df = reader.csv(list(paths))
-    if source_column:
-        df = df.withColumn(source_column, file_name() if source is None else source)
-    return df
+    located = [(file_name() if source is None else source).alias(source_column)] if source_column else []
+    cells = [named(name) for name in fields]
+    if _is_windows(encoding):
+        cells = [windows_1252(cell).alias(name) for cell, name in zip(cells, fields, strict=True)]
+    return df.select(*cells, *located)
 
 
 def write_delimited(
@@ -132,7 +158,9 @@ def read_lines(
     value = F.col("value")
     if encoding.upper() not in ("UTF-8", "UTF8"):
         # The text reader keeps the bytes of a line as they are in the file.
-        value = F.decode(value.cast("binary"), encoding)
+        value = F.decode(value.cast("binary"), _spark_charset(encoding))
+    if _is_windows(encoding):
+        value = windows_1252(value)
     return spark.read.text(paths).select(
         file_name().alias("file"), value.alias("value")
     )
@@ -156,29 +184,33 @@ def first_lines(spark: SparkSession, path: str, rows: int = 3) -> DataFrame:
     return read_lines(spark, path).limit(rows)
 
 
+PROBED = ["source", "n_rows", "n_columns", "column_names", "n_hits"]
+
+
 def structure_probe(
     spark: SparkSession, specs: Sequence[SourceSpec], input_base: str
 ) -> DataFrame:
-    """One row per source as it would be ingested: rows, columns, names, U+FFFD rows."""
-    return union_strict(
-        [
-            source_profile(
-                read_delimited(spark, spec.input_path(input_base), spec.sep, spec.encoding),
-                spec.file,
-                REPLACEMENT_CHARACTER,
-            )
-            for spec in specs
-        ]
-    )
+    """One row per source as it would be ingested: rows, columns, names, U+FFFD rows.
+
+    All sources are read in one scan (see ``survey``)."""
+    readings = [
+        Reading(spec.file, spec.input_path(input_base), spec.sep, spec.encoding) for spec in specs
+    ]
+    return survey(spark, readings).select(*PROBED)
 
 
 def charset_probe(
     spark: SparkSession, path: str, sep: str, charsets: Sequence[str]
 ) -> DataFrame:
-    """The same input under several charsets, one row each, to compare."""
-    return union_strict(
-        [
-            source_profile(read_delimited(spark, path, sep, charset), charset, REPLACEMENT_CHARACTER)
-            for charset in charsets
-        ]
+    """The same input under several charsets, one row each, to compare; read once."""
+    found = detect_charset(spark, path, sep, charsets)
+    return found.select(F.col("charset").alias("source"), *PROBED[1:])
+
+
+def detect_charset(
+    spark: SparkSession, path: str, sep: str, charsets: Sequence[str] = CHARSETS
+) -> DataFrame:
+    """As ``charset_probe``, with the column ``best``: which charset the bytes speak for."""
+    return survey(spark, [Reading(path, path, sep, charset) for charset in charsets]).select(
+        "charset", *PROBED[1:], "n_malformed", "best"
     )

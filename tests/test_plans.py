@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lavra import operators as op
 from lavra import plans
 from lavra.plans import contract
-from lavra.plans import publish
+from lavra.plans import profiles, publish
 from lavra.sources import JdbcTarget
 
 
@@ -446,3 +446,26 @@ def test_publishing_compares_rows_and_column_names(spark, monkeypatch):
             ("t: columns extra", 1, 0, False),
         ]
     )
+
+
+def test_reports_are_made_when_asked_for(spark, layers, monkeypatch):
+    made = []
+    real = profiles.measure_keys
+    monkeypatch.setattr(profiles, "measure_keys", lambda *a: made.append(a) or real(*a))
+    report = plans.strategy_profile(
+        layers["reclamacoes"], layers["enquadramento"], layers["glassdoor_match"]
+    )
+    assert len(report) == 12 and "names found" in report
+    report["rows of repeated review names"].collect()
+    assert not made
+    assert report["names found"] is report["names found"]
+    report["names not found"].collect()
+    assert len(made) == 1  # the keys are measured once for all tables that need them
+    with pytest.raises(KeyError):
+        report["unknown"]
+
+
+def test_the_fitting_charset_is_named(spark, layers):
+    folder = str(layers["base"] / "input")
+    report = plans.inspect_charsets(spark, contract.COMPLAINT_SOURCES[0], folder, ["UTF-8"])
+    assert report["charset that fits"].first()["charset"] in ("ISO-8859-1", "windows-1252")
