@@ -70,6 +70,9 @@ class Report(Mapping[str, DataFrame]):
             self._made[title] = self._makers[title]()
         return self._made[title]
 
+    def __contains__(self, title: object) -> bool:
+        return title in self._makers
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
 
