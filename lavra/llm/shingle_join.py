@@ -2,17 +2,16 @@
 
 A text's set holds the 64-bit hashes of its distinct shingles. Texts with equal sets are
 one class. Every class sends the rarest shingles of its set, as many as two sets of
-sufficient similarity cannot all miss, to a table of postings; classes that share one are
-joined to candidate components (stars to the smallest class of each shingle, so a group
-of any size costs as many rows as it has members). Inside a candidate component, sets are
+sufficient similarity cannot all miss, to a table of postings; classes that share one and
+are of like size are joined to candidate components (stars to the smallest class of each
+shingle and step of sizes, so a group of any size costs as many rows as it has members). Inside a candidate component, sets are
 searched for by T-occurrence: of a set's inverted lists the long ones are put aside, the
 short ones are merged, and a class in enough of them is looked up in the long lists by
 binary search (DivideSkip). Classes already joined are not looked up again, as only
 components are asked for.
 
 The order of rarity only decides how many candidates there are, not the result. It comes
-from counts over all texts: of common words, and of shingles that repeat within a batch
-of rows, both kept in tables of bounded size.
+from counts over all texts: in how many of them shingles of each range of hashes occur.
 
 Components of more than ``BLOCK_CLASSES`` classes or ``BLOCK_SHINGLES`` shingles are cut
 into blocks. A few pivots are searched for in every block; the classes linked to the best
@@ -28,6 +27,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,8 +41,8 @@ from lavra.llm.common import map_batches, release, ship, stored, stored_twice
 from lavra.llm.components import components, hot_join
 
 SHINGLE_WORDS = 4
-COMMON_WORDS = 4096
-COMMON_SHINGLES = 200_000
+#: Ranges of hashes in which texts are counted, and how they are sent.
+RANGES_PER_TEXT, LEAST_BITS, MOST_BITS, CHUNK_BITS = 32, 16, 25, 16
 BLOCK_CLASSES = 1 << 14
 BLOCK_SHINGLES = 6_000_000
 PIVOTS = 4
@@ -81,95 +81,81 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def shingle_statistics(frame: DataFrame, text: str, width: int) -> DataFrame:
-    """(kind, key, n): words (0) and shingles (1) that repeat within a batch; all words (2)."""
+def shingle_counts(frame: DataFrame, text: str, width: int, bits: int) -> np.ndarray:
+    """How many texts hold a shingle of each of 2^bits ranges of hashes, as four times the
+    binary logarithm.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: tuple[dict[int, int], dict[int, int]] = ({}, {})
-        total = 0
+    Tasks count in an array and send it in compressed chunks; the chunks of one range are
+    added up one after another. The driver gets a byte per range.
+    """
+    spark, chunk = frame.sparkSession, 1 << min(bits, CHUNK_BITS)
 
-        def rows() -> pa.RecordBatch:
-            kinds = [k for k in (0, 1) for _ in counts[k]]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(kinds, pa.int32()),
-                    pa.array([key for c in counts for key in c], pa.int64()),
-                    pa.array([n for c in counts for n in c.values()], pa.int64()),
-                ],
-                names=["kind", "key", "n"],
-            )
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, texts = np.zeros(1 << bits, np.uint16), 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(table), chunk):
+                if table[i : i + chunk].any():
+                    packed = zlib.compress(table[i : i + chunk].tobytes(), 1)
+                    yield _chunk_row(i // chunk, packed)
 
         for part in batches:
-            texts = [word_hashes(t) for t in part.column(0).to_pylist() if t]
-            if not texts:
-                continue
-            total += sum(map(len, texts))
-            sets = [np.unique(shingles(w, width)) for w in texts]
-            for k, (values, least) in enumerate(((texts, 16), (sets, 2))):
-                keys, n = np.unique(np.concatenate(values), return_counts=True)
-                often = n >= least
-                for key, more in zip(_signed(keys[often]).tolist(), n[often].tolist(), strict=True):
-                    counts[k][key] = counts[k].get(key, 0) + more
-            if len(counts[0]) + len(counts[1]) > 500_000:
-                yield rows()
-                counts[0].clear()
-                counts[1].clear()
-        yield rows()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([2], pa.int32()), pa.array([0], pa.int64()), pa.array([total], pa.int64())],
-            names=["kind", "key", "n"],
-        )
-
-    return (
-        map_batches(frame.select(text), run, "kind int, key long, n long")
-        .groupBy("kind", "key")
-        .agg(F.sum("n").alias("n"))
-    )
+            for value in part.column(0):
+                found = np.unique(shingles(word_hashes(value.as_py() or ""), width))
+                np.add.at(table, _range_of(found, bits), np.uint16(1))
+                texts += 1
+                if texts == 60_000:  # before 16 bits end
+                    yield from rows()
+                    table[:] = 0
+                    texts = 0
+        yield from rows()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[int, np.ndarray] = {}
+        for part in batches:
+            for i, packed in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                counts = np.frombuffer(zlib.decompress(packed.as_py()), np.uint16)
+                totals[i] = totals.get(i, 0) + counts.astype(np.int64)
+        for i, total in totals.items():
+            level = np.minimum(np.round(4 * np.log2(total + 1)), 255).astype(np.uint8)
+            yield _chunk_row(i, level.tobytes())
+
+    counted = map_batches(frame.select(text), count, "chunk int, counts binary")
+    tasks = min((1 << bits) // chunk, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    levels = np.zeros(1 << bits, np.uint8)
+    for row in map_batches(counted.repartition(tasks, "chunk"), add, "chunk int, counts binary").collect():
+        levels[row["chunk"] * chunk : (row["chunk"] + 1) * chunk] = np.frombuffer(row["counts"], np.uint8)
+    return levels
+
+
+def _chunk_row(number: int, values: bytes) -> pa.RecordBatch:
+    columns = [pa.array([number], pa.int32()), pa.array([values], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["chunk", "counts"])
+
+
+def _range_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
 class Rarity:
-    """An order of shingles, rare ones first; the same everywhere."""
+    """An order of shingles, those of few texts first; the same everywhere."""
 
-    def __init__(self, words: pd.DataFrame, common: pd.DataFrame, total: int, width: int):
-        self.width = width
-        words, common = words.sort_values("key"), common.sort_values("key")
-        self.words = words["key"].to_numpy(np.int64)
-        bits = -np.log2(words["n"].to_numpy(float) / max(total, 1))
-        self.bits = np.minimum(bits, 20).astype(np.float32)
-        self.common = common["key"].to_numpy(np.int64)
-        self.level = np.log2(np.maximum(common["n"].to_numpy(float), 1)).astype(np.int8)
+    def __init__(self, levels: np.ndarray, width: int):
+        self.levels, self.width = levels, width
+        self.bits = len(levels).bit_length() - 1
 
     @classmethod
     def of(cls, frame: DataFrame, text: str, width: int) -> Rarity:
-        counts = stored(shingle_statistics(frame, text, width), "shingle-statistics")
-
-        def top(kind: int, most: int) -> pd.DataFrame:
-            rows = counts.filter(F.col("kind") == kind).orderBy(F.desc("n"), "key")
-            return rows.select("key", "n").limit(most).toPandas()
-
-        total = counts.filter("kind = 2").agg(F.sum("n")).first()[0] or 0
-        return cls(top(0, COMMON_WORDS), top(1, COMMON_SHINGLES), total, width)
+        """Counted over all texts, in more ranges the more texts there are."""
+        bits = min(max((frame.count() * RANGES_PER_TEXT).bit_length(), LEAST_BITS), MOST_BITS)
+        return cls(shingle_counts(frame, text, width, bits), width)
 
     def prefix(self, words: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
         """The sorted set of a text's shingles, and the rarest of them that it sends."""
-        values = shingles(words, self.width)
-        keys, first = np.unique(values, return_index=True)
-        n = len(keys)
-        share = -(-least[0] * n // least[1])  # the least overlap with any partner
-        bits = np.full(len(words), 20, np.float32)
-        if len(self.words):
-            at = np.minimum(np.searchsorted(self.words, _signed(words)), len(self.words) - 1)
-            known = self.words[at] == _signed(words)
-            bits[known] = self.bits[at[known]]
-        width = len(words) - len(values) + 1
-        running = np.concatenate([[0], np.cumsum(bits, dtype=np.float64)])
-        rare = np.round(running[width:] - running[:-width])[first]
-        level = np.zeros(n, np.int8)
-        if len(self.common):
-            at = np.minimum(np.searchsorted(self.common, _signed(keys)), len(self.common) - 1)
-            known = self.common[at] == _signed(keys)
-            level[known] = self.level[at[known]]
-        return keys, keys[np.lexsort((keys, -rare, level))[: n - share + 1]]
+        keys = np.unique(shingles(words, self.width))
+        share = -(-least[0] * len(keys) // least[1])  # the least overlap with any partner
+        level = self.levels[_range_of(keys, self.bits)]
+        return keys, keys[np.argsort(level, kind="stable")[: len(keys) - share + 1]]
 
 
 def text_sets(
@@ -363,25 +349,55 @@ def similar_texts(
     )
 
 
-def _candidates(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Components of the classes that share a shingle they send."""
+def _candidates(rows: DataFrame, classes: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Components of the classes that share a shingle they send and are of like size.
+
+    Sets that link differ in size by no more than ``least``. Of the classes that send one
+    shingle, those in one step of sizes are joined to the smallest of the step, and a step to
+    the next one if the sizes at its border allow a link. So texts of any sizes that share a
+    passage do not become one component.
+    """
     # One row per class: its sets are equal, so any row's shingles will do.
-    chosen = classes.withColumnRenamed("digest", "__digest").withColumnRenamed("doc_id", "__doc")
-    sent = (
-        rows.join(
-            chosen,
-            (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__doc")),
-        )
-        .select("class", F.explode("prefix").alias("shingle"))
+    chosen = classes.select(
+        "class",
+        F.col("digest").alias("__digest"),
+        F.col("doc_id").alias("__doc"),
+        F.col("n_shingles").alias("size"),
     )
+    sent = rows.join(
+        chosen,
+        (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__doc")),
+    ).select("class", "size", F.explode("prefix").alias("shingle"))
     groups = (
         sent.groupBy("shingle")
         .agg(F.min("class").alias("first"), F.max("class").alias("last"))
         .filter("first <> last")
-        .drop("last")
+        .select("shingle")
+    )
+    # A little more than the logarithm of the ratio, so that two sizes that may link are in
+    # one step or in two that follow, however logarithms are rounded.
+    ratio = math.log(least[1] / least[0]) * (1 + 1e-9)
+    step = F.floor(F.log("size") / ratio) if ratio > 0 else F.col("size")
+    shared = stored(
+        hot_join(sent, groups, "shingle").select(
+            "class", "size", "shingle", step.cast("long").alias("step")
+        ),
+        "shared-shingles",
+    )
+    # A step is named by a hash: should two meet, they are a candidate the more.
+    cell, following = F.xxhash64("shingle", "step"), F.xxhash64("shingle", F.col("step") + 1)
+    cells = stored(
+        shared.groupBy("shingle", "step")
+        .agg(F.min("class").alias("first"), F.min("size").alias("low"), F.max("size").alias("high"))
+        .select(cell.alias("cell"), following.alias("next"), "first", "low", "high"),
+        "shingle-steps",
     )
-    stars = hot_join(sent, groups, "shingle").select(F.col("class").alias("a"), F.col("first").alias("b"))
-    return components(stars)
+    members = shared.select(cell.alias("cell"), F.col("class").alias("a"))
+    stars = hot_join(members, cells.select("cell", F.col("first").alias("b")), "cell").select("a", "b")
+    before = cells.select(F.col("next").alias("cell"), F.col("first").alias("a"), "high")
+    borders = hot_join(before, cells.select("cell", F.col("first").alias("b"), "low"), "cell")
+    borders = borders.filter(F.col("low") * least[0] <= F.col("high") * least[1]).select("a", "b")
+    return components(stars.unionByName(borders))
 
 
 def _links(
@@ -394,7 +410,7 @@ def _links(
     width: int,
 ) -> DataFrame:
     """Pairs of classes that span the components of the links."""
-    candidate = _candidates(rows, classes)
+    candidate = _candidates(rows, classes, least)
     release(frame.sparkSession)
     members = candidate.select(F.col("node").alias("class"), "component").unionByName(
         candidate.select(F.col("component").alias("class"), "component").distinct()
