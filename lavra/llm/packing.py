@@ -67,6 +67,9 @@ class ChunkTokenizer:
     def __init__(self, content: bytes):
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.merge = self.tokenizer.model.tokenize
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        # The tokenizer looks for these before it lowers letters.
+        self.added = [token.content.lower() for token in added if token.content]
         self.memo = Memo(CACHE_ENTRIES, CACHED_CHARS)
 
     def encode(self, text: str) -> bytes:
@@ -75,7 +78,10 @@ class ChunkTokenizer:
             if not SEPARATORS.isdisjoint(text):
                 return self._plain([text])[0]
         else:
-            text = LAST_MARK.sub(r" \1", text.lower())
+            lowered = text.lower()
+            if any(token in lowered for token in self.added):
+                return self._plain([text])[0]
+            text = LAST_MARK.sub(r" \1", lowered)
         return b"".join(self.memo.values(text.split(), self._chunks))
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
