@@ -1,6 +1,6 @@
 """Language of texts and of the spans inside them.
 
-Words are runs of letters. A model holds, per language, hashed counts of letter
+Words are runs of letters of one script. A model holds, per language, hashed counts of letter
 trigrams (with word edges) and the scripts of its letters. A word's score for a
 language is the log probability of its trigrams; a language whose script share of the
 word's script is negligible is no candidate for it. Viterbi search over the words of a
@@ -11,13 +11,16 @@ Training adds up counts over all given rows: each task sums its own rows in an a
 fixed size (buckets x languages) and sends what is not zero. The model's size is bounded
 by ``BUCKETS`` x ``MAX_LANGUAGES`` and does not grow with the corpus.
 
-NULL texts and texts without a letter are ``und`` with score 0 and no span. Rows whose
+NULL texts and texts without a letter are ``und`` with score 0 and no span. Letters of a script
+that no language has count for none: a text of such letters only gets the first language, with
+score 0. Rows whose
 language is NULL teach nothing. An untrained model (no row) answers ``und`` for
 everything. Ties go to the language that sorts first.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -61,9 +64,14 @@ SCRIPTS = (
 SCRIPT_NAMES = ("none", "other", *dict.fromkeys(name for name, _, _ in SCRIPTS))
 
 
+#: Script of a mark that belongs to whatever letter it follows.
+MARK = 255
+
+
 @lru_cache(1)
 def tables() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point: its script (0 if it is no letter) and its lower case."""
+    """For each code point: its script (0 if it is no letter) and its lower case. Marks of a
+    script (vowel signs, say) are its letters, others belong to the letter before them."""
     script = np.zeros(0x110000, np.uint8)
     lower = np.arange(0x110000, dtype=np.uint32)
     for code in range(0x110000):
@@ -73,9 +81,11 @@ def tables() -> tuple[np.ndarray, np.ndarray]:
             small = char.lower()
             if len(small) == 1:
                 lower[code] = ord(small)
+        elif unicodedata.category(char)[0] == "M":
+            script[code] = MARK
     for name, first, last in SCRIPTS:
         part = script[first : last + 1]
-        part[part == 1] = SCRIPT_NAMES.index(name)
+        part[part > 0] = SCRIPT_NAMES.index(name)
     return script, lower
 
 
@@ -85,7 +95,7 @@ class Features:
 
     bucket: np.ndarray  # of each trigram
     trigram_word: np.ndarray  # first trigram of each word
-    script: np.ndarray  # of each word's first letter
+    script: np.ndarray  # of each word
     letters: np.ndarray  # of each word
     start: np.ndarray  # of each word, in its text
     end: np.ndarray
@@ -97,6 +107,14 @@ def features(texts: list[str]) -> Features:
     joined = "\n".join([*texts, ""])
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     script = script_of[codes]
+    if (script == MARK).any():
+        script[0] = 0 if script[0] == MARK else script[0]
+        held = np.where(script == MARK, 0, np.arange(len(script)))
+        script = script[np.maximum.accumulate(held)]
+    # A word ends where the script changes; a place between the two letters says so.
+    cuts = np.flatnonzero((script[1:] != script[:-1]) & (script[1:] > 0) & (script[:-1] > 0)) + 1
+    place_of = np.insert(np.arange(len(codes)), cuts, cuts)
+    codes, script = np.insert(codes, cuts, 0), np.insert(script, cuts, 0)
     letter = script > 0
     x = np.where(letter, lower_of[codes], 0).astype(np.uint32)
     before = np.zeros_like(x)
@@ -115,15 +133,15 @@ def features(texts: list[str]) -> Features:
     starts = np.flatnonzero(letter & (before == 0))
     ends = np.flatnonzero((x == 0) & (before > 0))
     offset = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])]).astype(np.int64)
-    first_word = np.searchsorted(starts, offset)
+    first_word = np.searchsorted(place_of[starts], offset)
     text_of = np.repeat(np.arange(len(texts)), np.diff(first_word))
     return Features(
         bucket=mixed & np.uint32(BUCKETS - 1),
         trigram_word=np.searchsorted(place, starts),
         script=script[starts],
         letters=ends - starts,
-        start=starts - offset[text_of],
-        end=ends - offset[text_of],
+        start=place_of[starts] - offset[text_of],
+        end=place_of[ends] - offset[text_of],
         first_word=first_word,
     )
 
@@ -277,18 +295,24 @@ def label_languages(
     )
 
 
-def _label(texts: list[str], model: LanguageModel) -> Iterator[tuple[str, float, list[dict]]]:
+def _label(
+    texts: list[str], model: LanguageModel
+) -> Iterator[tuple[str, float, list[dict], float]]:
+    """Language, its share of the letters, spans, and the share of letters of any language."""
     f = features(texts)
     if not model.languages or not len(f.start):
-        yield from ((UNDETERMINED, 0.0, []) for _ in texts)
+        yield from ((UNDETERMINED, 0.0, [], 0.0) for _ in texts)
         return
     path = viterbi(word_scores(f, model), f.first_word, SWITCH_PENALTY)
     languages = len(model.languages)
     text_of = np.repeat(np.arange(len(texts)), np.diff(f.first_word))
+    # Letters of a script that no language has speak for none, whatever span they are in.
+    spoken = f.letters * model.allowed.any(1)[f.script]
     letters = np.bincount(
-        text_of * languages + path, f.letters, minlength=len(texts) * languages
+        text_of * languages + path, spoken, minlength=len(texts) * languages
     ).reshape(len(texts), languages)
-    total, winner = letters.sum(1), letters.argmax(1)
+    total, winner = np.bincount(text_of, f.letters, minlength=len(texts)), letters.argmax(1)
+    known = letters.sum(1)
     # A span begins with a text's first word and wherever the language changes.
     begins = np.ones(len(path), bool)
     begins[1:] = (path[1:] != path[:-1]) | (text_of[1:] != text_of[:-1])
@@ -298,19 +322,21 @@ def _label(texts: list[str], model: LanguageModel) -> Iterator[tuple[str, float,
     start, end, lang = f.start[at].tolist(), f.end[last].tolist(), path[at].tolist()
     for i in range(len(texts)):
         if not total[i]:
-            yield UNDETERMINED, 0.0, []
+            yield UNDETERMINED, 0.0, [], 0.0
             continue
         spans = [
             {"start": start[j], "end": end[j], "lang": model.languages[lang[j]]}
             for j in range(first_span[i], first_span[i + 1])
         ]
-        yield model.languages[winner[i]], float(letters[i, winner[i]] / total[i]), spans
+        share = float(letters[i, winner[i]] / total[i])
+        yield model.languages[winner[i]], share, spans, float(known[i] / total[i])
 
 
 def keep_identified(
-    frame: DataFrame, model: LanguageModel, text: str = "text", least_score: float = 0.5
+    frame: DataFrame, model: LanguageModel, text: str = "text", least_known: float = 0.5
 ) -> DataFrame:
-    """Rows whose language is determined and covers ``least_score`` of the letters."""
+    """Rows of whose letters at least ``least_known`` are of some language's script, in
+    whatever mixture of languages; a text without letters goes."""
     shared = frame.sparkSession.sparkContext.broadcast(model)
     at = frame.columns.index(text)
 
@@ -321,7 +347,7 @@ def keep_identified(
             for low, high in slices([len(t) for t in texts]):
                 found += _label(texts[low:high], shared.value)
             yield rows.filter(
-                pa.array([n != UNDETERMINED and score >= least_score for n, score, _ in found], pa.bool_())
+                pa.array([f[0] != UNDETERMINED and f[3] >= least_known for f in found], pa.bool_())
             )
 
     return map_batches(frame, keep, frame.schema)
