@@ -5,8 +5,8 @@ hierarchical graph: nodes get levels at random, every node is linked to near and
 nodes of its level, and a search goes down the levels and widens at the lowest one. Every
 class is searched for in every shard, in blocks of queries. A query whose beam holds only
 links is searched for again with a beam twice as wide. In every task a sample of queries
-is audited against all vectors of the shard; below ``AUDIT_RECALL`` the whole block is
-searched with a beam twice as wide. A beam as wide as a part of the shard is a scan.
+is audited against all vectors of the shard, and so are planted queries that have a link each;
+below ``AUDIT_RECALL`` of either the whole block is searched with a beam twice as wide. A beam as wide as a part of the shard is a scan.
 Cosines of what was found are taken in double precision; links below the threshold go.
 
 Within a task, links are joined to a forest and only its edges leave, so a dense group
@@ -43,6 +43,7 @@ EXPANDED = 4  # nodes of a beam opened at a time
 STEP_QUERIES = 256
 AUDIT_QUERIES = 64
 AUDIT_RECALL = 0.98
+PLANTED_SLACK = 0.1  # of the way from the threshold to 1 that planted queries link with
 SLACK = 1e-4  # single-precision cosines this far below the threshold are checked
 SEED = 20240801
 
@@ -227,21 +228,44 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def find_links(
     graph: Graph, vectors: np.ndarray, queries: np.ndarray, threshold: float
 ) -> list[np.ndarray]:
-    """For each query the rows of ``vectors`` found at or above the threshold."""
+    """For each query the rows of ``vectors`` found at or above the threshold.
+
+    Few queries may have a link, so those audited may have none. Planted queries have one
+    each: a vector of the shard, turned so far that it just links. Both recalls must do.
+    """
     if not len(queries):
         return []
     rng = np.random.default_rng(SEED)
     audited = rng.permutation(len(queries))[:AUDIT_QUERIES]
+    sources = rng.permutation(len(vectors))[:AUDIT_QUERIES]
+    planted = turned(vectors[sources], threshold + (1 - threshold) * PLANTED_SLACK, rng)
     beam = SEARCH_BEAM
     while True:
-        found = _search_all(graph, vectors, queries, threshold, beam)
-        true = _check(vectors, queries[audited], [np.arange(len(vectors))] * len(audited), threshold)
-        recall = audit_recall(vectors, queries[audited], [found[i] for i in audited], true)
+        hits = _search_all(graph, vectors, planted, threshold, beam)
+        recall = np.mean([source in rows for source, rows in zip(sources, hits, strict=True)])
         if recall >= AUDIT_RECALL or beam >= len(vectors):
-            return found
+            found = _search_all(graph, vectors, queries, threshold, beam)
+            true = _check(
+                vectors, queries[audited], [np.arange(len(vectors))] * len(audited), threshold
+            )
+            recall = audit_recall(vectors, queries[audited], [found[i] for i in audited], true)
+            if recall >= AUDIT_RECALL or beam >= len(vectors):
+                return found
         beam *= 2
 
 
+def turned(vectors: np.ndarray, cosine: float, rng: np.random.Generator) -> np.ndarray:
+    """Each vector turned in some direction until it has this cosine with what it was."""
+    if vectors.shape[1] < 2:
+        return vectors
+    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
+    unit = vectors / norm
+    away = rng.normal(size=vectors.shape)
+    away -= np.sum(away * unit, axis=1, keepdims=True) * unit
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    return norm * (cosine * unit + np.sqrt(1 - cosine**2) * away)
+
+
 def audit_recall(
     vectors: np.ndarray, queries: np.ndarray, found: list[np.ndarray], true: list[np.ndarray]
 ) -> float:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lavra.llm import language, packing, shingle_join
+from lavra.llm import language, packing, shingle_join, vectors
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -166,3 +166,32 @@ def test_packing_digests_of_special_tokens(spark):
     for row in packing.pack(docs, WORDS).collect():
         ids = [*whole.encode(texts[row["doc_id"]], add_special_tokens=False).ids, 0]
         assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+def test_turned_vectors_have_the_cosine():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(50, 16)) * rng.uniform(0.01, 1e6, (50, 1))
+    y = vectors.turned(x, 0.955, rng)
+    assert np.sum(x * y, 1) / np.linalg.norm(x, axis=1) / np.linalg.norm(y, axis=1) == pytest.approx(0.955)
+    assert (vectors.turned(x[:, :1], 0.955, rng) == x[:, :1]).all()
+
+
+def test_a_search_that_finds_nothing_is_noticed_where_few_queries_have_a_link(monkeypatch):
+    """60 links among 6000 queries: 64 audited queries have none, the planted ones do."""
+    rng = np.random.default_rng(2)
+    rows = rng.normal(size=(1500, 32))
+    queries = rng.normal(size=(6000, 32))
+    linked = rng.permutation(6000)[:60]
+    queries[linked] = vectors.turned(rows[:60], 0.97, rng)
+    real = vectors.Graph.search
+
+    def blind(self, unit, beam):
+        """Finds nothing until it scans."""
+        ids, sims = real(self, unit, beam)
+        return (ids, sims) if beam * 4 >= len(self.unit) else (ids, np.full_like(sims, -1))
+
+    monkeypatch.setattr(vectors.Graph, "search", blind)
+    graph = vectors.Graph.build(vectors._unit(rows))
+    found = vectors.find_links(graph, rows, queries, 0.95)
+    assert sum(len(hits) for hits in found) >= 60
+    assert all(k in found[i] for k, i in enumerate(linked))
