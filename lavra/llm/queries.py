@@ -27,7 +27,8 @@ from lavra.llm.common import documents, held_out
 from lavra.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-#: Of the others none can be told in SQL as a whole; tests/llm holds brute-force versions.
+#: Of the operators one can be told in SQL as a whole; of three, some columns, for which there
+#: are queries of their own. tests/llm holds brute-force versions of the rest.
 ORACLES: dict[str, str] = {
     "op11_hard_negatives": """
         WITH part AS (
@@ -58,6 +59,38 @@ ORACLES: dict[str, str] = {
          AND 100 * n.score <= 95 * p.positive_score
         QUALIFY rank <= 3
     """,
+    "secret_base_counts": r"""
+        SELECT doc_id,
+               len(list_filter(regexp_extract_all(coalesce(text, ''),
+                   '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)',
+                   1), lambda x: length(x) >= 6)) AS n_assign,
+               len(list_filter(regexp_extract_all(coalesce(text, ''), 'AKIA[A-Z0-9]+'),
+                   lambda x: length(x) >= 20)) AS n_access,
+               len(list_filter(regexp_extract_all(coalesce(text, ''), '[0-9a-f]+'),
+                   lambda x: length(x) >= 24)) AS n_hex
+        FROM documents
+    """,
+    "edited_texts": """
+        WITH t AS (
+            SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n
+            FROM documents
+        ), paired AS (
+            SELECT doc_id, text, n,
+                   coalesce(lead(text) OVER (ORDER BY doc_id DESC),
+                            first_value(text) OVER (ORDER BY doc_id DESC)) AS following
+            FROM t
+        )
+        SELECT doc_id, n AS n_chars,
+               sha256(substr(text, 1, n - n // 3) || substr(following, 1, n // 3)) AS edited_sha256
+        FROM paired
+    """,
+    "archive_records": """
+        SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+               CASE WHEN page_id = max(page_id) OVER w THEN 'response' ELSE 'revisit' END
+                   AS record_type,
+               nullif(max(page_id) OVER w, page_id) AS refers_to
+        FROM pages WINDOW w AS (PARTITION BY coalesce(html, ''))
+    """,
 }
 
 
@@ -180,3 +213,23 @@ def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("piece_bpe_32k.model"),
     )
+
+
+@query
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op7 that SQL can tell."""
+    return op7_secret_scan(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+@query
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op8 that SQL can tell."""
+    return op8_imatch_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
+@query
+def archive_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of op5 that SQL can tell."""
+    return op5_warc_round_trip(spark, sf_dir).select(
+        "page_id", "payload_bytes", "record_type", "refers_to"
+    )
