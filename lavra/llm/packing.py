@@ -4,8 +4,8 @@ Texts become token ids and one end id; those longer than the capacity are cut in
 of the capacity, the last one shorter. Which lengths share a sequence is decided on the
 counts of the lengths alone, an array of ``capacity`` entries: from the longest length
 down, a gap is closed exactly by one, two or three available lengths whose sum is the gap
-(found by complement: the sums of one, two and three lengths are looked up in the array
-of counts), as many times at once as the counts allow; if no combination closes it, the
+(found by complement: an index tells which totals one, two and three available lengths
+have, and the lengths of a total are looked up in the array of counts), as many times at once as the counts allow; if no combination closes it, the
 longest length that fits goes in and the smaller gap is tried again. Every length is then
 a row of runs (ranks from a to b go to sequences s, s+1, ... at offset o), and pieces find
 theirs by their rank among the pieces of equal length. The rank is the place within the
@@ -129,6 +129,7 @@ def plan_packing(counts: np.ndarray) -> Runs:
     left[0] = 0
     capacity = len(left) - 1
     used = np.zeros_like(left)
+    sums = Sums(left)
     rows: list[tuple[int, int, int]] = []
     sequence = 0
     for length in range(capacity, 0, -1):
@@ -137,7 +138,7 @@ def plan_packing(counts: np.ndarray) -> Runs:
             left[length] -= 1
             gap = capacity - length
             while gap:
-                exact = _exact(left, gap)
+                exact = _exact(left, gap, sums)
                 if exact:
                     parts += exact
                     break
@@ -160,18 +161,41 @@ def plan_packing(counts: np.ndarray) -> Runs:
                 left[part] -= times
                 offset += part
             sequence += times
+            if not all(left[part] for part in parts):
+                sums = Sums(left)
     rows.sort()
     table = np.array(rows, np.int64).reshape(-1, 3)
     return Runs(table[:, 0].copy(), table[:, 1].copy(), table[:, 2].copy(), sequence)
 
 
-def _exact(left: np.ndarray, gap: int) -> list[int] | None:
+class Sums:
+    """Index of the totals that one, two and three available lengths have, a bit each.
+
+    A length may stand in a total more often than it is available, so a bit says that there
+    may be a combination; no bit, that there is none. It holds until a length runs out.
+    """
+
+    def __init__(self, left: np.ndarray):
+        lengths = np.flatnonzero(left).tolist()
+        within = (1 << len(left)) - 1
+        self.one = self.two = self.three = 0
+        for length in lengths:
+            self.one |= 1 << length
+        for length in lengths:
+            self.two |= self.one << length & within
+        for length in lengths:
+            self.three |= self.two << length & within
+
+
+def _exact(left: np.ndarray, gap: int, sums: Sums) -> list[int] | None:
     """One, two or three available lengths that sum to ``gap``, the longest first."""
-    if left[gap]:
+    if sums.one >> gap & 1 and left[gap]:
         return [gap]
-    pair = _pair(left, gap, gap - 1)
+    pair = _pair(left, gap, gap - 1) if sums.two >> gap & 1 else None
     if pair:
         return pair
+    if not sums.three >> gap & 1:
+        return None
     # The longest of three is at least a third of the gap.
     for longest in (np.flatnonzero(left[(gap + 2) // 3 : gap - 1]) + (gap + 2) // 3)[::-1]:
         left[longest] -= 1

@@ -195,3 +195,24 @@ def test_a_search_that_finds_nothing_is_noticed_where_few_queries_have_a_link(mo
     found = vectors.find_links(graph, rows, queries, 0.95)
     assert sum(len(hits) for hits in found) >= 60
     assert all(k in found[i] for k, i in enumerate(linked))
+
+
+def test_the_index_of_sums_tells_what_can_be_put_together():
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        left = rng.integers(0, 3, 60) * (rng.random(60) < 0.15)
+        left[0] = 0
+        sums, lengths = packing.Sums(left), np.flatnonzero(left).tolist()
+        for gap in range(1, 60):
+            for bits, n in ((sums.one, 1), (sums.two, 2), (sums.three, 3)):
+                found = any(sum(c) == gap for c in itertools.combinations_with_replacement(lengths, n))
+                assert bool(bits >> gap & 1) == found
+            exact = packing._exact(left.copy(), gap, sums)
+            able = [
+                c
+                for n in (1, 2, 3)
+                for c in itertools.combinations_with_replacement(lengths, n)
+                if sum(c) == gap and all(c.count(x) <= left[x] for x in c)
+            ]
+            assert (exact is not None) == bool(able)
+            assert exact is None or tuple(sorted(exact)) in able
