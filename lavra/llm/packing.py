@@ -17,9 +17,7 @@ packed one by one.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,19 +28,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
-from lavra.llm.common import Memo, map_batches, stored
+from lavra.llm.chunks import text_slices
+from lavra.llm.common import map_batches, stored
+from lavra.llm.token_files import BatchTokenizer, batch_tokenizer
 
 CAPACITY = 2048
 END_ID = 0
-CACHE_ENTRIES = 600_000
-CACHED_CHARS = 64
-#: White space for Python, not for the tokenizer.
-SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
-#: Anything but ASCII (less the separators) and the precomposed letters of Latin-1.
-UNUSUAL = re.compile("[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ]")
-PLAIN_WORD = re.compile("[a-zß-öø-ÿ]+")
+SLICE_BYTES = 4 << 20
 #: A byte-level vocabulary writes bytes that are not printable as characters from 256 on.
 BYTE_CHARACTERS = dict(
     zip(
@@ -51,66 +44,16 @@ BYTE_CHARACTERS = dict(
         strict=True,
     )
 )
-LAST_MARK = re.compile(r"(?<=[a-zß-öø-ÿ])([.,])(?=[ \n]|$)")
-
 
 class ChunkTokenizer:
-    """Token ids of whole texts, put together from chunks between white space.
-
-    The tokenizer drops white space and never looks across it, so chunks can be encoded
-    once and remembered. Where it is sure to change nothing, letters are lowered first (as
-    the tokenizer does) and a point or comma that ends a word becomes a chunk of its own,
-    so that fewer chunks differ. Texts with the four separators that only Python takes for
-    white space are encoded whole.
-    """
+    """Ids of single texts; tasks encode many at once (see ``BatchTokenizer``)."""
 
     def __init__(self, content: bytes):
-        self.tokenizer = Tokenizer.from_str(content.decode())
-        self.merge = self.tokenizer.model.tokenize
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        # The tokenizer looks for these before it lowers letters.
-        self.added = [token.content.lower() for token in added if token.content]
-        self.memo = Memo(CACHE_ENTRIES, CACHED_CHARS)
+        self.batch = BatchTokenizer(content)
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids."""
-        if UNUSUAL.search(text):
-            if not SEPARATORS.isdisjoint(text):
-                return self._plain([text])[0]
-        else:
-            lowered = text.lower()
-            if any(token in lowered for token in self.added):
-                return self._plain([text])[0]
-            text = LAST_MARK.sub(r" \1", lowered)
-        return b"".join(self.memo.values(text.split(), self._chunks))
-
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """Words of plain letters go straight to the merges; normalising and splitting
-        would leave them as they are."""
-        found = {c: self._word(c) for c in chunks if PLAIN_WORD.fullmatch(c)}
-        others = [c for c in chunks if c not in found]
-        found.update(zip(others, self._plain(others), strict=True))
-        return [found[c] for c in chunks]
-
-    def _word(self, word: str) -> bytes:
-        tokens = self.merge(word.encode().decode("latin-1").translate(BYTE_CHARACTERS))
-        return array("I", [token.id for token in tokens]).tobytes()
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [
-            np.array(e.ids, "<u4").tobytes()
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        ]
-
-
-_tokenizers: dict[int, ChunkTokenizer] = {}
-
-
-def tokenizer(content: bytes) -> ChunkTokenizer:
-    key = hash(content)
-    if key not in _tokenizers:
-        _tokenizers[key] = ChunkTokenizer(content)
-    return _tokenizers[key]
+        return self.batch.encode(pa.array([text], pa.large_string()))[0].tobytes()
 
 
 @dataclass
@@ -227,28 +170,28 @@ def cut_pieces(
     """Pieces of every text with their task and their place among its equal lengths."""
     content = frame.sparkSession.sparkContext.broadcast(Path(vocabulary_file).read_bytes())
     kind = frame.schema[key].dataType.simpleString()
-    end = np.array([END_ID], "<u4").tobytes()
-    step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(content.value).encode
+        tokenizer = batch_tokenizer(content.value)
         task = TaskContext.get().partitionId()
         seen: Counter[int] = Counter()
-        for rows in batches:
+        for rows in text_slices(batches, 1, SLICE_BYTES):
+            ids, ends = tokenizer.encode(rows.column(1))
+            raw = memoryview(np.insert(ids, ends, END_ID)).cast("B")
+            begin = 0
             row_of: list[int] = []
             piece, start, length, crc, place = [], [], [], [], []
-            for i, value in enumerate(rows.column(1)):
-                ids = encode(value.as_py() or "") + end
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at : at + step]
-                    n = len(part) // 4
+            for i, end in enumerate((ends + np.arange(1, len(ends) + 1)).tolist()):
+                for k, at in enumerate(range(begin, end, capacity)):
+                    n = min(capacity, end - at)
                     row_of.append(i)
                     piece.append(k)
-                    start.append(at // 4)
+                    start.append(at - begin)
                     length.append(n)
-                    crc.append(zlib.crc32(part))
+                    crc.append(zlib.crc32(raw[4 * at : 4 * (at + n)]))
                     place.append(seen[n])
                     seen[n] += 1
+                begin = end
             yield pa.RecordBatch.from_arrays(
                 [
                     rows.column(0).take(pa.array(row_of, pa.int32())),
