@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +49,9 @@ def read_complaint_slices(
     folder; otherwise each is read, renamed and united strictly.
     """
     paths = [spec.raw_path(raw_base) for spec in specs]
-    schemas = [spark.read.parquet(path).schema for path in paths]
+    # Each schema is a footer read by a small job; sources may be many.
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(lambda path: spark.read.parquet(path).schema, paths))
     if all(schema == schemas[0] for schema in schemas):
         labels = F.create_map(*[F.lit(p) for s in specs for p in (s.target, s.file)])
         table = read_parquet(spark, paths, schemas[0])
