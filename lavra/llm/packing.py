@@ -36,14 +36,7 @@ from lavra.llm.token_files import BatchTokenizer, batch_tokenizer
 CAPACITY = 2048
 END_ID = 0
 SLICE_BYTES = 4 << 20
-#: A byte-level vocabulary writes bytes that are not printable as characters from 256 on.
-BYTE_CHARACTERS = dict(
-    zip(
-        [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)],
-        range(256, 324),
-        strict=True,
-    )
-)
+
 
 class ChunkTokenizer:
     """Ids of single texts; tasks encode many at once (see ``BatchTokenizer``)."""
