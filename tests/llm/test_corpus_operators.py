@@ -376,6 +376,30 @@ def test_all_words_are_learned_and_the_sample_grows(spark, monkeypatch):
     assert abs(first.sum() - 1) < 1e-9
 
 
+def test_attention_learns_from_all_training_texts(spark, monkeypatch):
+    """Every window of every training text is learned from once, wherever texts are dealt to."""
+    words = [20 + i % 90 for i in range(300)]
+    rows = [(i, " ".join(f"w{(i + j) % 50}" for j in range(n)), i % 3 > 0) for i, n in enumerate(words)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, learned boolean")
+    found, train = [], lm.train_attention
+    monkeypatch.setattr(lm, "GROWS_FROM", 60)
+    monkeypatch.setattr(lm, "STEPS", 1)
+    monkeypatch.setattr(
+        lm, "train_attention",
+        lambda m, parts, n, s: train(m, (found.append(sum(p[0])) or p for p in parts), n, s),
+    )
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    windows = sum(-(-(n + 1) // lm.BLOCK) for n, row in zip(words, rows, strict=True) if row[2])
+    learned = F.col("learned")
+    scored = lm.score_texts(frame, frame.filter(learned), vocabulary, learned=learned)
+    assert len(found) == 2 and sum(found) == windows
+    apart = lm.score_texts(frame, frame.filter(learned), vocabulary)
+    assert found[:2] == found[2:]
+    scores = [{r["doc_id"]: r["score"] for r in t.collect()} for t in (scored, apart)]
+    assert scores[0].keys() == scores[1].keys() == set(range(300))
+    assert all(s < 0 for s in scores[0].values())
+
+
 # Archives
 
 
