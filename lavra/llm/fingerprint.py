@@ -17,6 +17,7 @@ fingerprints, also in repeated rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -116,9 +117,16 @@ def fingerprints(
     return _with_fingerprint(frame, F.coalesce(F.col(text), F.lit("")), words, name)
 
 
-def with_next(frame: DataFrame, key: str, carried: list[str]) -> DataFrame:
+def with_next(
+    frame: DataFrame,
+    key: str,
+    carried: list[str],
+    prepared: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
     """Each row with the ``carried`` columns of the row of the next smaller key.
 
+    ``prepared`` adds columns that are functions of the others, once for each row.
+
     The smallest key is followed by the largest. Rows are dealt to ranges of keys of about
     equal numbers, and each range also gets a copy of the first row of the next range, so
     one window per range finds every successor. Equal keys are in order of their content.
@@ -143,12 +151,13 @@ def with_next(frame: DataFrame, key: str, carried: list[str]) -> DataFrame:
         .withColumn("__range", F.col("__goes_to"))
         .select(*placed.columns, F.lit(True).alias("__copy"))
     )
-    both = placed.withColumn("__copy", F.lit(False)).unionByName(copies)
+    both = prepared(placed.withColumn("__copy", F.lit(False)).unionByName(copies))
     window = Window.partitionBy("__range").orderBy(
-        "__copy", F.desc_nulls_last(key), *(F.xxhash64(F.col(c)) for c in carried)
+        "__copy", F.desc_nulls_last(key), *(F.xxhash64(F.col(c)) for c in carried if c in frame.columns)
     )
+    columns = [c for c in both.columns if c not in ("__range", "__copy")]
     led = both.select(
-        *frame.columns, "__copy", *(F.lead(c).over(window).alias(f"next_{c}") for c in carried)
+        *columns, "__copy", *(F.lead(c).over(window).alias(f"next_{c}") for c in carried)
     )
     return led.filter(~F.col("__copy")).drop("__copy")
 
@@ -170,29 +179,40 @@ def _padded(blocks: list[list[float]], width: int) -> list[list[float]]:
     return [b + [math.inf] * (width - len(b)) for b in blocks]
 
 
-def compare_edited(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Fingerprints of each text, of its edited text, and their likenesses.
-
-    The edited text has its last third replaced by the first characters of the next text.
-    """
-    words = lexicon(frame, text)
+def edit_texts(
+    frame: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    carried: list[str] | None = None,
+    prepared: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """Each text's length and its edited text: its last third replaced by the first characters
+    of the next text. ``prepared`` adds columns to key and text, of which the ``carried``
+    ones come from the next row too, as ``next_``."""
     rows = frame.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = with_next(fingerprints(rows, words), "key", ["text", "fingerprint"])
+    carried = carried or []
+    rows = with_next(rows, "key", ["text", *carried], prepared)
     n = F.char_length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(
         F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut)
     )
-    rows = rows.select(
-        "key",
+    return rows.select(
+        F.col("key").alias(key),
         n.cast("long").alias("n_chars"),
         edited.alias("edited"),
-        "fingerprint",
-        "next_fingerprint",
+        *carried,
+        *(f"next_{c}" for c in carried),
     )
+
+
+def compare_edited(frame: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Fingerprints of each text, of its edited text (see ``edit_texts``), and their likenesses."""
+    words = lexicon(frame, text)
+    rows = edit_texts(frame, key, text, ["fingerprint"], lambda rows: fingerprints(rows, words))
     rows = fingerprints(rows, words, "edited", "edited_fingerprint")
     return rows.select(
-        F.col("key").alias(key),
+        key,
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         F.array_join("fingerprint", ".").alias("fingerprint"),

@@ -27,6 +27,7 @@ from lavra.llm import (
     warc,
 )
 from lavra.llm.components import components
+from lavra.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, class int"
 PROSE = "the cat sat on the mat and looked at the quiet garden behind the old house "
@@ -570,6 +571,19 @@ def test_fingerprints_of_odd_rows(spark, odd, none):
     assert fingerprint.compare_edited(none).count() == 0
 
 
+def test_edited_texts_need_no_fingerprints(spark, odd, monkeypatch):
+    """Nor a lexicon; and with fingerprints each row gets its own once, behind the copies."""
+    with monkeypatch.context() as patch:
+        patch.setattr("lavra.llm.queries.documents", lambda *a: odd)
+        patch.setattr(fingerprint, "lexicon", lambda *a: pytest.fail("a lexicon was made"))
+        alone = QUERIES["edited_texts"](spark, "").collect()
+    whole = fingerprint.compare_edited(odd).select("doc_id", "n_chars", "edited_sha256").collect()
+    assert sorted(map(str, alone)) == sorted(map(str, whole))
+    prepared = []
+    fingerprint.edit_texts(odd, prepared=lambda rows: prepared.append(rows) or rows)
+    assert len(prepared) == 1 and "__copy" in prepared[0].columns
+
+
 def test_successors_go_down_and_around(spark):
     ids = random.Random(5).sample(range(100_000), 700)
     frame = spark.createDataFrame([(i, f"t{i}") for i in ids], "id long, t string").repartition(5)
