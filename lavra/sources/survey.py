@@ -84,7 +84,10 @@ def raw_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     bytes are those of the file)."""
     return spark.read.text(list(dict.fromkeys(paths))).select(
         one_slash(F.col("_metadata.file_path")).alias("uri"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("line"),
+        ).alias("at"),
         F.col("value").alias("raw"),
     )
 
@@ -154,16 +157,20 @@ def survey(spark: SparkSession, readings: Sequence[Reading]) -> DataFrame:
         "text", decoded(F.col("raw"), F.col("_charset"))
     )
     key = ["uri", "source", "charset", "sep", "_charset"]
+    # Spark sorts all lines by group for aggregates of text alone. With a set among them, here
+    # of the few blocks of a file, it keeps one first line per group instead.
     by_width = (
         read.withColumn("width", F.size(fields(F.col("text"), F.col("sep"))))
         .groupBy(*key, "width")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.collect_set("at.block").alias("blocks"),
             F.min("at").alias("at"),
             F.min_by("text", "at").alias("first"),
             F.count_if(contains_char(F.col("text"), REPLACEMENT_CHARACTER)).alias("hits"),
             *classes,
         )
+        .withColumn("at", F.struct(F.array_min("blocks"), "at.line"))
     )
     names = list(byte_classes(F.col("raw")))
     per_file = (

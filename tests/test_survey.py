@@ -112,6 +112,16 @@ def test_repeated_readings_and_unknown_charsets_are_refused(spark, tmp_path):
         survey(spark, [Reading("a", str(tmp_path / "a"), ";", "UTF-7")])
 
 
+def test_lines_are_not_sorted_to_be_counted(spark, tmp_path):
+    """Between the scan and the groups of a task, whose memory would follow the lines."""
+    (tmp_path / "a").write_text("a;b\n" + "1;2\n3\n" * 500)
+    found = survey(spark, [Reading("a", str(tmp_path / "a"), ";", c) for c in ("UTF-8", "ISO-8859-1")])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    below = plan[: plan.index("FileScan text")].rpartition("ObjectHashAggregate")[2]
+    assert "Sort" not in below
+    assert [(r["n_rows"], r["n_malformed"], r["column_names"]) for r in found.collect()] == [(1000, 500, ["a", "b"])] * 2
+
+
 def test_thousands_of_sources_are_one_plan(spark, tmp_path):
     readings = []
     for i in range(2000):
