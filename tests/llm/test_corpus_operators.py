@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -401,6 +402,51 @@ def test_attention_learns_from_all_training_texts(spark, monkeypatch):
     assert all(s < 0 for s in scores[0].values())
 
 
+def test_common_words_are_encoded_once(spark, monkeypatch):
+    """Also where a process meets more different words than it holds; scores stay the same."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    texts = ["Common word here " * 5 + " ".join(f"zq{i}xv{j}" for j in range(7)) for i in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(lm, "MOST_WORDS", 3)
+    model, _ = lm.train_language_model(frame, vocabulary, "doc_id", "text")
+    expected = list(lm.Scorer(model).scores(texts))
+    monkeypatch.setattr(lm, "POOL_WORDS", 20)
+    monkeypatch.setattr(lm, "SLICE_CHARS", 200)
+    learned, learn, held = [], lm.Encoder._learn, []
+
+    def counted(encoder, words):
+        learned.extend(words)
+        learn(encoder, words)
+        held.append(len(encoder.number))
+
+    monkeypatch.setattr(lm.Encoder, "_learn", counted)
+    found = list(lm.Scorer(model).scores(texts))
+    assert np.allclose(found, expected, rtol=1e-6)
+    assert [learned.count(w) for w in (b"common", b"word", b"here")] == [1, 1, 1]
+    assert len(learned) == 3 + 40 * 7 and max(held) <= 20
+
+
+def test_words_of_all_kinds_keep_their_order():
+    """Words that are encoded in runs, and those that are not, among each other."""
+    subwords = lm.Subwords(open(public_tokenizers.path("byte_bpe_50k.json")).read())
+    words = [w.encode() for w in ("plain", "“odd”", "a\u3000b", "漢字", "été,", "x", "😀", "it's", "12a\xa0b")] + [b"\xff\xfe", b"cut\xc3"]
+    for some in (words * 150, words[:1] * 2500, words[1:2], []):
+        ids, lengths = subwords.flat(some)
+        alone = [subwords._encode([" " + w.decode("utf-8", "replace")])[0] for w in some]
+        assert lengths.tolist() == [len(a) for a in alone]
+        assert ids.tolist() == [i for a in alone for i in a]
+        assert [w.tolist() for w in subwords(some)] == alone
+
+
+def test_words_are_counted_as_they_are_split(spark, odd):
+    texts = [r["text"] for r in odd.collect()] + ["  A b\x0bB\x0c\x1cc\u2003d\u00c9 \n", " ", "", None]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    expected = Counter(w for t in texts for w in lm.split_words(t or "")) + Counter({None: len(texts)})
+    found = lm.count_words(frame, "text").collect()
+    assert {r["word"] and bytes(r["word"]): r["n"] for r in found} == expected and len(found) == len(expected)
+    assert all(r["h"] == (lm.word_hash(bytes(r["word"])) if r["word"] else 0) for r in found)
+
+
 # Archives
 
 
