@@ -35,7 +35,7 @@ from lavra.llm.token_files import BatchTokenizer, batch_tokenizer
 
 CAPACITY = 2048
 END_ID = 0
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 class ChunkTokenizer:

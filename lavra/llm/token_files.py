@@ -27,6 +27,7 @@ first; repeated rows are all written. Identifiers are whole numbers.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -70,6 +71,9 @@ class BatchTokenizer:
     """Ids of many texts at once, put together from the ids of their different words."""
 
     def __init__(self, content: bytes):
+        # A task has one core: each thread of the library would keep memory of its own, which
+        # stays with the process for all later stages.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.remembered = Remembered(CACHE_ENTRIES, CACHED_BYTES)
         self.ids = self.tokenizer.get_vocab_size()

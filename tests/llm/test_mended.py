@@ -3,17 +3,25 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lavra.llm import language, packing, shingle_join, vectors
+from lavra.llm.common import map_batches
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -216,3 +224,40 @@ def test_the_index_of_sums_tells_what_can_be_put_together():
             ]
             assert (exact is not None) == bool(able)
             assert exact is None or tuple(sorted(exact)) in able
+
+
+def test_words_are_encoded_without_threads_of_the_library():
+    script = """if True:
+        import os, sys
+        import pyarrow as pa
+        from lavra.llm.token_files import BatchTokenizer
+        batch = BatchTokenizer(open(sys.argv[1], "rb").read())
+        before = len(os.listdir("/proc/self/task"))
+        batch.encode(pa.array([f"word{i} Ω{i}" for i in range(500)], pa.large_string()))
+        print(len(os.listdir("/proc/self/task")) - before)
+    """
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    env["PYTHONPATH"] = str(Path(packing.__file__).parents[2])
+    run = [sys.executable, "-c", script, WORDS]
+    assert int(subprocess.run(run, env=env, capture_output=True, check=True).stdout) == 0
+
+
+def anonymous_mb():
+    status = Path("/proc/self/status").read_text()
+    return int(status.split("RssAnon:")[1].split()[0]) / 1024
+
+
+def test_a_task_gives_back_what_arrow_holds_in_reserve(spark):
+    def lowered(batches):
+        for rows in batches:
+            held = [pc.utf8_lower(rows.column(0)) for _ in range(100)]
+            yield rows.slice(0, len(held) % 2)
+
+    frame = SimpleNamespace(sparkSession=spark, mapInArrow=lambda function, schema: function)
+    task = map_batches(frame, lowered, "text string")
+    texts = pa.record_batch({"text": pa.array(["A" * 1000] * 1000)})
+    pa.default_memory_pool().release_unused()
+    before = anonymous_mb()
+    for _ in task(iter([texts] * 3)):
+        pass
+    assert anonymous_mb() - before < 20
