@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lavra.llm import language, packing, shingle_join, vectors
+from lavra.llm import language, lm, packing, shingle_join, vectors
 from lavra.llm.common import map_batches
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -261,3 +261,63 @@ def test_a_task_gives_back_what_arrow_holds_in_reserve(spark):
     for _ in task(iter([texts] * 3)):
         pass
     assert anonymous_mb() - before < 20
+
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def test_plain_words_are_merged_as_the_library_does(monkeypatch):
+    subwords = lm.Subwords(Path(BYTES).read_text())
+    rng = random.Random(3)
+    letters = "aaabbceeiinorstt0199.,-!?<|>éèàçñžłœ"
+    words = ["".join(rng.choices(letters, k=rng.choice([1, 2, 3, 5, 9, 14, 40]))).encode() for _ in range(4000)]
+    words += [b"a" * n for n in range(1, 40)] + [b"aab" * n for n in range(1, 20)] + [b"<|endoftext|>", b"2020-01-01"]
+    odd = [w.encode() for w in ("it's", "'s", "÷", "x×y", "ªº", "漢字", "😀", "а", "a\xa0b", "\x7f")] + [b"\xc3", b"a\xc3b", b"\xa9", b"\xc4\xc5\x80"]
+    together = [w for pair in zip(words, odd * 300, strict=False) for w in pair]
+    alone = {w: subwords._encode([" " + w.decode("utf-8", "replace")])[0] for w in words + odd}
+    for some in (words, together, odd):
+        ids, lengths = subwords.flat(some)
+        assert lengths.tolist() == [len(alone[w]) for w in some]
+        assert ids.tolist() == [i for w in some for i in alone[w]]
+    monkeypatch.setattr(subwords, "_encode", None)  # plain words go without it
+    assert len(subwords.flat(words)[1]) == len(words)
+
+
+def test_prefixes_of_many_words_are_counted_together():
+    """Batches of words are small, and equal prefixes of different batches cost a row each."""
+    subwords = lm.Subwords(Path(BYTES).read_text())
+    words = [f"w{i % 7}word{i}".encode() for i in range(6000)]
+    parts = [
+        pa.record_batch({"word": pa.array(words[i : i + 500], pa.binary()), "n": pa.array([2] * 500, pa.int64())})
+        for i in range(0, len(words), 500)
+    ]
+
+    class Frame:  # whose tasks are run here
+        sparkSession = None
+
+        def __getattr__(self, name):
+            return lambda *a, **k: self
+
+    tasks = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(lm, "map_batches", lambda frame, task, schema: (tasks.append(task), Frame())[1])
+        patch.setattr(lm, "F", SimpleNamespace(sum=lambda c: Frame()))
+        lm.count_prefixes(Frame(), SimpleNamespace(value=Path(BYTES).read_text()))
+    found = pa.Table.from_batches(list(tasks[0](iter(parts))))
+    whole = lm.prefix_counts(*subwords.flat(words), np.full(len(words), 2), subwords.size)
+    assert len(found) == len(whole[0])
+    rows = sorted(zip(*(found[c].to_pylist() for c in ("pair", "before", "after", "n")), strict=True))
+    assert rows == sorted(zip(*(x.tolist() for x in whole), strict=True))
+
+
+def test_counts_of_words_are_put_together_before_they_leave_a_task(spark, monkeypatch):
+    texts = ["", " lead", "tail ", "\t \n", "a B a", None] + [f"word{i % 50} a É" for i in range(500)]
+    tables = [lm.counted(lm.word_lists([t or "" for t in texts[i : i + 7]]).flatten()) for i in range(0, len(texts), 7)]
+    counts = lm.added_up(tables)
+    expected: dict[bytes, int] = {}
+    for word in (w for t in texts for w in lm.split_words(t or "")):
+        expected[word] = expected.get(word, 0) + 1
+    assert dict(zip(lm.as_bytes(counts["word"]), counts["n"].to_pylist(), strict=True)) == expected
+    assert len(lm.added_up([])) == 0
+    rows = lm.count_words(spark.createDataFrame([(t,) for t in texts], "text string"), "text").collect()
+    assert {None if r["word"] is None else bytes(r["word"]): r["n"] for r in rows} == expected | {None: len(texts)}
