@@ -2,9 +2,10 @@
 
 A text's set holds the 64-bit hashes of its distinct shingles. Texts with equal sets are
 one class. Every class sends the rarest shingles of its set, as many as two sets of
-sufficient similarity cannot all miss, to a table of postings; classes that share one and
-are of like size are joined to candidate components (stars to the smallest class of each
-shingle and step of sizes, so a group of any size costs as many rows as it has members). Inside a candidate component, sets are
+sufficient similarity must have some in common of (see ``spare``), to a table of postings. Classes
+of like size that share so many which few classes send (or all they must share, if fewer), or one
+which more do, are joined to candidate components; a shingle that many send costs as many rows as it has
+members. Inside a candidate component, sets are
 searched for by T-occurrence: of a set's inverted lists the long ones are put aside, the
 short ones are merged, and a class in enough of them is looked up in the long lists by
 binary search (DivideSkip). Classes already joined are not looked up again, as only
@@ -13,10 +14,17 @@ components are asked for.
 The order of rarity only decides how many candidates there are, not the result. It comes
 from counts over all texts: in how many of them shingles of each range of hashes occur.
 
-Components of more than ``BLOCK_CLASSES`` classes or ``BLOCK_SHINGLES`` shingles are cut
-into blocks. A few pivots are searched for in every block; the classes linked to the best
-pivot are one component and need no comparing with each other. The other classes, in
-blocks, are searched for in every block. No task holds more than two blocks.
+Components of more than ``BLOCK_CLASSES`` classes or ``BLOCK_SHINGLES`` shingles may be
+chains of texts that share passages by chance, and chains get longer the more texts there
+are. Their classes get signatures, the parities of how many shingles fall into each of some
+ranges: two sets differ in no fewer shingles than their signatures in bits. Classes that share
+a sent shingle stay candidates if their signatures allow a link. Shingles that over
+``CELL_CLASSES`` of them send join them as before.
+
+Components that are still as large are cut into blocks. A few pivots are searched for in every
+block; the classes linked to the best pivot are one component and need no comparing with each
+other. The other classes, in blocks, are searched for in every block, one block of each
+component after another. No task holds more than two blocks.
 
 NULL and empty texts have no shingle and link with nothing; a NULL identifier counts as
 absent, so its row gets the smallest identifier of its component, or NULL. Repeated rows
@@ -38,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lavra.llm.common import map_batches, release, ship, stored, stored_twice
-from lavra.llm.components import components, hot_join
+from lavra.llm.components import FOREST_NODES, Forest, components, hot_join
 
 SHINGLE_WORDS = 4
 #: Ranges of hashes in which texts are counted, and how they are sent.
@@ -48,6 +56,13 @@ BLOCK_SHINGLES = 4_000_000
 PIVOTS = 4
 #: Classes, of 24 bytes, whose list is sent to all tasks; a longer one is shuffled.
 BROADCAST_CLASSES = 1_000_000
+COMMON, COMMON_SHARE = 3, 50  # sent shingles that classes must share if few send these (see spare)
+PAIRED_CLASSES = 16
+CELL_CLASSES = 2048  # that send one shingle and are compared by their signatures
+SIGNATURE_BITS = 1 << 13  # at most
+PAIR_WORDS = 1 << 20  # of signatures that are compared at a time
+PAIRS = 1 << 18
+GROUPED_ROWS = 16_384
 MERGE_HEAP = 256  # entries of short lists up to which a heap merges them
 PROBE_COST = 0.02
 
@@ -137,6 +152,12 @@ def _range_of(keys: np.ndarray, bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def spare(size):
+    """How many of the shingles that a set sends any partner of its size or more sends too, if
+    it has to share so many: 3, and one more for every 50."""
+    return COMMON + size // COMMON_SHARE
+
+
 class Rarity:
     """An order of shingles, those of few texts first; the same everywhere."""
 
@@ -151,11 +172,12 @@ class Rarity:
         return cls(shingle_counts(frame, text, width, bits), width)
 
     def prefix(self, words: np.ndarray, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        """The sorted set of a text's shingles, and the rarest of them that it sends."""
+        """The sorted set of a text's shingles, and the rarest of them that it sends: so many that
+        ``spare`` of those that it shares with any partner are among them, or all."""
         keys = np.unique(shingles(words, self.width))
         share = -(-least[0] * len(keys) // least[1])  # the least overlap with any partner
         level = self.levels[_range_of(keys, self.bits)]
-        return keys, keys[np.argsort(level, kind="stable")[: len(keys) - share + 1]]
+        return keys, keys[np.argsort(level, kind="stable")[: len(keys) - share + spare(len(keys))]]
 
 
 def text_sets(
@@ -350,13 +372,16 @@ def similar_texts(
 
 
 def _candidates(rows: DataFrame, classes: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Components of the classes that share a shingle they send and are of like size.
+    """Components of the classes that share shingles they send and are of like size.
 
-    Sets that link differ in size by no more than ``least``. Of the classes that send one
-    shingle, those in one step of sizes are joined to the smallest of the step, and a step to
-    the next one if the sizes at its border allow a link. So texts of any sizes that share a
+    Sets that link differ in size by no more than ``least``, so texts of any sizes that share a
     passage do not become one component.
     """
+    return components(_edges(_sent(rows, classes), least, PAIRED_CLASSES))
+
+
+def _sent(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """shingle, size and class for the shingles that classes send."""
     # One row per class: its sets are equal, so any row's shingles will do.
     chosen = classes.select(
         "class",
@@ -364,40 +389,177 @@ def _candidates(rows: DataFrame, classes: DataFrame, least: tuple[int, int]) ->
         F.col("doc_id").alias("__doc"),
         F.col("n_shingles").alias("size"),
     )
-    sent = rows.join(
+    return rows.join(
         chosen,
         (F.col("digest") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__doc")),
-    ).select("class", "size", F.explode("prefix").alias("shingle"))
-    groups = (
-        sent.groupBy("shingle")
-        .agg(F.min("class").alias("first"), F.max("class").alias("last"))
-        .filter("first <> last")
-        .select("shingle")
-    )
-    # A little more than the logarithm of the ratio, so that two sizes that may link are in
-    # one step or in two that follow, however logarithms are rounded.
-    ratio = math.log(least[1] / least[0]) * (1 + 1e-9)
-    step = F.floor(F.log("size") / ratio) if ratio > 0 else F.col("size")
-    shared = stored(
-        hot_join(sent, groups, "shingle").select(
-            "class", "size", "shingle", step.cast("long").alias("step")
-        ),
-        "shared-shingles",
+    ).select(F.explode("prefix").alias("shingle"), "size", "class")
+
+
+def shared_pairs(
+    shingle: np.ndarray, size: np.ndarray, label: np.ndarray, pick: np.ndarray, least: tuple[int, int]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of one shingle and unlike labels whose sizes allow a link, the first of them one of
+    ``pick``. Rows come by shingle and size."""
+    for apart in range(1, len(shingle)):
+        pick = pick[pick + apart < len(shingle)]
+        pick = pick[(shingle[pick] == shingle[pick + apart])]
+        # Sizes grow: where one does not fit, no later one does.
+        pick = pick[least[0] * size[pick + apart] <= least[1] * size[pick]]
+        if not len(pick):
+            return
+        fits = pick[label[pick] != label[pick + apart]]
+        for low in range(0, len(fits), PAIRS):
+            yield fits[low : low + PAIRS], fits[low : low + PAIRS] + apart
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int | None]]:
+    """Batches put together and cut where the first column, by which they are sorted, changes.
+
+    A group of more than ``GROUPED_ROWS`` rows comes in parts, which begin with the row that the
+    one before ended with; its value comes with each of them."""
+    held: list[pa.RecordBatch] = []
+    long = None
+    for part in batches:
+        held.append(part)
+        if sum(map(len, held)) <= GROUPED_ROWS:
+            continue
+        whole = pa.concat_batches(held)
+        values = whole.column(0).to_numpy()
+        cut = int(np.searchsorted(values, values[-1]))
+        if cut:
+            yield whole.slice(0, cut), long
+        held = [whole.slice(cut)]
+        if len(held[0]) > GROUPED_ROWS:
+            long = int(values[-1])
+            yield held[0], long
+            held = [whole.slice(len(whole) - 1)]
+    if held:
+        yield pa.concat_batches(held), long
+
+
+def _edges(sent: DataFrame, least: tuple[int, int], paired: int) -> DataFrame:
+    """Edges between classes that share a shingle and may link.
+
+    A shingle that up to ``paired`` classes send makes pairs of them, and those count that share
+    ``spare`` such shingles, or all they must. Classes that send a commoner one, by size, are
+    joined to the first of a run in which each size allows a link with the one before.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, long in _groups(batches):
+            shingle, size, number = (rows.column(k).to_numpy() for k in range(3))
+            new = np.append(True, shingle[1:] != shingle[:-1])[: len(shingle)]
+            members = np.diff(np.append(np.flatnonzero(new), len(shingle)))
+            few = np.repeat(members, members) <= paired
+            if long is not None:
+                few &= shingle != long
+            begins = new | np.append(True, least[0] * size[1:] > least[1] * size[:-1])[: len(shingle)]
+            first = np.maximum.accumulate(np.where(begins, np.arange(len(shingle)), 0))
+            joined = np.flatnonzero(~few & (first < np.arange(len(shingle))))
+            found = [(number[joined], number[first[joined]], np.zeros(len(joined), np.int64))]
+            for i, j in shared_pairs(shingle, size, number, np.flatnonzero(few), least):
+                # The larger one must share more of its shingles, the smaller one sends fewer.
+                need = np.minimum(-(-least[0] * size[j] // least[1]), spare(size[i]))
+                found.append((np.minimum(number[i], number[j]), np.maximum(number[i], number[j]), need))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["a", "b", "need"]
+            )
+
+    by_shingle = sent.select("shingle", "size", "class").repartition("shingle")
+    found = map_batches(by_shingle.sortWithinPartitions("shingle", "size"), run, "a long, b long, need long")
+    counted = found.groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("n"), F.min("need").alias("joined"), F.max("need").alias("need")
     )
-    # A step is named by a hash: should two meet, they are a candidate the more.
-    cell, following = F.xxhash64("shingle", "step"), F.xxhash64("shingle", F.col("step") + 1)
-    cells = stored(
-        shared.groupBy("shingle", "step")
-        .agg(F.min("class").alias("first"), F.min("size").alias("low"), F.max("size").alias("high"))
-        .select(cell.alias("cell"), following.alias("next"), "first", "low", "high"),
-        "shingle-steps",
+    return counted.filter("joined = 0 OR n >= need").select("a", "b")
+
+
+def signature(keys: np.ndarray) -> bytes:
+    """Of how many shingles each range of hashes has, whether odd. There are as many ranges as
+    shingles or up to twice as many, 64 to ``SIGNATURE_BITS``."""
+    bits = min(max(64, 1 << max(len(keys) - 1, 0).bit_length()), SIGNATURE_BITS)
+    odd = np.bincount((keys & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _signatures(texts: DataFrame, width: int) -> DataFrame:
+    """class and signature, from the texts of members."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            classes, sets = _members(rows.to_pandas(), width)
+            signed = pa.array([signature(keys) for keys in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(classes), signed], names=["class", "signature"])
+
+    signed = map_batches(texts.select("class", "digest", "text"), run, "class long, signature binary")
+    return signed.dropDuplicates(["class"])
+
+
+def close_pairs(
+    shingle: np.ndarray, size: np.ndarray, label: np.ndarray, signatures: list[bytes], least: tuple[int, int]
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows of one shingle and unlike labels whose sizes and signatures allow a link. Rows come
+    by shingle and size. Of signatures of two lengths the longer is folded to the shorter."""
+    words = np.array([len(s) // 8 for s in signatures], np.int64)
+    for length in np.unique(words).tolist():
+        rows = np.flatnonzero((words >= length) & (words <= length * 2 * -(-least[1] // least[0])))
+        folded = np.empty((len(rows), length), np.uint64)
+        for of in np.unique(words[rows]).tolist():
+            which = np.flatnonzero(words[rows] == of)
+            held = np.frombuffer(b"".join(signatures[i] for i in rows[which].tolist()), np.uint64)
+            folded[which] = np.bitwise_xor.reduce(held.reshape(len(which), -1, length), 1)
+        pick = np.flatnonzero(words[rows] == length)
+        for a, b in shared_pairs(shingle[rows], size[rows], label[rows], pick, least):
+            both = size[rows[a]] + size[rows[b]]
+            most = both - 2 * -(-least[0] * both // (least[0] + least[1]))
+            step = max(1, PAIR_WORDS // length)
+            unlike = [
+                np.bitwise_count(folded[a[k : k + step]] ^ folded[b[k : k + step]]).sum(1, dtype=np.int64)
+                for k in range(0, len(a), step)
+            ]
+            near = np.concatenate(unlike) <= most
+            yield rows[a[near]], rows[b[near]]
+
+
+def _near_edges(sent: DataFrame, signed: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Edges that join the classes with a signature which share a shingle and may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest()
+        for rows, _ in _groups(batches):
+            shingle, size, number = (rows.column(k).to_numpy() for k in range(3))
+            label = np.fromiter(map(forest.find, number.tolist()), np.int64, len(number))
+            edges: list[tuple[int, int]] = []
+            for i, j in close_pairs(shingle, size, label, rows.column(3).to_pylist(), least):
+                pairs = zip(number[i].tolist(), number[j].tolist(), strict=True)
+                edges += [(a, b) for a, b in pairs if forest.union(a, b)]
+            if len(forest.parent) > FOREST_NODES:
+                forest.parent.clear()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"]
+            )
+
+    own = stored(hot_join(sent, signed.select("class"), "class"), "large-shingles")
+    counted = hot_join(own, own.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")), "shingle")
+    few = hot_join(counted.filter((F.col("n") > 1) & (F.col("n") <= CELL_CLASSES)), signed, "class")
+    few = few.select("shingle", "size", "class", "signature").repartition("shingle")
+    near = map_batches(few.sortWithinPartitions("shingle", "size"), run, "a long, b long")
+    many = counted.filter(F.col("n") > CELL_CLASSES)
+    return near.unionByName(_edges(many, least, 0))
+
+
+def _placed(candidate: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes of candidate components with their component, and its blocks."""
+    members = candidate.select(F.col("node").alias("class"), "component").unionByName(
+        candidate.select(F.col("component").alias("class"), "component").distinct()
     )
-    members = shared.select(cell.alias("cell"), F.col("class").alias("a"))
-    stars = hot_join(members, cells.select("cell", F.col("first").alias("b")), "cell").select("a", "b")
-    before = cells.select(F.col("next").alias("cell"), F.col("first").alias("a"), "high")
-    borders = hot_join(before, cells.select("cell", F.col("first").alias("b"), "low"), "cell")
-    borders = borders.filter(F.col("low") * least[0] <= F.col("high") * least[1]).select("a", "b")
-    return components(stars.unionByName(borders))
+    members = stored(members.join(classes, "class"), "shingle-members")
+    totals = members.groupBy("component").agg(
+        F.greatest(
+            F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
+        ).cast("long").alias("blocks"),
+        F.sum("n_shingles").alias("all_shingles"),
+    )
+    return stored(hot_join(members, totals, "component"), "shingle-components")
 
 
 def _links(
@@ -410,22 +572,18 @@ def _links(
     width: int,
 ) -> DataFrame:
     """Pairs of classes that span the components of the links."""
-    candidate = _candidates(rows, classes, least)
-    release(frame.sparkSession)
-    members = candidate.select(F.col("node").alias("class"), "component").unionByName(
-        candidate.select(F.col("component").alias("class"), "component").distinct()
-    )
-    members = stored(members.join(classes, "class"), "shingle-members")
-    totals = members.groupBy("component").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).cast("long").alias("blocks"),
-        F.sum("n_shingles").alias("all_shingles"),
-    )
-    placed = stored(hot_join(members, totals, "component"), "shingle-components")
+    spark = frame.sparkSession
+    placed = _placed(_candidates(rows, classes, least), classes)
     small, large = placed.filter("blocks = 1"), placed.filter("blocks > 1")
+    release(spark)
+    if any_large := not large.isEmpty():
+        signed = stored(_signatures(member_texts(frame, large, key, text), width), "signatures")
+        placed = _placed(components(_near_edges(_sent(rows, classes), signed, least)), classes)
+        small, large = small.unionByName(placed.filter("blocks = 1")), placed.filter("blocks > 1")
+        release(spark)
+        any_large = not large.isEmpty()
     shards = max(
-        int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
         4 * math.ceil((small.agg(F.sum("n_shingles")).first()[0] or 0) / BLOCK_SHINGLES),
     )
     found = (
@@ -434,7 +592,7 @@ def _links(
         .groupBy("shard")
         .applyInPandas(_search_components(least, width), "a long, b long")
     )
-    if large.isEmpty():
+    if not any_large:
         return found
     texts, again = stored_twice(member_texts(frame, large, key, text), "shingle-member-texts")
     return found.unionByName(_large_links(texts, again, least, width))
@@ -477,15 +635,23 @@ def _large_links(
             F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES),
         ).cast("long").alias("query_blocks")
     )
-    numbered = hot_join(left, blocks, "component").withColumn(
+    # Few rows: each stands for a component of a block and more.
+    blocks = stored(blocks, "query-blocks")
+    numbered = left.join(F.broadcast(blocks), "component").withColumn(
         "queries", F.pmod(F.xxhash64("class", F.lit(2)), F.col("query_blocks"))
     )
-    queries = numbered.select("component", "class", "digest", "text", "queries", every_block.alias("block"))
-    members = hot_join(dealt, blocks, "component").select(
-        "component", "block", "class", "digest", "text",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("query_blocks") - 1)).alias("queries"),
-    )
-    rest = members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
-        _search_block(least, width), "a long, b long"
-    )
-    return near.unionByName(rest)
+    found = near
+    for number in range(blocks.agg(F.max("query_blocks")).first()[0] or 0):
+        # Copies of texts on the way: all members once, one block of queries for each of theirs.
+        release(texts.sparkSession)
+        queries = numbered.filter(F.col("queries") == number).select(
+            "component", "class", "digest", "text", "queries", every_block.alias("block")
+        )
+        members = dealt.join(F.broadcast(blocks.filter(F.col("query_blocks") > number)), "component").select(
+            "component", "block", "class", "digest", "text", F.lit(number).cast("long").alias("queries")
+        )
+        rest = members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
+            _search_block(least, width), "a long, b long"
+        )
+        found = found.unionByName(stored(rest, "block-links"))
+    return found

@@ -321,3 +321,60 @@ def test_counts_of_words_are_put_together_before_they_leave_a_task(spark, monkey
     assert len(lm.added_up([])) == 0
     rows = lm.count_words(spark.createDataFrame([(t,) for t in texts], "text string"), "text").collect()
     assert {None if r["word"] is None else bytes(r["word"]): r["n"] for r in rows} == expected | {None: len(texts)}
+
+
+def test_texts_that_share_a_passage_with_the_next_are_no_chain_of_candidates(spark):
+    """Neighbours share some words by chance; only the copies at the end stay candidates."""
+    texts = [f"{prose(1000 + k, 5)} {prose(k, 300)} {prose(1001 + k, 5)}" for k in range(40)]
+    texts += [f"{prose(7000, 200)} one", f"{prose(7000, 200)} two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rarity = shingle_join.Rarity.of(docs, "text", 4)
+    sets = shingle_join.text_sets(docs, rarity, "doc_id", "text", (85, 100))
+    classes = sets.select(F.col("doc_id").alias("class"), "digest", "doc_id", "n_shingles")
+    candidates = shingle_join._candidates(sets, classes, (85, 100)).collect()
+    assert [(r["node"], r["component"]) for r in candidates] == [(41, 40)]
+
+
+@pytest.mark.parametrize("paired,cell", [(0, 2048), (0, 2), (16, 2048)])
+def test_large_components_are_narrowed_and_lose_no_link(spark, monkeypatch, paired, cell):
+    """Texts of one frame and unlike words: pairs of copies link, the rest does not."""
+    monkeypatch.setattr(shingle_join, "PAIRED_CLASSES", paired)
+    monkeypatch.setattr(shingle_join, "CELL_CLASSES", cell)
+    monkeypatch.setattr(shingle_join, "BLOCK_CLASSES", 8)
+    frame = prose(5, 90)
+    texts = [f"{frame} {prose(100 + k, 60)}{end}" for k in range(20) for end in ("", " more")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = shingle_join.similar_texts(docs).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i - i % 2 for i in range(40)}
+
+
+@pytest.mark.parametrize("least", [(85, 100), (80, 100), (30, 100)])
+def test_signatures_drop_no_pair_that_links(least):
+    rng = np.random.default_rng(3)
+    sets = []
+    for size in rng.integers(1, 3000, 60).tolist():
+        base = rng.integers(0, 2**63, size).astype(np.uint64)
+        sets += [np.unique(base), np.unique(base[int(size * rng.random() * 0.4) :]), np.unique(rng.integers(0, 2**63, size).astype(np.uint64))]
+    sets = sorted((s for s in sets if len(s)), key=len)
+    size = np.array([len(s) for s in sets])
+    shingle, label = np.zeros(len(sets), np.int64), np.arange(len(sets))
+    signed = [shingle_join.signature(s) for s in sets]
+    found = {(i, j) for x, y in shingle_join.close_pairs(shingle, size, label, signed, least) for i, j in zip(x, y, strict=True)}
+    both = [(i, j, len(np.intersect1d(sets[i], sets[j]))) for i in range(len(sets)) for j in range(i)]
+    linked = {(j, i) for i, j, n in both if least[1] * n >= least[0] * (size[i] + size[j] - n)}
+    assert linked and linked <= found
+    assert least[0] < 80 or len(found) < len(linked) + 0.02 * len(both)
+
+
+def test_long_groups_come_in_parts(monkeypatch):
+    monkeypatch.setattr(shingle_join, "GROUPED_ROWS", 10)
+    values = np.sort(np.repeat([1, 2, 3, 4, 5], [3, 47, 2, 11, 4]))
+    batches = [pa.RecordBatch.from_arrays([pa.array(values[k : k + 4]), pa.array(range(k, min(k + 4, 67)))], names=["s", "n"]) for k in range(0, 67, 4)]
+    seen, groups = [], {}
+    for rows, long in shingle_join._groups(iter(batches)):
+        seen += rows.column(1).to_pylist()
+        for value in set(rows.column(0).to_pylist()) - {long}:
+            assert value not in groups
+            groups[value] = rows.column(0).to_pylist().count(value)
+    assert sorted(set(seen)) == list(range(67))
+    assert {k: groups[k] for k in (1, 3, 5)} == {1: 3, 3: 2, 5: 4}
