@@ -3,10 +3,11 @@
 Equal vectors are one class. Classes are dealt to shards by a hash; each shard builds a
 hierarchical graph: nodes get levels at random, every node is linked to near and diverse
 nodes of its level, and a search goes down the levels and widens at the lowest one. Every
-class is searched for in every shard, in blocks of queries. A query whose beam holds only
-links is searched for again with a beam twice as wide. In every task a sample of queries
+class is searched for in every shard, in blocks of queries. A shard's graph goes to its blocks in
+parts; a task holds one graph and some thousand queries at a time. A query whose beam holds only
+links is searched for again with a beam twice as wide. Of the queries held a sample
 is audited against all vectors of the shard, and so are planted queries that have a link each;
-below ``AUDIT_RECALL`` of either the whole block is searched with a beam twice as wide. A beam as wide as a part of the shard is a scan.
+below ``AUDIT_RECALL`` of either all of them are searched with a beam twice as wide. A beam as wide as a part of the shard is a scan.
 Cosines of what was found are taken in double precision; links below the threshold go.
 
 Within a task, links are joined to a forest and only its edges leave, so a dense group
@@ -24,7 +25,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,11 @@ from lavra.llm.components import Forest, components, hot_join
 THRESHOLD = 0.95
 SHARD_ROWS = 1 << 16
 QUERY_ROWS = 1 << 15
+TASKS = 32  # of searches, for which graphs are copied
+HELD_QUERIES = 1 << 13
+PART_BYTES = 1 << 17  # rows of half a MB and more are costly for the JVM
+QUERY = 2**31 - 1  # the part that rows of queries have; those of graphs count from 0
+NO_CLASS = -(2**63)
 LEAST_SHARDS = 8
 LINKS = 16  # of a node at upper levels; twice as many at the lowest
 BUILD_BEAM = 48
@@ -217,7 +222,7 @@ class Graph:
             opened[live] = np.take_along_axis(all_opened, top, 1)
 
 
-def _matrix(blobs: pd.Series | list) -> np.ndarray:
+def _matrix(blobs: list) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1)
 
 
@@ -337,33 +342,100 @@ def vector_rows(frame: DataFrame, key: str, vector: str) -> DataFrame:
     return map_batches(chosen, run, "vec_id long, digest string, vector binary")
 
 
-def _build_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("class_id")
-    graph = Graph.build(_unit(_matrix(rows["vector"])))
-    return pd.DataFrame(
-        {
-            "shard": [key[0]],
-            "classes": [rows["class_id"].to_numpy(np.int64).tobytes()],
-            "sizes": [rows["size"].to_numpy(np.int64).tobytes()],
-            "vectors": [b"".join(rows["vector"])],
-            "levels": [len(graph.links)],
-            "links": [b"".join(table.tobytes() for table in graph.links)],
-            "entry": [graph.entry],
-        }
-    )
-
-
-def _load(row: pd.Series) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
-    classes = np.frombuffer(row["classes"], np.int64)
-    n = len(classes)
-    vectors = np.frombuffer(row["vectors"], np.float64).reshape(n, -1)
-    flat, links, at = np.frombuffer(row["links"], np.int32), [], 0
-    for height in range(row["levels"]):
-        width = LINKS if height else 2 * LINKS
-        links.append(flat[at : at + n * width].reshape(n, width))
-        at += n * width
-    graph = Graph(_unit(vectors), links, int(row["entry"]))
-    return graph, vectors, classes, np.frombuffer(row["sizes"], np.int64)
+def _build_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The graph of a shard, in parts of ``PART_BYTES`` so that no row is large."""
+    rows = pa.Table.from_batches(batches)
+    classes = rows["class_id"].fill_null(NO_CLASS).to_numpy()
+    order = np.argsort(classes, kind="stable")
+    vectors = _matrix(rows["vector"].to_pylist())[order]
+    graph = Graph.build(_unit(vectors))
+    shard = rows["shard"][0].as_py()
+    head = np.array([*vectors.shape, len(graph.links), graph.entry], np.int64)
+    arrays = [head, classes[order], rows["size"].to_numpy()[order], vectors, *graph.links]
+    whole = b"".join(x.tobytes() for x in arrays)
+    for part, at in enumerate(range(0, len(whole), PART_BYTES)):
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard], pa.int64()), pa.array([part], pa.int32()),
+                pa.array([whole[at : at + PART_BYTES]], pa.binary()),
+            ],
+            names=["shard", "part", "payload"],
+        )
+
+
+def _load(parts: list[bytes]) -> tuple[Graph, np.ndarray, np.ndarray, np.ndarray]:
+    whole = b"".join(parts)
+    n, width, levels, entry = np.frombuffer(whole, np.int64, 4).tolist()
+    at = 32
+
+    def take(kind: type, count: int) -> np.ndarray:
+        nonlocal at
+        found = np.frombuffer(whole, kind, count, at)
+        at += found.nbytes
+        return found
+
+    classes, sizes = take(np.int64, n), take(np.int64, n)
+    vectors = take(np.float64, n * width).reshape(n, width)
+    tables = [LINKS if height else 2 * LINKS for height in range(levels)]
+    links = [take(np.int32, n * table).reshape(n, table) for table in tables]
+    return Graph(_unit(vectors), links, entry), vectors, classes, sizes
+
+
+class _Block:
+    """A shard's graph and the queries of a block, of which a few thousand are held at a time."""
+
+    def __init__(self) -> None:
+        self.parts: list[bytes] = []
+        self.ids: list[int] = []
+        self.queries: list[bytes] = []
+        self.loaded: tuple | None = None
+        self.forest = Forest()
+        self.total: dict[int, int] = {}
+
+    def add(self, rows: pa.RecordBatch, threshold: float) -> None:
+        """Rows of the block: parts of the graph in order, then queries."""
+        parts = int(np.count_nonzero(rows.column(2).to_numpy() < QUERY))
+        self.parts += rows.column(4).slice(0, parts).to_pylist()
+        self.ids += rows.column(3).slice(parts).fill_null(NO_CLASS).to_pylist()
+        self.queries += rows.column(4).slice(parts).to_pylist()
+        if len(self.ids) >= HELD_QUERIES:
+            self.search(threshold)
+
+    def search(self, threshold: float) -> None:
+        if self.parts:
+            self.loaded, self.parts = _load(self.parts), []
+        if self.loaded and self.ids:
+            graph, vectors, classes, sizes = self.loaded
+            found = find_links(graph, vectors, _matrix(self.queries), threshold)
+            for node, hits in zip(self.ids, found, strict=True):
+                hits = hits[classes[hits] != node]
+                if len(hits):
+                    self.total[node] = int(sizes[hits].sum())
+                    for other in classes[hits].tolist():
+                        self.forest.union(node, other)
+        self.ids, self.queries = [], []
+
+    def nodes(self) -> Iterator[pa.RecordBatch]:
+        nodes = [(node, self.total.get(node, 0), root) for node, root in self.forest.edges()]
+        for low in range(0, len(nodes), 10_000):
+            columns = zip(*nodes[low : low + 10_000], strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "links", "root"])
+
+
+def search_blocks(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """node, links and root of what the queries find, from rows by shard, block and part."""
+    key, block = None, _Block()
+    for rows in batches:
+        keys = np.stack([rows.column(0).to_numpy(), rows.column(1).to_numpy()], 1)
+        starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))[: len(rows)]
+        for low, high in zip(starts, [*starts[1:], len(rows)], strict=True):
+            if key != (key := tuple(keys[low].tolist())):
+                block.search(threshold)
+                yield from block.nodes()
+                block = _Block()
+            block.add(rows.slice(low, high - low), threshold)
+    block.search(threshold)
+    yield from block.nodes()
 
 
 def near_duplicates(
@@ -385,56 +457,44 @@ def near_duplicates(
     classes = stored(classes, "classes")
     n = classes.count()
     shards = max(LEAST_SHARDS, -(-n // SHARD_ROWS))
-    blocks = max(1, -(-n // QUERY_ROWS))
-    # Both sides of the cogroup hash (long, int): the same numbers of other types part ways.
+    # Every block of a shard gets a copy of its graph: no more than make enough tasks.
+    blocks = max(1, min(-(-n // QUERY_ROWS), -(-TASKS // shards)))
     dealt = classes.withColumn("length", F.octet_length("vector").cast("long"))
     graphs = (
         dealt.withColumn(
             "shard", F.col("length") * shards + F.pmod(F.xxhash64("digest"), F.lit(shards))
         )
+        .select("shard", "class_id", "size", "vector")
         .groupBy("shard")
-        .applyInPandas(
-            _build_shard,
-            "shard long, classes binary, sizes binary, vectors binary, levels int, "
-            "links binary, entry int",
-        )
+        .applyInArrow(_build_shard, "shard long, part int, payload binary")
     )
-    graphs = stored(graphs, "graphs").withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    graphs = stored(graphs, "graphs").select(
+        "shard",
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
+        "part",
+        F.lit(None).cast("long").alias("class_id"),
+        "payload",
     )
     queries = dealt.select(
-        "class_id",
-        "vector",
-        F.pmod(F.xxhash64("digest", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
         F.explode(
             F.transform(
                 F.sequence(F.lit(0), F.lit(shards - 1)),
                 lambda s: F.col("length") * F.lit(shards) + s,
             )
         ).alias("shard"),
+        F.pmod(F.xxhash64("digest", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
+        F.lit(QUERY).alias("part"),
+        "class_id",
+        F.col("vector").alias("payload"),
     )
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * shards * blocks)
+    together = graphs.unionByName(queries).repartition(tasks, "shard", "block")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return search_blocks(batches, threshold)
 
-    def search(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
-        if not len(shard) or not len(block):
-            return pd.DataFrame({"node": [], "links": [], "root": []}).astype(np.int64)
-        graph, vectors, classes, sizes = _load(shard.iloc[0])
-        ids = block["class_id"].to_numpy(np.int64)
-        forest = Forest()
-        total: dict[int, int] = {}
-        found = find_links(graph, vectors, _matrix(block["vector"]), threshold)
-        for node, hits in zip(ids.tolist(), found, strict=True):
-            hits = hits[classes[hits] != node]
-            if len(hits):
-                total[node] = int(sizes[hits].sum())
-                for other in classes[hits].tolist():
-                    forest.union(node, other)
-        nodes = [(node, total.get(node, 0), root) for node, root in forest.edges()]
-        return pd.DataFrame(nodes, columns=["node", "links", "root"]).astype(np.int64)
-
-    found = (
-        graphs.groupBy("shard", "block")
-        .cogroup(queries.groupBy("shard", "block"))
-        .applyInPandas(search, "node long, links long, root long")
+    found = map_batches(
+        together.sortWithinPartitions("shard", "block", "part"), search, "node long, links long, root long"
     )
     found = stored(found, "links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))

@@ -378,3 +378,34 @@ def test_long_groups_come_in_parts(monkeypatch):
             groups[value] = rows.column(0).to_pylist().count(value)
     assert sorted(set(seen)) == list(range(67))
     assert {k: groups[k] for k in (1, 3, 5)} == {1: 3, 3: 2, 5: 4}
+
+
+def test_vectors_are_searched_in_small_pieces(spark, monkeypatch):
+    """Graphs in many parts, few queries held: the links are the same, and no row is large."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(600, 16))
+    x[300:] = x[:300] + rng.normal(size=(300, 16)) * 0.02
+    monkeypatch.setattr(vectors, "PART_BYTES", 4096)
+    monkeypatch.setattr(vectors, "HELD_QUERIES", 100)
+    blobs = [v.tobytes() for v in x]
+    members = pa.RecordBatch.from_pydict(
+        {"shard": [5] * 600, "class_id": range(600), "size": [1] * 600, "vector": blobs},
+        pa.schema({"shard": pa.int64(), "class_id": pa.int64(), "size": pa.int64(), "vector": pa.binary()}),
+    )
+    parts = pa.Table.from_batches(vectors._build_shard(iter(members.slice(k, 200) for k in (0, 200, 400))))
+    assert parts["part"].to_pylist() == list(range(len(parts))) and len(parts) > 10
+    assert max(map(len, parts["payload"].to_pylist())) == 4096
+    rows = [(5, 1, k, None, blob) for k, blob in enumerate(parts["payload"].to_pylist())]
+    rows += [(5, 1, vectors.QUERY, k, blob) for k, blob in enumerate(blobs)]
+    rows += [(6, 1, vectors.QUERY, k, blob) for k, blob in enumerate(blobs[:9])]  # a shard without a graph
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 64], strict=True), kinds, strict=True)], names=list("sbpcv"))
+        for k in range(0, len(rows), 64)
+    ]
+    found = pa.Table.from_batches(vectors.search_blocks(iter(batches), 0.95)).to_pylist()
+    assert {r["node"]: (r["links"], r["root"]) for r in found} == {i: (1, i % 300) for i in range(600)}
+    frame = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "QUERY_ROWS", 100)
+    found = vectors.near_duplicates(frame).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {i: (1, i % 300) for i in range(600)}
