@@ -324,11 +324,12 @@ def test_counts_of_words_are_put_together_before_they_leave_a_task(spark, monkey
 
 
 def test_texts_that_share_a_passage_with_the_next_are_no_chain_of_candidates(spark):
-    """Neighbours share some words by chance; only the copies at the end stay candidates."""
-    texts = [f"{prose(1000 + k, 5)} {prose(k, 300)} {prose(1001 + k, 5)}" for k in range(40)]
+    """Neighbours share some words by chance, in ranges too full to tell rare shingles; only the
+    copies at the end stay candidates."""
+    texts = [f"{prose(1000 + k, 14)} {prose(k, 300)} {prose(1001 + k, 14)}" for k in range(40)]
     texts += [f"{prose(7000, 200)} one", f"{prose(7000, 200)} two"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rarity = shingle_join.Rarity.of(docs, "text", 4)
+    rarity = shingle_join.Rarity(np.zeros(1 << 16, np.uint8), 4)
     sets = shingle_join.text_sets(docs, rarity, "doc_id", "text", (85, 100))
     classes = sets.select(F.col("doc_id").alias("class"), "digest", "doc_id", "n_shingles")
     candidates = shingle_join._candidates(sets, classes, (85, 100)).collect()
